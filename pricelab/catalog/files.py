@@ -215,8 +215,10 @@ ROWS_PER_BOOK = 5000
 def as_workbooks(ledger: DataFrame, titles: list[str]) -> DataFrame:
     """Rows (path, content): the ledger cut into workbooks, as reading files gives.
 
-    Columns keep their order; dates become day numbers. No rows are moved.
+    Columns keep their order; dates become day numbers. Rows are spread evenly
+    first, so that every core binds and later reads its share.
     """
+    ledger = ledger.repartition(ledger.sparkSession.sparkContext.defaultParallelism)
     names = ledger.columns
     dates = {i for i, f in enumerate(ledger.schema.fields) if f.dataType.typeName() == "date"}
     cells = ledger.select(

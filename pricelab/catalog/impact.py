@@ -45,9 +45,8 @@ EVENTS = """
     """
 )
 def event_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return impact.event_impact(
-        order_sales(spark, sf_dir), nation_events(spark, sf_dir), months=6, staged=True
-    )
+    sales = order_sales(spark, sf_dir).select(*AREA_MONTH, "price")
+    return impact.event_impact(sales, nation_events(spark, sf_dir), months=6, staged=True)
 
 
 @query(

@@ -16,7 +16,7 @@ from pricelab.catalog.registry import (
 from pricelab.fixed_values import ALL_HOMES, CONDOS, PER_SQUARE_FOOT, SINGLE_FAMILY, TOTAL
 from pricelab.functions import class_code, class_description, is_known_zip
 from pricelab.operators.dictionary import category_dictionary as dictionary
-from pricelab.operators.medians import Measure, approx_medians, exact_medians
+from pricelab.operators.medians import Measure, approx_medians, exact_medians, small_side
 from pricelab.operators.sales import market_sales
 from pricelab.operators.segments import appended_medians, repeated_keys
 from pricelab.operators.segments import segment_medians as medians_by_segment
@@ -40,7 +40,7 @@ KNOWN_SALES = f"SELECT * FROM ({ORDER_SALES}) WHERE price >= 2000 AND zip_code >
     """
 )
 def median_area_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = known_sales(spark, sf_dir)
+    sales = known_sales(spark, sf_dir).select(*AREA_MONTH, "price")
     medians = exact_medians(sales, AREA_MONTH, [Measure("price", F.col("price"))], staged=True)
     return medians.where(F.col("price").isNotNull())
 
@@ -59,8 +59,9 @@ def approx_median_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     sales = stage(known_sales(spark, sf_dir).select(*AREA_MONTH, "price"), "sales")
     medians = approx_medians(sales, AREA_MONTH, [Measure("median", F.col("price"))], accuracy=100)
+    medians = stage(medians, "medians")
     ranked = (
-        sales.join(medians, AREA_MONTH)
+        sales.join(small_side(medians, medians.count()), AREA_MONTH)
         .groupBy(*AREA_MONTH)
         .agg(
             F.count(F.lit(1)).alias("n_sales"),
@@ -81,7 +82,7 @@ def approx_median_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def unit_price_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = part_sales(spark, sf_dir)
+    sales = part_sales(spark, sf_dir).select(*AREA_MONTH, "price_sf")
     medians = exact_medians(sales, AREA_MONTH, [Measure("price", F.col("price_sf"))], staged=True)
     return medians.where(F.col("price").isNotNull())
 

@@ -54,7 +54,7 @@ def series_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sink_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table created, appended to, left alone by ``ignore``, and read back."""
-    sales = known_sales(spark, sf_dir)
+    sales = known_sales(spark, sf_dir).select(*AREA_MONTH, "price")
     medians = exact_medians(sales, AREA_MONTH, [Measure("price", F.col("price"))], staged=True)
     target = FolderTarget(new_folder(spark, "tables"))
     target.write(medians, "allHomes")

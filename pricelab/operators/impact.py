@@ -32,7 +32,7 @@ def sales_around_events(
 
 def event_impact(sales: DataFrame, events: DataFrame, months: int = 6, **options) -> DataFrame:
     """Median price in the ``months`` before each event and from it on, and the change."""
-    near = sales_around_events(sales, events, months, months - 1)
+    near = sales_around_events(sales, events, months, months - 1).select(*EVENT, "date", "price")
     before = F.col("date") < F.col("event_month")
     medians = exact_medians(
         near,
@@ -56,7 +56,7 @@ def recovery_months(
     The baseline is the median of the sales in the ``baseline_months`` before the
     event. Areas that have not recovered keep a row without a recovery month.
     """
-    near = sales_around_events(sales, events, baseline_months, -1)
+    near = sales_around_events(sales, events, baseline_months, -1).select(*EVENT, "price")
     baseline = exact_medians(near, EVENT, [Measure("baseline", F.col("price"))], **options)
     later = (
         baseline.join(monthly, "zip_code")

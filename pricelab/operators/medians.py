@@ -80,7 +80,8 @@ def exact_medians(
 
     The rows are read once to count the groups and once more for the medians.
     With ``staged`` they are written to shared storage first; worth it where
-    they come from a join or from parsing.
+    they come from a join or from parsing. They should then have no columns but
+    those in use.
     """
     if staged:
         rows = stage(rows, "rows")
@@ -143,8 +144,8 @@ def _hot_group_medians(
     entries = [
         F.struct(F.lit(i).alias("_m"), m.column().alias("_v")) for i, m in enumerate(measures)
     ]
+    # Read again in every step: cheaper than writing a row per measure.
     values = rows.select(*keys, F.inline(F.array(*entries))).where(F.col("_v").isNotNull())
-    values = stage(values, "hot-values")
     group = [*keys, "_m"]
     ranges = values.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
@@ -158,12 +159,12 @@ def _hot_group_medians(
         if n_wide == 0:
             break
         narrowed = _narrow(
-            values, _small_side(ranges.where(wide), n_wide, broadcast_rows), group, n_wide
+            values, small_side(ranges.where(wide), n_wide, broadcast_rows), group, n_wide
         )
         ranges = ranges.where(~wide).unionByName(narrowed)
 
     n_open = ranges.where(unsettled).count()
-    inside = _inside(values, _small_side(ranges.where(unsettled), n_open, broadcast_rows), group)
+    inside = _inside(values, small_side(ranges.where(unsettled), n_open, broadcast_rows), group)
     by_value = Window.partitionBy(*group).orderBy("_v")
     ranked = inside.withColumn("_at", F.row_number().over(by_value))
     found = (
@@ -214,7 +215,8 @@ def _inside(values: DataFrame, ranges: DataFrame, group: list[str]) -> DataFrame
     return _match(values, ranges, group, "inner").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
 
 
-def _small_side(df: DataFrame, n_rows: int, broadcast_rows: int) -> DataFrame:
+def small_side(df: DataFrame, n_rows: int, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows allow one."""
     return F.broadcast(df) if n_rows <= broadcast_rows else df
 
 

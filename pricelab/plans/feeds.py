@@ -23,7 +23,7 @@ from pricelab.functions import (
     zip_from_text,
 )
 from pricelab.operators.sales import as_sales, is_housing, market_sales, unpivot_sales
-from pricelab.operators.segments import ledger_segments, segment_medians
+from pricelab.operators.segments import AREA_MONTH, ledger_segments, segment_medians
 from pricelab.operators.unify import as_series
 from pricelab.sinks.tables import FolderTarget, JdbcTarget, fan_out
 from pricelab.sources.delimited import header, read_csv
@@ -73,7 +73,8 @@ def assessor_sales(roll: DataFrame) -> DataFrame:
 
 
 def assessor_series(sales: DataFrame, **options) -> DataFrame:
-    medians = segment_medians(sales, {V.ALL_HOMES: None}, **options)
+    columns = sales.select(*AREA_MONTH, V.TOTAL, V.PER_SQUARE_FOOT)
+    medians = segment_medians(columns, {V.ALL_HOMES: None}, **options)
     return as_series(medians, source=V.ASSESSOR)
 
 
@@ -98,7 +99,8 @@ def ledger_sales(ledger: DataFrame) -> DataFrame:
 
 
 def ledger_series(sales: DataFrame, **options) -> DataFrame:
-    medians = segment_medians(sales, ledger_segments(F.col("building_code")), **options)
+    columns = sales.select(*AREA_MONTH, V.TOTAL, V.PER_SQUARE_FOOT, "building_code")
+    medians = segment_medians(columns, ledger_segments(F.col("building_code")), **options)
     return as_series(medians, source=V.LEDGER)
 
 

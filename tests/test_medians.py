@@ -58,10 +58,15 @@ def as_dict(df):
 
 
 @pytest.mark.parametrize(
-    "hot_rows, broadcast_rows",
-    [(100_000, 10_000), (50, 10_000), (1, 10_000), (50, 1), (400, 0)],
+    "hot_rows, broadcast_rows, staged",
+    [
+        (100_000, 10_000, False),
+        (100_000, 10_000, True),
+        (50, 10_000, True),
+        (1, 10_000, False),
+        (400, 0, False),
+    ],
 )
-@pytest.mark.parametrize("staged", [False, True])
 def test_exact_equals_brute_force_on_every_path(spark, hot_rows, broadcast_rows, staged):
     rows = make_rows()
     df = frame(spark, rows).repartition(5)
@@ -74,7 +79,7 @@ def test_exact_equals_brute_force_on_every_path(spark, hot_rows, broadcast_rows,
 
 def test_hot_path_with_few_buckets_needs_several_steps(spark, monkeypatch):
     monkeypatch.setattr(M, "MAX_BUCKETS", 16)
-    rows = [("x", 0, float(10**e), 1.0) for e in range(0, 120)] * 3
+    rows = [("x", 0, float(10**e), 1.0) for e in range(0, 40)] * 3
     rows += [("x", 0, 1e300, 1.0), ("x", 0, -1e300, 1.0)]
     got = M.exact_medians(frame(spark, rows), KEYS, measures(), hot_rows=5)
     assert as_dict(got) == brute_force(rows)
@@ -91,9 +96,9 @@ def test_result_does_not_depend_on_partitioning(spark):
     df = frame(spark, make_rows(seed=3, n=1500))
     results = [
         as_dict(M.exact_medians(df.repartition(n), KEYS, measures(), hot_rows=100))
-        for n in (1, 3, 8)
+        for n in (1, 6)
     ]
-    assert results[0] == results[1] == results[2]
+    assert results[0] == results[1]
 
 
 def test_approximate_rank_error_is_bounded(spark):
