@@ -23,6 +23,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricelab.plans.staging import stage
 
@@ -86,25 +87,29 @@ def exact_medians(
     if staged:
         rows = stage(rows, "rows")
     keys = list(keys)
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot_keys = sizes.where(F.col("_rows") > hot_rows).select(*keys)
-    known = hot_keys.limit(broadcast_rows + 1).collect()
+    sizes = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[
+            statistic(m.column()).alias(f"_{label}_{i}")
+            for i, m in enumerate(measures)
+            for label, statistic in (("n", F.count), ("lo", F.min), ("hi", F.max))
+        ],
+    )
+    hot = sizes.where(F.col("_rows") > hot_rows)
+    known = hot.limit(broadcast_rows + 1).collect()
     if not known:
         return _small_group_medians(rows, keys, measures)
     if len(known) <= broadcast_rows:
-        hot_keys = F.broadcast(rows.sparkSession.createDataFrame(known, hot_keys.schema))
+        schema = T.StructType([T.StructField("_g", T.LongType()), *hot.schema.fields])
+        numbered = [(g, *row) for g, row in enumerate(known)]
+        hot = F.broadcast(rows.sparkSession.createDataFrame(numbered, schema))
     else:
-        hot_keys = stage(hot_keys, "hot-keys")
-    small = _small_group_medians(_match(rows, hot_keys, keys, "left_anti"), keys, measures)
-    hot = _hot_group_medians(
-        _match(rows, hot_keys, keys, "left_semi"),
-        hot_keys,
-        keys,
-        measures,
-        hot_rows,
-        broadcast_rows,
+        hot = stage(hot.withColumn("_g", F.monotonically_increasing_id()), "hot-groups")
+    small = _small_group_medians(
+        _match(rows, hot.select(*keys), keys, "left_anti"), keys, measures
     )
-    return small.unionByName(hot)
+    large = _hot_group_medians(rows, hot, keys, measures, hot_rows, broadcast_rows)
+    return small.unionByName(large)
 
 
 def series(medians: DataFrame, keys: Sequence[str], labels: dict[str, dict[str, str]]) -> DataFrame:
@@ -135,54 +140,92 @@ def _small_group_medians(rows: DataFrame, keys: list[str], measures: Sequence[Me
 
 def _hot_group_medians(
     rows: DataFrame,
-    hot_keys: DataFrame,
+    hot: DataFrame,
     keys: list[str],
     measures: Sequence[Measure],
     hot_rows: int,
     broadcast_rows: int,
 ) -> DataFrame:
-    entries = [
-        F.struct(F.lit(i).alias("_m"), m.column().alias("_v")) for i, m in enumerate(measures)
-    ]
-    # Read again in every step: cheaper than writing a row per measure.
-    values = rows.select(*keys, F.inline(F.array(*entries))).where(F.col("_v").isNotNull())
-    group = [*keys, "_m"]
-    ranges = values.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
-    ranges = ranges.withColumn("_rank", F.floor((F.col("_n") + 1) / 2))
+    """``hot`` has a number ``_g`` per group, its keys, and its statistics.
+
+    A range (_g, _m, _n, _lo, _hi, _rank) says that the median of measure ``_m``
+    in group ``_g`` is the value at ``_rank`` among the ``_n`` from ``_lo`` to ``_hi``.
+    """
+    ranges = hot.select(
+        "_g",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("_m"),
+                        F.col(f"_n_{i}").alias("_n"),
+                        F.col(f"_lo_{i}").alias("_lo"),
+                        F.col(f"_hi_{i}").alias("_hi"),
+                        F.floor((F.col(f"_n_{i}") + 1) / 2).alias("_rank"),
+                    )
+                    for i in range(len(measures))
+                ]
+            )
+        ),
+    ).where(F.col("_n") > 0)
+
+    def inside(some: DataFrame, n_ranges: int) -> DataFrame:
+        wide = _ranges_by_group(some, len(measures)).join(hot.select("_g", *keys), "_g")
+        return _values_inside(rows, small_side(wide, n_ranges, broadcast_rows), keys, measures)
+
     unsettled = F.col("_lo") < F.col("_hi")
-    while True:
-        ranges = stage(ranges, "hot-ranges")
-        wide = unsettled & (F.col("_n") > hot_rows)
-        n_wide = ranges.where(wide).count()
-        if n_wide == 0:
-            break
-        narrowed = _narrow(
-            values, small_side(ranges.where(wide), n_wide, broadcast_rows), group, n_wide
-        )
-        ranges = ranges.where(~wide).unionByName(narrowed)
+    too_wide = unsettled & (F.col("_n") > hot_rows)
+    while n_wide := ranges.where(too_wide).count():
+        narrowed = _narrow(inside(ranges.where(too_wide), n_wide), n_wide)
+        ranges = stage(ranges.where(~too_wide).unionByName(narrowed), "hot-ranges")
 
-    n_open = ranges.where(unsettled).count()
-    inside = _inside(values, small_side(ranges.where(unsettled), n_open, broadcast_rows), group)
-    by_value = Window.partitionBy(*group).orderBy("_v")
-    ranked = inside.withColumn("_at", F.row_number().over(by_value))
+    by_value = Window.partitionBy("_g", "_m").orderBy("_v")
     found = (
-        ranked.where(F.col("_at") == F.col("_rank"))
-        .select(*group, "_v")
-        .unionByName(ranges.where(~unsettled).select(*group, F.col("_lo").alias("_v")))
-        # Groups in which no measure has a value keep their row.
-        .unionByName(
-            hot_keys.select(*keys, F.lit(-1).alias("_m"), F.lit(None).cast("double").alias("_v"))
-        )
+        inside(ranges.where(unsettled), ranges.where(unsettled).count())
+        .withColumn("_at", F.row_number().over(by_value))
+        .where(F.col("_at") == F.col("_rank"))
+        .select("_g", "_m", "_v")
+        .unionByName(ranges.where(~unsettled).select("_g", "_m", F.col("_lo").alias("_v")))
     )
     columns = [
         F.max(F.when(F.col("_m") == i, F.col("_v"))).alias(m.name) for i, m in enumerate(measures)
     ]
-    return found.groupBy(*keys).agg(*columns)
+    medians = found.groupBy("_g").agg(*columns)
+    return hot.select("_g", *keys).join(medians, "_g", "left").drop("_g")
+
+
+def _ranges_by_group(ranges: DataFrame, n_measures: int) -> DataFrame:
+    """One row per group, with columns _lo_0, _hi_0, _rank_0, _lo_1 and so on."""
+    return ranges.groupBy("_g").agg(
+        *[
+            F.max(F.when(F.col("_m") == i, F.col(f"_{label}"))).alias(f"_{label}_{i}")
+            for i in range(n_measures)
+            for label in ("lo", "hi", "rank")
+        ]
+    )
 
 
-def _narrow(values: DataFrame, ranges: DataFrame, group: list[str], n_ranges: int) -> DataFrame:
+def _values_inside(
+    rows: DataFrame, wide: DataFrame, keys: list[str], measures: Sequence[Measure]
+) -> DataFrame:
+    """The values (_g, _m, _v) that lie in the range of their group and measure."""
+    entries = []
+    for i, measure in enumerate(measures):
+        value, lo, hi = measure.column(), F.col(f"_lo_{i}"), F.col(f"_hi_{i}")
+        entries.append(
+            F.struct(
+                F.lit(i).alias("_m"),
+                F.when(value.between(lo, hi), value).alias("_v"),
+                lo.alias("_lo"),
+                hi.alias("_hi"),
+                F.col(f"_rank_{i}").alias("_rank"),
+            )
+        )
+    matched = _match(rows, wide, keys, "inner")
+    return matched.select("_g", F.inline(F.array(*entries))).where(F.col("_v").isNotNull())
+
+
+def _narrow(values: DataFrame, n_ranges: int) -> DataFrame:
     """The part of each range that holds its rank, and the rank within that part.
 
     The lowest and the highest value of a range never share a bucket, so every
@@ -191,30 +234,25 @@ def _narrow(values: DataFrame, ranges: DataFrame, group: list[str], n_ranges: in
     buckets = max(MIN_BUCKETS, min(MAX_BUCKETS, HISTOGRAM_ROWS // n_ranges))
     share = (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
     bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1).cast("long"))
-    histogram = (
-        _inside(values, ranges, group)
-        .groupBy(*group, bucket.alias("_bucket"))
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min("_v").alias("_lo"),
-            F.max("_v").alias("_hi"),
-            F.max("_rank").alias("_rank"),
-        )
+    histogram = values.groupBy("_g", "_m", bucket.alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi"),
+        F.max("_rank").alias("_rank"),
+    )
+    so_far = (
+        Window.partitionBy("_g", "_m").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     )
-    so_far = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     before = F.sum("_n").over(so_far) - F.col("_n")
     return (
         histogram.withColumn("_before", before)
         .where((F.col("_before") < F.col("_rank")) & (F.col("_rank") <= F.col("_before") + F.col("_n")))
-        .select(*group, "_n", "_lo", "_hi", (F.col("_rank") - F.col("_before")).alias("_rank"))
+        .select(
+            "_g", "_m", "_n", "_lo", "_hi", (F.col("_rank") - F.col("_before")).alias("_rank")
+        )
     )
 
 
-def _inside(values: DataFrame, ranges: DataFrame, group: list[str]) -> DataFrame:
-    ranges = ranges.select(*group, "_lo", "_hi", "_rank")
-    return _match(values, ranges, group, "inner").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-
-
 def small_side(df: DataFrame, n_rows: int, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows allow one."""
     return F.broadcast(df) if n_rows <= broadcast_rows else df

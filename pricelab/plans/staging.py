@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_folders: dict[str, list[str]] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -27,7 +28,9 @@ def staging_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path nothing has been written to yet."""
-    return f"{staging_root(spark)}/pricelab/{label}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/pricelab/{label}-{uuid.uuid4().hex}"
+    _folders.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -36,3 +39,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Delete what this application has staged; for when no result needs it any more."""
+    folders = _folders.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(folders)

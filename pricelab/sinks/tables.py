@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,11 +81,18 @@ def fan_out(
     tables: Mapping[str, Column],
     mode: str = "overwrite",
     columns: tuple[str, ...] = ("zip_code", "date", "price"),
+    at_once: int = 3,
 ) -> None:
     """Write the rows of each table's condition; ``df`` is computed once.
 
-    ``overwrite`` is the default here, so that a run can be repeated.
+    The tables are independent and small next to their sources, so ``at_once``
+    of them are written at the same time. ``overwrite`` is the default here, so
+    that a run can be repeated.
     """
     once = stage(df, "fan-out")
-    for table, rows in tables.items():
-        target.write(once.where(rows).select(*columns), table, mode)
+
+    def write(table: str) -> None:
+        target.write(once.where(tables[table]).select(*columns), table, mode)
+
+    with ThreadPoolExecutor(at_once) as writers:
+        list(writers.map(write, tables))

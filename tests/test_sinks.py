@@ -1,5 +1,7 @@
+from pathlib import Path
 from types import SimpleNamespace
 from unittest import mock
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -8,7 +10,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from pricelab import fixed_values as V
 from pricelab.plans.feeds import source_tables, write_series
-from pricelab.plans.staging import new_folder, stage, staging_root
+from pricelab.plans.staging import new_folder, release_staged, stage, staging_root
 from pricelab.schemas import UNIFIED_SERIES
 from pricelab.sinks.tables import FolderTarget, JdbcTarget
 
@@ -99,3 +101,15 @@ def test_staged_table_keeps_rows_and_cuts_lineage(spark):
     assert staged.count() == 3
     assert "Range" not in staged._jdf.queryExecution().optimizedPlan().toString()
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_release_deletes_only_what_was_staged(spark, tmp_path):
+    stage(frame(spark), "x")
+    folder = Path(urlparse(staging_root(spark)).path) / "pricelab"
+    other = folder / "kept-by-others"
+    other.mkdir(exist_ok=True)
+    before = set(folder.iterdir())
+    assert release_staged(spark) > 0
+    assert release_staged(spark) == 0
+    after = set(folder.iterdir())
+    assert other in after and len(after) < len(before)
