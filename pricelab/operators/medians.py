@@ -19,9 +19,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,28 +86,34 @@ def exact_medians(
     if staged:
         rows = stage(rows, "rows")
     keys = list(keys)
-    sizes = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[
-            statistic(m.column()).alias(f"_{label}_{i}")
-            for i, m in enumerate(measures)
-            for label, statistic in (("n", F.count), ("lo", F.min), ("hi", F.max))
-        ],
-    )
-    hot = sizes.where(F.col("_rows") > hot_rows)
+    columns = [m.column().alias(f"_v_{i}") for i, m in enumerate(measures)]
+    names = [m.name for m in measures]
+
+    def valued(df: DataFrame) -> DataFrame:
+        """Keys, and one value column per measure."""
+        return df.select(*keys, *columns)
+
+    statistics = [
+        F.expr(f"{function}(_v_{i}) AS _{label}_{i}")
+        for i in range(len(names))
+        for label, function in (("n", "count"), ("lo", "min"), ("hi", "max"))
+    ]
+    sizes = valued(rows).groupBy(*keys).agg(F.expr("count(*) AS _rows"), *statistics)
+    hot = sizes.where(f"_rows > {hot_rows}")
     known = hot.limit(broadcast_rows + 1).collect()
+    # Values differ from row to row, so combining before the shuffle would only
+    # add work: the bare columns are shuffled, then aggregated in place.
     if not known:
-        return _small_group_medians(rows, keys, measures)
+        return _small_group_medians(valued(rows.repartition(*keys)), keys, names)
     if len(known) <= broadcast_rows:
         schema = T.StructType([T.StructField("_g", T.LongType()), *hot.schema.fields])
         numbered = [(g, *row) for g, row in enumerate(known)]
         hot = F.broadcast(rows.sparkSession.createDataFrame(numbered, schema))
     else:
         hot = stage(hot.withColumn("_g", F.monotonically_increasing_id()), "hot-groups")
-    small = _small_group_medians(
-        _match(rows, hot.select(*keys), keys, "left_anti"), keys, measures
-    )
-    large = _hot_group_medians(rows, hot, keys, measures, hot_rows, broadcast_rows)
+    others = _match(rows, hot.select(*keys), keys, "left_anti")
+    small = _small_group_medians(valued(others.repartition(*keys)), keys, names)
+    large = _hot_group_medians(valued(rows), hot, keys, names, hot_rows, broadcast_rows)
     return small.unionByName(large)
 
 
@@ -118,31 +123,38 @@ def series(medians: DataFrame, keys: Sequence[str], labels: dict[str, dict[str,
     ``labels`` gives, per measure column, the label columns of its rows.
     """
     entries = [
-        F.struct(
-            *[F.lit(text).alias(label) for label, text in labels[name].items()],
-            F.col(name).alias("price"),
-        )
-        for name in labels
+        "struct("
+        + "".join(f"{_text(text)} AS {_name(label)}, " for label, text in labels[measure].items())
+        + f"{_name(measure)} AS price)"
+        for measure in labels
     ]
-    return medians.select(*keys, F.inline(F.array(*entries))).where(F.col("price").isNotNull())
+    rows = medians.select(*keys, F.expr(f"inline(array({', '.join(entries)}))"))
+    return rows.where("price IS NOT NULL")
 
 
-def _small_group_medians(rows: DataFrame, keys: list[str], measures: Sequence[Measure]) -> DataFrame:
-    # Values differ from row to row, so combining before the shuffle would only
-    # add work: shuffle the bare columns, then aggregate in place.
-    lists = [F.sort_array(F.collect_list(m.column())).alias(m.name) for m in measures]
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _small_group_medians(values: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    places = range(len(names))
+    lists = [F.expr(f"sort_array(collect_list(_v_{i})) AS _v_{i}") for i in places]
     middles = [
-        F.get(F.col(m.name), F.floor((F.size(m.name) - 1) / 2).cast("int")).alias(m.name)
-        for m in measures
+        F.expr(f"get(_v_{i}, cast((size(_v_{i}) - 1) div 2 AS int)) AS {_name(names[i])}")
+        for i in places
     ]
-    return rows.repartition(*keys).groupBy(*keys).agg(*lists).select(*keys, *middles)
+    return values.groupBy(*keys).agg(*lists).select(*keys, *middles)
 
 
 def _hot_group_medians(
-    rows: DataFrame,
+    values: DataFrame,
     hot: DataFrame,
     keys: list[str],
-    measures: Sequence[Measure],
+    names: list[str],
     hot_rows: int,
     broadcast_rows: int,
 ) -> DataFrame:
@@ -151,78 +163,49 @@ def _hot_group_medians(
     A range (_g, _m, _n, _lo, _hi, _rank) says that the median of measure ``_m``
     in group ``_g`` is the value at ``_rank`` among the ``_n`` from ``_lo`` to ``_hi``.
     """
-    ranges = hot.select(
-        "_g",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("_m"),
-                        F.col(f"_n_{i}").alias("_n"),
-                        F.col(f"_lo_{i}").alias("_lo"),
-                        F.col(f"_hi_{i}").alias("_hi"),
-                        F.floor((F.col(f"_n_{i}") + 1) / 2).alias("_rank"),
-                    )
-                    for i in range(len(measures))
-                ]
-            )
-        ),
-    ).where(F.col("_n") > 0)
+    places = range(len(names))
+    whole = ", ".join(
+        f"struct({i} AS _m, _n_{i} AS _n, _lo_{i} AS _lo, _hi_{i} AS _hi,"
+        f" (_n_{i} + 1) div 2 AS _rank)"
+        for i in places
+    )
+    ranges = hot.selectExpr("_g", f"inline(array({whole}))").where("_n > 0")
 
     def inside(some: DataFrame, n_ranges: int) -> DataFrame:
-        wide = _ranges_by_group(some, len(measures)).join(hot.select("_g", *keys), "_g")
-        return _values_inside(rows, small_side(wide, n_ranges, broadcast_rows), keys, measures)
+        """The values (_g, _m, _v) that lie in the range of their group and measure."""
+        by_group = some.groupBy("_g").agg(
+            *[
+                F.expr(f"max(CASE WHEN _m = {i} THEN _{label} END) AS _{label}_{i}")
+                for i in places
+                for label in ("lo", "hi", "rank")
+            ]
+        )
+        by_group = by_group.join(hot.select("_g", *keys), "_g")
+        matched = _match(values, small_side(by_group, n_ranges, broadcast_rows), keys, "inner")
+        entries = ", ".join(
+            f"struct({i} AS _m, CASE WHEN _v_{i} BETWEEN _lo_{i} AND _hi_{i} THEN _v_{i} END AS _v,"
+            f" _lo_{i} AS _lo, _hi_{i} AS _hi, _rank_{i} AS _rank)"
+            for i in places
+        )
+        return matched.selectExpr("_g", f"inline(array({entries}))").where("_v IS NOT NULL")
 
-    unsettled = F.col("_lo") < F.col("_hi")
-    too_wide = unsettled & (F.col("_n") > hot_rows)
+    too_wide = f"_lo < _hi AND _n > {hot_rows}"
     while n_wide := ranges.where(too_wide).count():
         narrowed = _narrow(inside(ranges.where(too_wide), n_wide), n_wide)
-        ranges = stage(ranges.where(~too_wide).unionByName(narrowed), "hot-ranges")
+        ranges = stage(ranges.where(f"NOT ({too_wide})").unionByName(narrowed), "hot-ranges")
 
-    by_value = Window.partitionBy("_g", "_m").orderBy("_v")
+    unsettled = ranges.where("_lo < _hi")
     found = (
-        inside(ranges.where(unsettled), ranges.where(unsettled).count())
-        .withColumn("_at", F.row_number().over(by_value))
-        .where(F.col("_at") == F.col("_rank"))
+        inside(unsettled, unsettled.count())
+        .selectExpr("*", "row_number() OVER (PARTITION BY _g, _m ORDER BY _v) AS _at")
+        .where("_at = _rank")
         .select("_g", "_m", "_v")
-        .unionByName(ranges.where(~unsettled).select("_g", "_m", F.col("_lo").alias("_v")))
+        .unionByName(ranges.where("_lo = _hi").selectExpr("_g", "_m", "_lo AS _v"))
     )
-    columns = [
-        F.max(F.when(F.col("_m") == i, F.col("_v"))).alias(m.name) for i, m in enumerate(measures)
-    ]
-    medians = found.groupBy("_g").agg(*columns)
-    return hot.select("_g", *keys).join(medians, "_g", "left").drop("_g")
-
-
-def _ranges_by_group(ranges: DataFrame, n_measures: int) -> DataFrame:
-    """One row per group, with columns _lo_0, _hi_0, _rank_0, _lo_1 and so on."""
-    return ranges.groupBy("_g").agg(
-        *[
-            F.max(F.when(F.col("_m") == i, F.col(f"_{label}"))).alias(f"_{label}_{i}")
-            for i in range(n_measures)
-            for label in ("lo", "hi", "rank")
-        ]
+    medians = found.groupBy("_g").agg(
+        *[F.expr(f"max(CASE WHEN _m = {i} THEN _v END) AS {_name(names[i])}") for i in places]
     )
-
-
-def _values_inside(
-    rows: DataFrame, wide: DataFrame, keys: list[str], measures: Sequence[Measure]
-) -> DataFrame:
-    """The values (_g, _m, _v) that lie in the range of their group and measure."""
-    entries = []
-    for i, measure in enumerate(measures):
-        value, lo, hi = measure.column(), F.col(f"_lo_{i}"), F.col(f"_hi_{i}")
-        entries.append(
-            F.struct(
-                F.lit(i).alias("_m"),
-                F.when(value.between(lo, hi), value).alias("_v"),
-                lo.alias("_lo"),
-                hi.alias("_hi"),
-                F.col(f"_rank_{i}").alias("_rank"),
-            )
-        )
-    matched = _match(rows, wide, keys, "inner")
-    return matched.select("_g", F.inline(F.array(*entries))).where(F.col("_v").isNotNull())
+    return hot.select("_g", *keys).join(medians, "_g", "left").drop("_g")
 
 
 def _narrow(values: DataFrame, n_ranges: int) -> DataFrame:
@@ -232,24 +215,19 @@ def _narrow(values: DataFrame, n_ranges: int) -> DataFrame:
     step leaves fewer rows.
     """
     buckets = max(MIN_BUCKETS, min(MAX_BUCKETS, HISTOGRAM_ROWS // n_ranges))
-    share = (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1).cast("long"))
-    histogram = values.groupBy("_g", "_m", bucket.alias("_bucket")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_v").alias("_lo"),
-        F.max("_v").alias("_hi"),
-        F.max("_rank").alias("_rank"),
+    share = "(_v - _lo) / (_hi - _lo)"
+    bucket = F.expr(f"least(floor({share} * {buckets}), {buckets - 1}L) AS _bucket")
+    histogram = values.groupBy("_g", "_m", bucket).agg(
+        F.expr("count(*) AS _n"),
+        F.expr("min(_v) AS _lo"),
+        F.expr("max(_v) AS _hi"),
+        F.expr("max(_rank) AS _rank"),
     )
-    so_far = (
-        Window.partitionBy("_g", "_m").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    before = F.sum("_n").over(so_far) - F.col("_n")
+    so_far = "sum(_n) OVER (PARTITION BY _g, _m ORDER BY _bucket ROWS UNBOUNDED PRECEDING)"
     return (
-        histogram.withColumn("_before", before)
-        .where((F.col("_before") < F.col("_rank")) & (F.col("_rank") <= F.col("_before") + F.col("_n")))
-        .select(
-            "_g", "_m", "_n", "_lo", "_hi", (F.col("_rank") - F.col("_before")).alias("_rank")
-        )
+        histogram.selectExpr("*", f"{so_far} - _n AS _before")
+        .where("_before < _rank AND _rank <= _before + _n")
+        .selectExpr("_g", "_m", "_n", "_lo", "_hi", "_rank - _before AS _rank")
     )
 
 
@@ -264,8 +242,5 @@ def _match(rows: DataFrame, other: DataFrame, keys: list[str], how: str) -> Data
         *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)],
         *[c for c in other.columns if c not in keys],
     )
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)],
-    )
-    return rows.join(renamed, same, how).drop(*[f"_key_{i}" for i in range(len(keys))])
+    same = " AND ".join(f"{_name(k)} <=> _key_{i}" for i, k in enumerate(keys))
+    return rows.join(renamed, F.expr(same), how).drop(*[f"_key_{i}" for i in range(len(keys))])
