@@ -113,7 +113,10 @@ def exact_medians(
         hot = stage(hot.withColumn("_g", F.monotonically_increasing_id()), "hot-groups")
     others = _match(rows, hot.select(*keys), keys, "left_anti")
     small = _small_group_medians(valued(others.repartition(*keys)), keys, names)
-    large = _hot_group_medians(valued(rows), hot, keys, names, hot_rows, broadcast_rows)
+    most_groups = len(known) if len(known) <= broadcast_rows else None
+    large = _hot_group_medians(
+        valued(rows), hot, keys, names, hot_rows, most_groups, broadcast_rows
+    )
     return small.unionByName(large)
 
 
@@ -156,6 +159,7 @@ def _hot_group_medians(
     keys: list[str],
     names: list[str],
     hot_rows: int,
+    most_groups: int | None,
     broadcast_rows: int,
 ) -> DataFrame:
     """``hot`` has a number ``_g`` per group, its keys, and its statistics.
@@ -181,7 +185,8 @@ def _hot_group_medians(
             ]
         )
         by_group = by_group.join(hot.select("_g", *keys), "_g")
-        matched = _match(values, small_side(by_group, n_ranges, broadcast_rows), keys, "inner")
+        n_groups = n_ranges if most_groups is None else min(n_ranges, most_groups)
+        matched = _match(values, small_side(by_group, n_groups, broadcast_rows), keys, "inner")
         entries = ", ".join(
             f"struct({i} AS _m, CASE WHEN _v_{i} BETWEEN _lo_{i} AND _hi_{i} THEN _v_{i} END AS _v,"
             f" _lo_{i} AS _lo, _hi_{i} AS _hi, _rank_{i} AS _rank)"

@@ -51,12 +51,12 @@ def segment_medians(
             name = f"{segment}_{value}"
             measures.append(Measure(name, F.col(value), where))
             labels[name] = {"segment": segment, "measure": value}
+    any_segment = _any(list(segments.values()))
+    rows = sales if any_segment is None else sales.where(any_segment)
     if method == "exact":
-        any_segment = _any(list(segments.values()))
-        rows = sales if any_segment is None else sales.where(any_segment)
         medians = exact_medians(rows, keys, measures, **options)
     elif method == "approx":
-        medians = approx_medians(sales, keys, measures, accuracy)
+        medians = approx_medians(rows, keys, measures, accuracy)
     else:
         raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
     return series(medians, keys, labels)
