@@ -18,20 +18,32 @@ GRID_BASE = 4.0
 BROADCAST_VERTICES = 500_000
 
 
-def in_ring(x: Column, y: Column, ring: Column) -> Column:
-    """Crossing-number test; the ring need not repeat its first vertex."""
+def ring_edges(ring: Column) -> Column:
+    """The edges of a ring, from each vertex to the next and from the last to the first.
+
+    Level edges are left out: no test line crosses them.
+    """
+    following = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
+    edges = F.zip_with(
+        ring,
+        following,
+        lambda a, b: F.struct(
+            a["x"].alias("x0"),
+            a["y"].alias("y0"),
+            b["y"].alias("y1"),
+            F.try_divide(b["x"] - a["x"], b["y"] - a["y"]).alias("slope"),
+        ),
+    )
+    return F.filter(edges, lambda e: e["y0"] != e["y1"])
 
-    def crosses(i: Column) -> Column:
-        a = F.element_at(ring, i)
-        b = F.element_at(ring, F.when(i == F.size(ring), 1).otherwise(i + 1))
-        spans = (a["y"] > y) != (b["y"] > y)
-        # Only evaluated where the edge spans y, so its ends differ in y.
-        meets_at = a["x"] + F.try_divide((y - a["y"]) * (b["x"] - a["x"]), b["y"] - a["y"])
-        return F.when(spans & (x < meets_at), 1).otherwise(0)
 
-    edges = F.sequence(F.lit(1), F.size(ring))
-    crossings = F.aggregate(edges, F.lit(0), lambda n, i: n + crosses(i))
-    return F.when(F.size(ring) > 2, crossings % 2 == 1).otherwise(False)
+def inside_edges(x: Column, y: Column, edges: Column) -> Column:
+    """Crossing-number test: an odd number of edges lies to the right of the point."""
+    crossed = F.filter(
+        edges,
+        lambda e: ((e["y0"] > y) != (e["y1"] > y)) & (x < e["x0"] + (y - e["y0"]) * e["slope"]),
+    )
+    return F.size(crossed) % 2 == 1
 
 
 def points_in_perimeters(
@@ -48,7 +60,8 @@ def points_in_perimeters(
     near = located.join(listed, list(_CELL)).where(
         F.col("x").between(F.col("_x0"), F.col("_x1")) & F.col("y").between(F.col("_y0"), F.col("_y1"))
     )
-    return near.where(in_ring(F.col("x"), F.col("y"), F.col("ring"))).drop("ring", *_BOX, *_CELL)
+    found = near.where(inside_edges(F.col("x"), F.col("y"), F.col("_edges")))
+    return found.drop("_edges", *_BOX, *_CELL)
 
 
 _BOX = ("_x0", "_x1", "_y0", "_y1")
@@ -64,16 +77,19 @@ def _list_in_cells(perimeters: DataFrame) -> tuple[DataFrame, list[int], int]:
         return pick(F.transform("ring", lambda v: v[side]))
 
     boxed = (
-        perimeters.where(F.size("ring") > 0)
+        perimeters.where(F.size("ring") > 2)
         .withColumn("_x0", along("x", F.array_min))
         .withColumn("_x1", along("x", F.array_max))
         .withColumn("_y0", along("y", F.array_min))
         .withColumn("_y1", along("y", F.array_max))
     )
     extent = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"), F.lit(1e-9))
+    boxed = boxed.withColumn("_edges", ring_edges(F.col("ring")))
     sized = boxed.withColumn("_grid", F.ceil(F.log(GRID_BASE, extent)).cast("int"))
-    listed = sized.withColumn("_cx", F.explode(F.sequence(_cell("_x0"), _cell("_x1")))).withColumn(
-        "_cy", F.explode(F.sequence(_cell("_y0"), _cell("_y1")))
+    listed = (
+        sized.drop("ring")
+        .withColumn("_cx", F.explode(F.sequence(_cell("_x0"), _cell("_x1"))))
+        .withColumn("_cy", F.explode(F.sequence(_cell("_y0"), _cell("_y1"))))
     )
     # At most 4 cells each, and as many grids as powers of the base fit between
     # the smallest and the largest perimeter.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pricelab import fixed_values as V
 from pricelab.operators.dictionary import category_dictionary
 from pricelab.operators.impact import event_impact, recovery_months
-from pricelab.operators.perimeters import in_ring, points_in_perimeters
+from pricelab.operators.perimeters import inside_edges, points_in_perimeters, ring_edges
 from pricelab.operators.sales import as_sales, is_housing, market_sales, per_unit, unpivot_sales
 from pricelab.operators.segments import (
     appended_medians,
@@ -175,7 +175,8 @@ def test_perimeters_equal_brute_force(spark):
         got = [(row["id"], row["name"]) for row in found.collect()]
         assert len(got) == len(set(got)) and set(got) == expected
     assert points_in_perimeters(p, r.limit(0)).count() == 0
-    assert r.where(in_ring(F.lit(0.5), F.lit(0.5), F.col("ring"))).where("name = 'none'").count() == 0
+    inside = inside_edges(F.lit(0.5), F.lit(0.5), ring_edges(F.col("ring")))
+    assert r.where("name IN ('none', 'line')").where(inside).count() == 0
 
 
 def test_single_family_total_is_a_price_not_a_unit_price(spark):
