@@ -12,8 +12,11 @@ from xml.sax.saxutils import escape
 # Fixed values of the file format.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+ROW, CELL, VALUE, INLINE, TEXT, RUN = (MAIN + tag for tag in ("row", "c", "v", "is", "t", "r"))
 DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 
+EMPTY = ("", False)
+
 
 def parse_address(address: str) -> tuple[str, int, int]:
     """``0!A5`` -> sheet ``0``, row 5, column 0."""
@@ -34,26 +37,22 @@ def rows(
 ) -> Iterator[list[tuple[str, bool]]]:
     """(text, is a date) per cell from the given cell on; rows without text are left out.
 
-    The sheet is streamed, so memory holds one row and the shared texts.
+    The sheet is streamed: what stays of a row already given out is an empty node.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         texts = _shared_texts(book)
         dates = _date_styles(book)
         with book.open(_sheet_member(book, sheet)) as xml:
             number = 0
-            for event, node in ElementTree.iterparse(xml, events=("start", "end")):
-                if event == "start":
-                    if node.tag == MAIN + "sheetData":
-                        data = node
-                    continue
-                if node.tag != MAIN + "row":
+            for _, node in ElementTree.iterparse(xml):
+                if node.tag != ROW:
                     continue
                 number = int(node.get("r", number + 1))
                 if number >= first_row:
                     cells = _cells(node, texts, dates, first_column, width)
-                    if any(text for text, _ in cells):
+                    if any(cell[0] for cell in cells):
                         yield cells
-                data.clear()
+                node.clear()
 
 
 def column_types(
@@ -140,9 +139,10 @@ def _shared_texts(book: zipfile.ZipFile) -> list[str]:
 
 def _text(node: ElementTree.Element) -> str:
     """Plain and rich text, without the phonetic guides."""
-    parts = [t.text or "" for t in node.findall(MAIN + "t")]
-    parts += [t.text or "" for t in node.findall(f"{MAIN}r/{MAIN}t")]
-    return "".join(parts)
+    if len(node) == 1 and node[0].tag == TEXT:
+        return node[0].text or ""
+    runs = [part for run in node if run.tag == RUN for part in run]
+    return "".join(part.text or "" for part in [*node, *runs] if part.tag == TEXT)
 
 
 def _date_styles(book: zipfile.ZipFile) -> set[str]:
@@ -178,28 +178,29 @@ def _cells(
     first_column: int,
     width: int | None,
 ) -> list[tuple[str, bool]]:
-    cells: list[tuple[str, bool]] = [("", False)] * (width or 0)
+    cells: list[tuple[str, bool]] = [EMPTY] * (width or 0)
     at = -1
-    for node in row.findall(MAIN + "c"):
-        reference = node.get("r")
+    for node in row:
+        if node.tag != CELL:
+            continue
+        get = node.get
+        reference = get("r")
         at = column_number(reference.rstrip("0123456789")) if reference else at + 1
         place = at - first_column
         if place < 0 or (width is not None and place >= width):
             continue
         while len(cells) <= place:
-            cells.append(("", False))
-        cells[place] = _cell(node, texts, dates)
+            cells.append(EMPTY)
+        kind = get("t", "n")
+        if kind == "inlineStr":
+            inline = node.find(INLINE)
+            cells[place] = ("" if inline is None else _text(inline), False)
+            continue
+        value = node.findtext(VALUE, "")
+        if kind == "n":
+            cells[place] = (value, get("s") in dates)
+        elif kind == "s" and value:
+            cells[place] = (texts[int(value)], False)
+        elif kind != "e":
+            cells[place] = (value, False)
     return cells
-
-
-def _cell(node: ElementTree.Element, texts: list[str], dates: set[str]) -> tuple[str, bool]:
-    kind = node.get("t", "n")
-    if kind == "inlineStr":
-        inline = node.find(MAIN + "is")
-        return ("" if inline is None else _text(inline)), False
-    value = node.findtext(MAIN + "v") or ""
-    if kind == "s" and value:
-        return texts[int(value)], False
-    if kind == "e":
-        return "", False
-    return value, kind == "n" and node.get("s") in dates
