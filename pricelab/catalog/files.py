@@ -175,11 +175,11 @@ METRIC = """CASE event_type WHEN 'click' THEN 'MSPAH' WHEN 'view' THEN 'MSPFCO'
 
 @query(
     f"""
-    SELECT {METRIC} AS metric, printf('%05d', user_id) AS zip_code, ts::date AS date, value AS price FROM events
+    SELECT {METRIC} AS metric, substr(printf('%05d', user_id), 1, 5) AS zip_code, ts::date AS date, value AS price FROM events
     UNION ALL
-    SELECT {METRIC}, printf('%05d', user_id), ts::date, NULL FROM events
+    SELECT {METRIC}, substr(printf('%05d', user_id), 1, 5), ts::date, NULL FROM events
     UNION ALL
-    SELECT {METRIC}, printf('%05d', user_id), ts::date, NULL FROM events
+    SELECT {METRIC}, substr(printf('%05d', user_id), 1, 5), ts::date, NULL FROM events
     """
 )
 def json_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +191,7 @@ SEGMENT_OF_METRIC = """CASE event_type WHEN 'click' THEN 'allHomes' WHEN 'view'
 MEASURE_OF_METRIC = "CASE event_type WHEN 'click' THEN 'price' ELSE 'price_sf' END"
 PROVIDER_ROW = f"""
     SELECT 'QZ' AS source, {SEGMENT_OF_METRIC} AS segment, {MEASURE_OF_METRIC} AS measure,
-           printf('%05d', user_id) AS zip_code, ts::date AS date"""
+           substr(printf('%05d', user_id), 1, 5) AS zip_code, ts::date AS date"""
 
 
 @query(

@@ -58,9 +58,6 @@ class JdbcTarget:
     def write(self, df: DataFrame, table: str, mode: str = DEFAULT_MODE) -> None:
         df.write.mode(mode).jdbc(self.url, table, properties=self.properties)
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.jdbc(self.url, table, properties=self.properties)
-
 
 @dataclass(frozen=True)
 class FolderTarget:

@@ -123,6 +123,23 @@ def test_small_groups_need_one_shuffle(spark):
     assert "o_custkey" not in plan
 
 
+@pytest.mark.parametrize("broadcast_rows, join", [(10_000, "BroadcastHashJoin"), (0, "SortMergeJoin")])
+def test_hot_groups_meet_their_rows_by_key(spark, broadcast_rows, join):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = M.exact_medians(
+            frame(spark, make_rows(n=600)), KEYS, measures(), hot_rows=100, broadcast_rows=broadcast_rows
+        )
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert join in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    if broadcast_rows == 0:
+        assert "BroadcastHashJoin" not in plan
+
+
 def test_series_drops_null_medians(spark):
     wide = spark.createDataFrame([("x", 0, 1.0, None)], "area string, month int, total double, unit double")
     got = M.series(wide, KEYS, {"total": {"measure": "t"}, "unit": {"measure": "u"}})
