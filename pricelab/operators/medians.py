@@ -78,7 +78,8 @@ def exact_medians(
 ) -> DataFrame:
     """One row per group: keys and one exact median per measure.
 
-    The rows are read once to count the groups and once more for the medians.
+    The rows are read once to count the groups and again for the medians, so they
+    must not change from one reading to the next.
     With ``staged`` they are written to shared storage first; worth it where
     they come from a join or from parsing. They should then have no columns but
     those in use.
