@@ -1,14 +1,17 @@
 """Intermediates that several jobs read, written once to shared storage.
 
 A staged table cuts the lineage and outlives lost executors. It goes to the
-checkpoint folder the cluster names in ``spark.checkpoint.dir``; only where none
-is named, as in tests, a temporary folder of this machine is used.
+checkpoint folder the cluster names in ``spark.checkpoint.dir``, or to the one set on
+the context. Only a ``local`` master may do without either: it then gets a temporary
+folder of this machine. Elsewhere that is an error, as executors would not share it.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,10 +20,16 @@ _folders: dict[str, list[str]] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
+    context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        folder = context._jsc.sc().getCheckpointDir()
+        shared = folder.get() if folder.isDefined() else None
     if shared:
         return shared.rstrip("/")
-    app = spark.sparkContext.applicationId
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="pricelab-")
     return _local_roots[app]
@@ -44,7 +53,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def release_staged(spark: SparkSession) -> int:
     """Delete what this application has staged; for when no result needs it any more."""
     folders = _folders.pop(spark.sparkContext.applicationId, [])
+    _delete(spark, folders)
+    return len(folders)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, on leaving, what was staged inside; what was staged before stays.
+
+    For one pipeline from its first read to its last write: a DataFrame that reads
+    a staged table must not be used after its scope.
+    """
+    folders = _folders.setdefault(spark.sparkContext.applicationId, [])
+    before = len(folders)
+    try:
+        yield
+    finally:
+        own = folders[before:]
+        del folders[before:]
+        _delete(spark, own)
+
+
+def _delete(spark: SparkSession, folders: list[str]) -> None:
     for folder in folders:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return len(folders)

@@ -10,7 +10,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from pricelab import fixed_values as V
 from pricelab.plans.feeds import source_tables, write_series
-from pricelab.plans.staging import new_folder, release_staged, stage, staging_root
+from pricelab.plans.staging import staging_scope, new_folder, release_staged, stage, staging_root
 from pricelab.schemas import UNIFIED_SERIES
 from pricelab.sinks.tables import FolderTarget, JdbcTarget
 
@@ -80,20 +80,40 @@ def test_fan_out_can_be_repeated(spark, tmp_path):
         assert [r.price for r in got.collect()] == [float(i)]
 
 
-def session_with(**settings):
+def session_with(master="local[2]", checkpoints=None, **settings):
+    """A stand-in for a session of some other cluster."""
+    option = SimpleNamespace(isDefined=lambda: checkpoints is not None, get=lambda: checkpoints)
+    scala = SimpleNamespace(getCheckpointDir=lambda: option)
+    context = SimpleNamespace(
+        applicationId="test-app", master=master, _jsc=SimpleNamespace(sc=lambda: scala)
+    )
     conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(applicationId="test-app"))
+    return SimpleNamespace(conf=conf, sparkContext=context)
 
 
 def test_staging_uses_the_folder_of_the_cluster():
-    named = session_with(**{"spark.checkpoint.dir": "hdfs://shared/folder/"})
+    named = session_with("yarn", **{"spark.checkpoint.dir": "hdfs://shared/folder/"})
     assert staging_root(named) == "hdfs://shared/folder"
     assert new_folder(named, "x").startswith("hdfs://shared/folder/pricelab/x-")
+    assert staging_root(session_with("yarn", "hdfs://set/on/context")) == "hdfs://set/on/context"
 
 
-def test_staging_falls_back_to_one_local_folder_per_application():
+def test_only_a_local_master_falls_back_to_a_local_folder():
     unnamed = session_with()
     assert staging_root(unnamed) == staging_root(unnamed) != ""
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            staging_root(session_with(master))
+
+
+def test_scope_deletes_what_was_staged_inside(spark):
+    outer = stage(frame(spark), "outer")
+    with staging_scope(spark):
+        inner = stage(frame(spark), "inner")
+        path = Path(urlparse(inner.inputFiles()[0]).path).parent
+        assert inner.count() == 3 and path.exists()
+    assert not path.exists()
+    assert outer.count() == 3
 
 
 def test_staged_table_keeps_rows_and_cuts_lineage(spark):
