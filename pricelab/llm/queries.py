@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelab.llm import content_sort, mixing, packing
+from pricelab.llm import content_sort, mixing, packing, syncmers
 from pricelab.llm.inputs import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_pairs(read(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.document_pieces(read(spark, sf_dir, "documents"))
     narrow = pieces.select(
@@ -46,6 +50,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_closed_syncmers": op1_closed_syncmers,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_exact_dedup": op7_exact_dedup,
         "op10_source_mixing": op10_source_mixing,
