@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelab.llm import content_sort, mixing, packing, syncmers
+from pricelab.llm import content_sort, line_dedup, mixing, packing, syncmers
 from pricelab.llm.inputs import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,45 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_pieces(narrow)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated_lines(read(spark, sf_dir, "documents"))
+
+
+OP6_SQL = """
+    WITH split AS (
+        SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+    ), numbered AS (
+        SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS no FROM split
+    ), ordered AS (
+        SELECT *, string_split(line, ' ') AS words,
+               row_number() OVER (ORDER BY doc_id NULLS LAST, no) AS place
+        FROM numbered
+    ), firsts AS (
+        SELECT line, words, len(words) AS n, min(place) AS first
+        FROM ordered WHERE len(words) >= 3 GROUP BY ALL
+    ), cuts AS (
+        SELECT line, n, first, spot, list_concat(words[:spot - 1], words[spot + 1:]) AS rest
+        FROM (SELECT *, unnest(range(1, n + 1)) AS spot FROM firsts WHERE n >= 8)
+    ), near AS (
+        SELECT first FROM (
+            SELECT first, min(first) OVER (PARTITION BY spot, rest) AS earliest FROM cuts
+        ) WHERE earliest < first
+        UNION
+        SELECT greatest(c.first, f.first)
+        FROM cuts c JOIN firsts f ON c.rest = f.words WHERE f.n >= 8
+    ), gone AS (
+        SELECT o.place FROM ordered o JOIN firsts f ON o.line = f.line AND o.place > f.first
+        UNION
+        SELECT first FROM near
+    )
+    SELECT o.doc_id, coalesce(string_agg(o.line, chr(10) ORDER BY o.no)
+                                  FILTER (WHERE g.place IS NULL), '') AS text,
+           count(*) AS n_lines, count(g.place) AS n_dropped
+    FROM ordered o LEFT JOIN gone g ON o.place = g.place
+    GROUP BY o.doc_id
+"""
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.exact_duplicates(read(spark, sf_dir, "documents"))
 
@@ -52,10 +91,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_closed_syncmers": op1_closed_syncmers,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_line_dedup": op6_line_dedup,
         "op7_exact_dedup": op7_exact_dedup,
         "op10_source_mixing": op10_source_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL}
+    return {"op6_line_dedup": OP6_SQL, "op7_exact_dedup": OP7_SQL}
