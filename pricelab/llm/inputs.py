@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 #: Rows Spark hands to Python at once. Texts may be long, so this is far below the default.
 BATCH_ROWS = 512
 
+#: Rows of a side that may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+
 #: Characters worked on at once inside a task; a longer text is worked on alone.
 CHUNK_CHARS = 1_000_000
 
@@ -41,5 +44,14 @@ def chunks(batches: Iterator[pd.DataFrame], column: str = "text") -> Iterator[pd
                 start, done = at + 1, end
 
 
+def matched(rows: DataFrame, few: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on keys that may be NULL; ``few`` (narrow, staged) is broadcast if counted few."""
+    small = few.count() <= BROADCAST_ROWS
+    other = few.withColumnsRenamed({key: f"_of{key}" for key in keys})
+    same = " AND ".join(f"{key} <=> _of{key}" for key in keys)
+    joined = rows.join(F.broadcast(other) if small else other, F.expr(same), how)
+    return joined.drop(*[f"_of{key}" for key in keys])
+
+
 def field_types(df: DataFrame) -> dict[str, Any]:
     return {field.name: field.dataType for field in df.schema.fields}

@@ -24,15 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelab.llm.inputs import whole_text
+from pricelab.llm.inputs import matched, whole_text
 from pricelab.plans.staging import stage
 
 #: Lines of fewer words repeat only equal ones.
 MIN_NEAR_WORDS = 8
 #: Lines of fewer words are never dropped: they say too little to be copies.
 MIN_WORDS = 3
-#: Line numbers that may be broadcast; more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
 
 LINE = ["_doc", "_hash", "_no"]
 
@@ -79,15 +77,6 @@ def half_hashes(length: str) -> list[str]:
     return [f"xxhash64('front', {length}, {front})", f"xxhash64('back', {length}, {back})"]
 
 
-def matched(rows: DataFrame, lines: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join on keys that may be NULL; ``lines`` are broadcast if they are counted few."""
-    few = lines.count() <= BROADCAST_ROWS
-    other = lines.withColumnsRenamed({key: f"_of{key}" for key in keys})
-    same = " AND ".join(f"{key} <=> _of{key}" for key in keys)
-    joined = rows.join(F.broadcast(other) if few else other, F.expr(same), how)
-    return joined.drop(*[f"_of{key}" for key in keys])
-
-
 def repeated_lines(rows: DataFrame) -> DataFrame:
     """(_doc, _hash, _no) of the lines to drop; ``rows`` as from ``document_rows``."""
     is_near, halves = f"_n >= {MIN_NEAR_WORDS}", half_hashes("_n") + half_hashes("_n + 1")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelab.llm import content_sort, line_dedup, mixing, packing, syncmers
+from pricelab.llm import content_sort, dart_minhash, line_dedup, mixing, packing, syncmers
 from pricelab.llm.inputs import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,10 @@ OP7_SQL = """
 """
 
 
+def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_classes(read(spark, sf_dir, "documents"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
@@ -93,6 +97,7 @@ def queries() -> dict[str, Query]:
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_line_dedup": op6_line_dedup,
         "op7_exact_dedup": op7_exact_dedup,
+        "op9_dart_minhash": op9_dart_minhash,
         "op10_source_mixing": op10_source_mixing,
     }
 
