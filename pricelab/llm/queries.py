@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelab.llm import content_sort, dart_minhash, line_dedup, mixing, packing, syncmers
+from pricelab.llm import content_sort, dart_minhash, line_dedup, mixing, packing, quality, syncmers
 from pricelab.llm.inputs import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,12 @@ def op1_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_pairs(read(spark, sf_dir, "documents"))
 
 
+def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit_on_labels(docs, read(spark, sf_dir, "labels"))
+    return quality.quality_scores(docs, model)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.document_pieces(read(spark, sf_dir, "documents"))
     narrow = pieces.select(
@@ -94,6 +100,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_closed_syncmers": op1_closed_syncmers,
+        "op2_pairwise_quality": op2_pairwise_quality,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_line_dedup": op6_line_dedup,
         "op7_exact_dedup": op7_exact_dedup,
