@@ -121,8 +121,21 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = FIT_PAIRS, seed: int = 42)
         w += step
         if np.abs(step).max() < 1e-6:
             break
-    cut = np.quantile(z @ w, 1 - good.mean(), method="midpoint")
-    return Ranking(model.centre, model.scale, w, float(cut))
+    return Ranking(model.centre, model.scale, w, best_cut(z @ w, good))
+
+
+def best_cut(scores: np.ndarray, good: np.ndarray) -> float:
+    """The score quantile that parts the labels best: most right per label, on average.
+
+    Of several equally good ones the middle is taken, halfway between two scores.
+    """
+    order = np.argsort(scores, kind="stable")
+    ranked, is_good = scores[order], good[order]
+    below = np.cumsum(~is_good) / (~good).sum() - np.cumsum(is_good) / good.sum()
+    below[:-1][ranked[:-1] == ranked[1:]] = -1  # equal scores stay together
+    best = np.flatnonzero(np.isclose(below[:-1], below[:-1].max())) if len(below) > 1 else [0]
+    at = int(best[len(best) // 2])
+    return float(ranked[at : at + 2].mean())
 
 
 def held_out(doc_id: str | Column) -> Column:
