@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelab.llm import content_sort, dart_minhash, line_dedup, mixing, packing, quality, syncmers
+from pricelab.llm import (
+    content_sort,
+    dart_minhash,
+    line_dedup,
+    mixing,
+    packing,
+    personal_data,
+    quality,
+    secret_crf,
+    syncmers,
+)
 from pricelab.llm.inputs import read
+from pricelab.llm.spans import digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +34,17 @@ def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, model)
 
 
+def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.personal_data(read(spark, sf_dir, "documents"))
+    return digests(found, personal_data.KINDS)
+
+
+def op4_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = secret_crf.secrets(docs, secret_crf.fit_on_base(docs))
+    return digests(found, secret_crf.KINDS)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.document_pieces(read(spark, sf_dir, "documents"))
     narrow = pieces.select(
@@ -101,6 +123,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_closed_syncmers": op1_closed_syncmers,
         "op2_pairwise_quality": op2_pairwise_quality,
+        "op3_contextual_pii": op3_contextual_pii,
+        "op4_secret_crf": op4_secret_crf,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_line_dedup": op6_line_dedup,
         "op7_exact_dedup": op7_exact_dedup,
