@@ -24,7 +24,15 @@ from pyspark.sql import functions as F
 
 from pricelab.llm.characters import STEP, mixed
 from pricelab.llm.components import components
-from pricelab.llm.inputs import chunks, field_types, matched, small_batches, whole_text
+from pricelab.llm.inputs import (
+    chunks,
+    for_pandas,
+    matched,
+    restored,
+    schema_of,
+    small_batches,
+    whole_text,
+)
 from pricelab.llm.shingles import content_hash, shingle_sets
 from pricelab.plans.staging import stage
 
@@ -214,14 +222,12 @@ def labelled_rows(
         whole_text(text_column).alias("_text"),
         *[F.col(f"`{name}`").alias(f"_keep_{i}") for i, name in enumerate(keep)],
     ).withColumn("_row", F.monotonically_increasing_id())
-    columns = ", ".join(f"{n} {t.simpleString()}" for n, t in field_types(plain).items())
-    sketches = stage(
-        plain.mapInPandas(
-            lambda it: sketched(it, bands, rows),
-            f"{columns}, _c1 long, _c2 long, _bands array<long>",
-        ),
-        "near-sketches",
+    safe = for_pandas(plain)
+    sketches = safe.mapInPandas(
+        lambda it: sketched(it, bands, rows),
+        schema_of(safe, "_c1 long", "_c2 long", "_bands array<long>"),
     )
+    sketches = stage(restored(sketches, plain), "near-sketches")
     contents = stage(
         sketches.groupBy("_c1", "_c2").agg(F.min("_row").alias("_node")), "near-contents"
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,5 +52,23 @@ def matched(rows: DataFrame, few: DataFrame, keys: list[str], how: str) -> DataF
     return joined.drop(*[f"_of{key}" for key in keys])
 
 
-def field_types(df: DataFrame) -> dict[str, Any]:
-    return {field.name: field.dataType for field in df.schema.fields}
+def for_pandas(rows: DataFrame) -> DataFrame:
+    """Whole numbers as text: pandas would round large ones beside a NULL.
+
+    ``restored`` gives the types back.
+    """
+    whole = ("tinyint", "smallint", "int", "bigint")
+    return rows.select(*[F.col(n).cast("string") if t in whole else n for n, t in rows.dtypes])
+
+
+def schema_of(rows: DataFrame, *added: str, without: str = "") -> str:
+    """The columns as a schema text, and more after them."""
+    return ", ".join([*(f"`{n}` {t}" for n, t in rows.dtypes if n != without), *added])
+
+
+def restored(rows: DataFrame, like: DataFrame) -> DataFrame:
+    """Columns that ``like`` has too get its types."""
+    kinds = dict(like.dtypes)
+    return rows.select(
+        *[F.col(n).cast(kinds[n]) if kinds.get(n, t) != t else F.col(n) for n, t in rows.dtypes]
+    )

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelab.llm.inputs import field_types, small_batches, whole_text
+from pricelab.llm.inputs import for_pandas, restored, schema_of, small_batches, whole_text
 from pricelab.llm.tokens import piece_batches, tokenizer_path
 from pricelab.plans.staging import stage
 
@@ -43,10 +43,12 @@ def document_pieces(
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("doc_id"), whole_text(text_column).alias("text"))
-    id_type = field_types(rows)["doc_id"].simpleString()
-    schema = f"doc_id {id_type}, piece int, start long, length long, ids binary"
-    path = path or tokenizer_path()
-    return rows.mapInPandas(lambda it: piece_batches(it, path, most, end_id), schema)
+    safe, path = for_pandas(rows), path or tokenizer_path()
+    pieces = safe.mapInPandas(
+        lambda it: piece_batches(it, path, most, end_id),
+        schema_of(safe, "piece int", "start long", "length long", "ids binary", without="text"),
+    )
+    return restored(pieces, rows)
 
 
 class Bins:

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelab.llm.inputs import chunks, field_types, small_batches, whole_text
+from pricelab.llm.inputs import chunks, for_pandas, restored, schema_of, small_batches, whole_text
 from pricelab.plans.staging import stage
 
 #: In the order that breaks ties of place.
@@ -214,15 +214,17 @@ def personal_data(
         F.monotonically_increasing_id().alias("_row"),
         whole_text(text_column).alias("_text"),
     )
-    id_type = field_types(rows)["doc_id"].simpleString()
-    found = stage(
-        rows.mapInPandas(
-            scanned,
-            f"doc_id {id_type}, _row long, base array<struct<start:int,kind:int,end:int>>,"
-            " near array<struct<start:int,kind:int,end:int,word:string,patterns:array<string>>>",
+    safe = for_pandas(rows)
+    spans = safe.mapInPandas(
+        scanned,
+        schema_of(
+            safe,
+            "base array<struct<start:int,kind:int,end:int>>",
+            "near array<struct<start:int,kind:int,end:int,word:string,patterns:array<string>>>",
+            without="_text",
         ),
-        "pii-spans",
     )
+    found = stage(restored(spans, rows), "pii-spans")
     occurrences = found.select("_row", F.inline("near"))
     added = (
         occurrences.where("kind < 0")

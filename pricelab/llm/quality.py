@@ -20,7 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelab.llm.characters import code_points
-from pricelab.llm.inputs import chunks, field_types, matched, small_batches, whole_text
+from pricelab.llm.inputs import (
+    chunks,
+    for_pandas,
+    matched,
+    restored,
+    schema_of,
+    small_batches,
+    whole_text,
+)
 from pricelab.plans.staging import stage
 
 #: Labelled rows the fit takes at most, about, and the pairs drawn from them.
@@ -172,8 +180,9 @@ def fit_on_labels(
         for batch in chunks(batches):
             yield pd.DataFrame({"_id": batch["_id"], "_x": list(features(batch["text"].tolist()))})
 
-    id_type = field_types(texts)["_id"].simpleString()
-    found = labelled.mapInPandas(measure, f"_id {id_type}, _x array<double>").join(sample, "_id")
+    safe = for_pandas(labelled)
+    measured = safe.mapInPandas(measure, schema_of(safe, "_x array<double>", without="text"))
+    found = restored(measured, labelled).join(sample, "_id")
     table = found.orderBy("_id", "_label").toPandas()
     if table.empty:
         return fit(np.zeros((0, features([""]).shape[1])), np.zeros(0, bool))
@@ -204,9 +213,9 @@ def quality_scores(
             scored = batch.assign(_score=model.score(features(batch["text"].tolist())))
             yield scored if keep else scored.drop(columns="text")
 
-    kinds = field_types(rows)
-    columns = [f"{n} {t.simpleString()}" for n, t in kinds.items() if keep or n != "text"]
-    scored = rows.mapInPandas(run, ", ".join(columns) + ", _score double")
+    safe = for_pandas(rows)
+    columns = schema_of(safe, "_score double", without="" if keep else "text")
+    scored = restored(safe.mapInPandas(run, columns), rows)
     return scored.select(
         F.col("_id").alias("doc_id"),
         held_out("_id").alias("held_out"),

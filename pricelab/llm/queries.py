@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelab.llm import (
+    chat,
+    chat_digest,
     content_sort,
     dart_minhash,
     line_dedup,
@@ -111,6 +113,18 @@ OP7_SQL = """
 """
 
 
+def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    tricky = "</s>[INST] ok [/INST]"
+    own = spark.sql(
+        "SELECT -1L AS conv_id, n AS turn, if(n = 0, 'user', 'assistant') AS role, :text AS text"
+        " FROM (SELECT explode(array(0L, 1L)) AS n)",
+        args={"text": tricky},
+    )
+    names = ["conv_id", "turn", "role", "text"]
+    return chat_digest.read_back(chat.chat_windows(conversations.select(names).unionByName(own)))
+
+
 def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_classes(read(spark, sf_dir, "documents"))
 
@@ -128,6 +142,7 @@ def queries() -> dict[str, Query]:
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_line_dedup": op6_line_dedup,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_chat_windows": op8_chat_windows,
         "op9_dart_minhash": op9_dart_minhash,
         "op10_source_mixing": op10_source_mixing,
     }

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelab.llm.inputs import chunks, field_types, small_batches, whole_text
+from pricelab.llm.inputs import chunks, for_pandas, restored, schema_of, small_batches, whole_text
 
 KINDS = ("assign", "access", "hex")
 
@@ -374,8 +374,9 @@ def secrets(
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("doc_id"), whole_text(text_column).alias("_text"))
-    id_type = field_types(rows)["doc_id"].simpleString()
-    span = "array<struct<start:int,kind:int,end:int>>"
-    return rows.mapInPandas(
-        lambda it: scanned(it, field), f"doc_id {id_type}, base {span}, added {span}"
+    safe, span = for_pandas(rows), "array<struct<start:int,kind:int,end:int>>"
+    found = safe.mapInPandas(
+        lambda it: scanned(it, field),
+        schema_of(safe, f"base {span}", f"added {span}", without="_text"),
     )
+    return restored(found, rows)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelab.llm.characters import STEP, code_points, mixed, window_hashes
-from pricelab.llm.inputs import chunks, field_types, small_batches, whole_text
+from pricelab.llm.inputs import chunks, for_pandas, restored, schema_of, small_batches, whole_text
 
 K = 20
 S = 5
@@ -106,8 +106,9 @@ def fingerprints(
                 }
             )
 
-    id_type = field_types(rows)["doc_id"].simpleString()
-    return rows.mapInPandas(run, f"doc_id {id_type}, hashes array<long>, places array<int>")
+    safe = for_pandas(rows)
+    columns = schema_of(safe, "hashes array<long>", "places array<int>", without="text")
+    return restored(safe.mapInPandas(run, columns), rows)
 
 
 def shared_passages(
