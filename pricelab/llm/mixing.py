@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelab.llm.inputs import whole_text
+from pricelab.llm.inputs import matched, whole_text
 from pricelab.plans.staging import stage
 
 WEIGHT_CYCLE = (5.0, 2.0, 1.0)
@@ -101,29 +101,18 @@ def source_targets(
     return weighted.withColumn("_target", target).drop("_part", "_at", "_share", "_cap")
 
 
-def mix_sources(
+def planned_rows(
     docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    source_column: str = "source",
-    weight: Column | None = None,
-    cycle: Sequence[float] = WEIGHT_CYCLE,
-    share: float = SHARE,
-    most_times: float = MOST_TIMES,
-    seed: int = SEED,
-    keep: Sequence[str] = (),
+    id_column: str,
+    text_column: str,
+    source_column: str,
+    weight: Column | None,
+    cycle: Sequence[float],
+    share: float,
+    most_times: float,
+    seed: int,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source_size, target, taken, then ``keep``.
-
-    ``taken`` is the words the mix takes of the document: its size times whole epochs, and
-    once more where the fraction of its source reaches it. The last document of a fraction
-    is the one that ends nearest to the target.
-
-    * NULL and empty texts have size 0 and are taken 0 times; NULL is a source of its own.
-    * Keys hash id and text, so reruns agree and repeated rows get equal keys; which of
-      them the fraction takes makes no difference.
-    * Columns not named are not read; an empty table gives no rows.
-    """
+    """_id, _words, _size, _target, _of (source), _key, _epochs, _chosen (by the fraction)."""
     text = F.col(text_column)
     weight = quality_weight(text) if weight is None else weight
     rows = docs.select(
@@ -132,7 +121,6 @@ def mix_sources(
         word_count(text).alias("_words"),
         sampling_key(weight, F.col(id_column), whole_text(text), seed=seed).alias("_key"),
         weight.alias("_weight"),
-        *[F.col(name).alias(f"_keep_{i}") for i, name in enumerate(keep)],
     )
     rows = stage(rows, "mix-rows")
     sources = rows.groupBy("_source").agg(
@@ -177,12 +165,76 @@ def mix_sources(
     )
     rest = F.col("_target") - F.col("_epochs") * F.col("_size")
     middle = F.col("_before") + F.col("_through") - F.col("_words") / 2
-    times = F.col("_epochs") + F.when((rest > 0) & (middle <= rest), 1).otherwise(0)
-    return summed.select(
+    return summed.withColumn("_chosen", (rest > 0) & (middle <= rest))
+
+
+def mix_sources(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    weight: Column | None = None,
+    cycle: Sequence[float] = WEIGHT_CYCLE,
+    share: float = SHARE,
+    most_times: float = MOST_TIMES,
+    seed: int = SEED,
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, size, source_size, target, taken.
+
+    ``taken`` is the words the mix takes of the document: its size times whole epochs, and
+    once more where the fraction of its source reaches it. The last document of a fraction
+    is the one that ends nearest to the target.
+
+    * NULL and empty texts have size 0 and are taken 0 times; NULL is a source of its own.
+    * Keys hash id and text, so reruns agree and repeated rows get equal keys; which of
+      them the fraction takes makes no difference. ``weight`` must be above 0.
+    * Columns not named are not read; an empty table gives no rows.
+    """
+    planned = planned_rows(
+        docs, id_column, text_column, source_column, weight, cycle, share, most_times, seed
+    )
+    times = F.col("_epochs") + F.col("_chosen").cast("int")
+    return planned.select(
         F.col("_id").alias("doc_id"),
         F.col("_words").alias("size"),
         F.col("_size").alias("source_size"),
         F.col("_target").alias("target"),
         (F.col("_words") * times).cast("long").alias("taken"),
-        *[F.col(f"_keep_{i}").alias(name) for i, name in enumerate(keep)],
     )
+
+
+def mixed_documents(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    weight: Column | None = None,
+    cycle: Sequence[float] = WEIGHT_CYCLE,
+    share: float = SHARE,
+    most_times: float = MOST_TIMES,
+    seed: int = SEED,
+) -> DataFrame:
+    """The rows of ``docs``, each as often as ``mix_sources`` takes it, all columns kept.
+
+    A fraction is the documents up to its last key, so per source only that key is joined
+    to the texts, which are not shuffled. Rows that repeat id and text are taken together.
+    Texts without words are taken with the whole epochs of their source.
+    """
+    planned = planned_rows(
+        docs, id_column, text_column, source_column, weight, cycle, share, most_times, seed
+    )
+    cuts = planned.groupBy("_of").agg(
+        F.max("_epochs").alias("_epochs"), F.max(F.when(F.col("_chosen"), F.col("_key"))).alias("_cut")
+    )
+    text = F.col(text_column)
+    weight = quality_weight(text) if weight is None else weight
+    keyed = docs.withColumns(
+        {
+            "_of": F.col(source_column),
+            "_key": sampling_key(weight, F.col(id_column), whole_text(text), seed=seed),
+        }
+    )
+    cut = matched(keyed, stage(cuts, "mix-cuts"), ["_of"], "inner")
+    times = F.col("_epochs") + F.when(F.col("_key") <= F.col("_cut"), 1).otherwise(0)
+    again = F.explode(F.array_repeat(F.lit(0), times.cast("int")))
+    return cut.withColumn("_again", again).select(*[F.col(f"`{name}`") for name in docs.columns])
