@@ -17,7 +17,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pricelab.llm.inputs import for_pandas, restored, schema_of, small_batches, whole_text
 from pricelab.llm.tokens import piece_batches, tokenizer_path
@@ -170,17 +169,12 @@ def pack_pieces(
     full = F.col("length") == most
     total = rows.where(~full).agg(F.sum("length")).first()[0] or 0
     groups = max(1, -(-total // (most * group_bins)))
-    schema = T.StructType(
-        [
-            *[f for f in rows.schema.fields if f.name != "_row"],
-            T.StructField("sequence_id", T.LongType()),
-            T.StructField("offset", T.LongType()),
-        ]
-    )
+    safe = for_pandas(rows)
+    schema = schema_of(safe, "sequence_id long", "offset long", without="_row")
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("_row", ignore_index=True)
-        lengths = part["length"].to_numpy()
+        part = part.iloc[np.argsort(part["_row"].astype("int64").to_numpy())]
+        lengths = part["length"].astype("int64").to_numpy()
         sequence, offset = np.zeros(len(part), "int64"), np.zeros(len(part), "int64")
         for b, members in enumerate(pack_lengths(lengths.tolist(), most)):
             sequence[members] = (int(part["_group"].iloc[0]) << 32) + b
@@ -188,10 +182,10 @@ def pack_pieces(
         return part.drop(columns=["_row", "_group"]).assign(sequence_id=sequence, offset=offset)
 
     group = F.pmod(F.xxhash64("_row"), F.lit(groups)).alias("_group")
-    packed = rows.where(~full).select("*", group).groupBy("_group").applyInPandas(pack, schema)
+    packed = safe.where(~full).select("*", group).groupBy("_group").applyInPandas(pack, schema)
     alone = rows.where(full).select(
-        *[F.col(f.name) for f in schema.fields[:-2]],
+        *[F.col(f"`{name}`") for name in pieces.columns],
         (-F.col("_row") - 1).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
-    return packed.unionByName(alone)
+    return restored(packed, rows).unionByName(alone)

@@ -1,0 +1,256 @@
+"""NULLs, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
+
+from collections import Counter
+
+import brute
+import numpy as np
+import pytest
+from conftest import LONG, ODD_ROWS, PROSE
+from pyspark.sql import functions as F
+
+from pricelab.llm import (
+    chat,
+    chat_digest,
+    content_sort,
+    dart_minhash,
+    line_dedup,
+    mixing,
+    packing,
+    personal_data,
+    quality,
+    secret_crf,
+    syncmers,
+)
+from pricelab.llm.spans import digests
+
+
+def even_model():
+    x = quality.features(["a b", "c d"])
+    return quality.fit(x, np.array([True, True]))
+
+
+OPERATORS = {
+    "fingerprint_pairs": syncmers.fingerprint_pairs,
+    "fingerprints": syncmers.fingerprints,
+    "quality_scores": lambda docs: quality.quality_scores(docs, even_model(), keep=["source"]),
+    "personal_data": lambda docs: digests(personal_data.personal_data(docs), personal_data.KINDS),
+    "secrets": lambda docs: digests(
+        secret_crf.secrets(docs, secret_crf.fit_on_base(docs)), secret_crf.KINDS
+    ),
+    "deduplicated_lines": lambda docs: line_dedup.deduplicated_lines(docs, keep=["source"]),
+    "exact_duplicates": content_sort.exact_duplicates,
+    "near_classes": dart_minhash.near_classes,
+    "mix_sources": mixing.mix_sources,
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_one_row_per_row_with_its_id(odd, name):
+    got = OPERATORS[name](odd).collect()
+    assert Counter(r.doc_id for r in got) == Counter(row[0] for row in ODD_ROWS)
+
+
+@pytest.mark.parametrize("name", [*OPERATORS, "pieces", "mixed", "without_near"])
+def test_empty_table(nothing, name):
+    more = {
+        "pieces": lambda docs: packing.pack_pieces(packing.document_pieces(docs).drop("ids")),
+        "mixed": mixing.mixed_documents,
+        "without_near": dart_minhash.without_near_copies,
+    }
+    assert (OPERATORS | more)[name](nothing).collect() == []
+
+
+def test_exact_duplicates(odd):
+    got = content_sort.exact_duplicates(odd).collect()
+    norm = [(row[0], "".join(c.lower() if c in brute.UPPER else c for c in row[1] or "")) for row in ODD_ROWS]
+    sizes = Counter(text for _, text in norm)
+    want = Counter()
+    for text in sizes:
+        ids = [i for i, t in norm if t == text]
+        keep = max((i for i in ids if i is not None), default=None)
+        for at, i in enumerate(sorted(ids, key=lambda i: i != keep)):
+            want[(i, keep, sizes[text], at == 0, brute.sha(text))] += 1
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got) == want
+
+
+def test_exact_duplicates_of_null_ids(spark):
+    rows = spark.createDataFrame([(None, "a"), (None, "A"), (None, "b")], "doc_id long, text string")
+    got = content_sort.exact_duplicates(rows).collect()
+    assert Counter((r.keep_id, r.group_size, r.kept) for r in got) == Counter(
+        [(None, 2, True), (None, 2, False), (None, 1, True)]
+    )
+
+
+def test_fingerprints_of_edited_texts(odd):
+    rows = brute.descending([(row[0], row[1] or "") for row in ODD_ROWS])
+    want = Counter()
+    for (i, text), following in zip(rows, brute.next_texts(rows)):
+        want[(i, len(text), brute.sha(syncmers.edited(text, following)))] += 1
+    got = Counter(
+        (r.doc_id, r.n_chars, r.edited_sha256) for r in syncmers.fingerprint_pairs(odd).collect()
+    )
+    assert got == want
+
+
+def test_next_document_across_buckets(spark, monkeypatch):
+    monkeypatch.setattr(syncmers, "BUCKET_ROWS", 3)
+    texts = [(i * 7 % 101 - 50, f"text number {i} " * (i % 5)) for i in range(101)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = brute.descending(texts)
+    want = {
+        i: brute.sha(syncmers.edited(text, following))
+        for (i, text), following in zip(rows, brute.next_texts(rows))
+    }
+    got = syncmers.fingerprint_pairs(frame).collect()
+    assert len(got) == 101 and {r.doc_id: r.edited_sha256 for r in got} == want
+
+
+def test_lines(spark):
+    base = "alpha beta gamma delta epsilon zeta eta theta iota"
+    texts = [
+        f"{base}\none two\n{base}",
+        "one two",  # too short to be a copy
+        base.replace("gamma", "GAMMA"),  # one word replaced
+        base + " kappa",  # one added
+        base.replace("alpha ", ""),  # one left out
+        base.replace("gamma", "g").replace("theta", "t"),  # two replaced
+        "only three words\nonly three Words",  # near, but too short for that
+        "only three words\n\n",
+        None,
+        "beta gamma delta epsilon zeta eta theta iota alpha",  # moved: two edits
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.deduplicated_lines(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == brute.kept_lines([t or "" for t in texts])
+
+
+def test_lines_by_brute_force(spark):
+    draw = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(6)]
+    seeds = [[words[j] for j in draw.integers(0, 6, 9)] for _ in range(12)]
+    texts = []
+    for _ in range(60):
+        lines = []
+        for _ in range(draw.integers(1, 6)):
+            line = list(seeds[draw.integers(12)])
+            for _ in range(draw.integers(0, 3)):
+                at, how = draw.integers(len(line)), draw.integers(3)
+                if how == 0:
+                    line[at] = words[draw.integers(6)]
+                elif how == 1:
+                    line.insert(at, words[draw.integers(6)])
+                elif len(line) > 1:
+                    del line[at]
+            lines.append(" ".join(line))
+        texts.append("\n".join(lines))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.deduplicated_lines(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == brute.kept_lines(texts)
+
+
+def test_lines_of_repeated_rows(spark):
+    rows = [(1, PROSE + "\nshort one"), (1, PROSE + "\nshort one"), (2, None), (2, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.deduplicated_lines(frame).collect()
+    assert Counter((r.doc_id, r.text, r.n_dropped) for r in got) == Counter(
+        [(1, PROSE + "\nshort one", 0), (1, "short one", 1), (2, "", 0), (2, "", 0)]
+    )
+
+
+def test_near_classes(odd):
+    got = dart_minhash.near_classes(odd).collect()
+    classes = brute.near_classes([row[1] or "" for row in ODD_ROWS])
+    assert Counter(r.class_size for r in got) == Counter(Counter(classes)[c] for c in classes)
+    assert sum(r.kept for r in got) == len(set(classes))
+    long_rows = [r for r in got if r.doc_id == 7]
+    assert [r.class_size for r in long_rows] == [2, 2]
+    left = dart_minhash.without_near_copies(odd, keep=["source"]).collect()
+    assert Counter(r.doc_id for r in left) == Counter(r.doc_id for r in got if r.kept)
+    assert LONG in {r.text for r in left} or LONG + " tail" in {r.text for r in left}
+
+
+def test_near_links_that_miss_the_centre(spark):
+    """A chain: each text is near the one beside it, the ends are not near each other."""
+    words = [f"w{i}" for i in range(120)]
+    texts, line = [], list(words)
+    for step in range(12):
+        texts.append(" ".join(line))
+        line[step * 9 : step * 9 + 6] = [f"s{step}x{i}" for i in range(6)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute.near_classes(texts)
+    got = {r.doc_id: r.class_id for r in dart_minhash.near_classes(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    assert len(set(want)) == 1 and brute.near_classes([texts[0], texts[-1]]) == [0, 1]
+
+
+def test_mix(odd):
+    rows = mixing.mix_sources(odd).collect()
+    sizes, source_of = Counter(), {}
+    for doc_id, text, source in ODD_ROWS:
+        sizes[source] += len((text or "").encode().split())
+    targets = brute.mix_targets(sizes)
+    assert sorted({round(r.target, 6) for r in rows}) == sorted({round(t, 6) for t in targets.values()})
+    assert all(0 <= r.taken <= 2 * r.size for r in rows) and not source_of
+    mixed = mixing.mixed_documents(odd)
+    assert mixed.columns == odd.columns
+    words = mixed.select(F.sum(mixing.word_count("text"))).first()[0]
+    assert abs(words - sum(r.taken for r in rows)) <= 2 * len(PROSE.split())
+
+
+def test_packing_of_odd_texts(odd):
+    pieces = packing.document_pieces(odd)
+    rows = packing.pack_pieces(pieces.drop("ids")).collect()
+    assert Counter(r.doc_id for r in rows if r.piece == 0) == Counter(row[0] for row in ODD_ROWS)
+    assert all(r.length == 1 for r in rows if r.doc_id is None)
+    lengths = Counter()
+    for r in rows:
+        lengths[r.sequence_id] += r.length
+    assert max(lengths.values()) <= 4096
+
+
+def test_ids_of_odd_texts(odd):
+    from tokenizers import Tokenizer
+
+    from pricelab.llm.tokens import ChunkIds, tokenizer_path
+
+    whole, known = Tokenizer.from_file(tokenizer_path()), ChunkIds(tokenizer_path())
+    signs = ["don't stop... it's 3.5% <|endoftext|>x ÀÉ", "é ́x a b\tc  d", "ΑΣ ΑΣΑ İ ǅ ﬀ", "漢字 カナ, 1234 ½²", "a\r\nb   c"]
+    for text in [row[1] or "" for row in ODD_ROWS] + signs:
+        ids = np.frombuffer(known.ids(text), "<u4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids, text[:60]
+
+
+def test_chat_windows(spark):
+    rows = [(1, 0, "system", "be kind"), (None, 0, "user", "hi"), (None, 1, "assistant", None)]
+    rows += [(1, t, "user" if t % 2 else "assistant", f"turn {t} " * (t % 60)) for t in range(1, 400)]
+    rows += [(2, None, None, "<|end|>\\ \\l \\"), (2, 5, "assistant", "</s>\n<|turn|>"), (2, 5, "assistant", "</s>\n<|turn|>")]
+    rows += [(3, 0, "user", LONG), (3, 1, "assistant", LONG)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    frame = frame.withColumns({name: F.lit("own") for name in ("window", "_conv", "loss", "_place")})
+    windows = chat.chat_windows(frame).collect()
+    long_one = sorted((w for w in windows if w.conv_id == 1), key=lambda w: w.window)
+    assert len(long_one) > 5 and sum(w.n_new for w in long_one) == 400
+    for w in long_one[1:]:
+        turns = chat.parsed(w.text)
+        assert turns[0] == ("system", "be kind")
+        assert len(turns) == w.n_repeated + w.n_new and w.n_repeated > 1
+        assert w.n_tokens <= 2 * chat.SPAN_TOKENS
+        assert len(w.loss) <= w.n_new
+    got = {r.conv_id: r for r in chat_digest.read_back(chat.chat_windows(frame)).collect()}
+    by = {}
+    for conv, turn, role, text in rows:
+        by.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    assert set(got) == set(by)
+    for conv, turns in by.items():
+        turns.sort()
+        loss = "".join(t for _, _, role, t in turns if role == "assistant")
+        assert got[conv].turns_sha256 == brute.sha("".join(f"{r}\n{t}\n" for _, _, r, t in turns))
+        assert (got[conv].loss_chars, got[conv].loss_sha256) == (len(loss), brute.sha(loss))
+    empty = chat_digest.read_back(chat.chat_windows(frame.where("false")))
+    assert empty.collect() == []
+
+
+def test_quality_without_labels(spark, odd):
+    labels = spark.createDataFrame([(None, 1), (3, None)], "doc_id long, quality int")
+    model = quality.fit_on_labels(odd, labels)
+    assert {r.score for r in quality.quality_scores(odd, model).collect()} == {0.5}
