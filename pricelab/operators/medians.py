@@ -8,11 +8,14 @@ An exact median needs all values of a group, so groups are told apart by size:
 
 * Groups of at most ``hot_rows`` rows: one shuffle on the group key, then one
   sorted array per group and measure, whose length the group size bounds.
-* Larger groups ("hot"): their rows are never brought together. A histogram per
-  group, merged map-side, shows in which value range the wanted rank lies; the
-  next histogram covers only that range, until few enough rows are left in it to
-  be ranked directly. Ranks stay exact throughout and no row is dropped that
-  could hold the median.
+* Larger groups ("hot"): their rows are never brought together. A quantile sketch per
+  group, merged map-side, gives two values between which the wanted rank must lie; one
+  more pass counts the rows below and, per value, those between, which are few. Whether
+  the rank lies between is checked; if it does not, the same is done on that side. The
+  number of passes does not depend on how values are spread, and ranks are exact.
+
+Values keep their type. NULL is no value; NaN is one, above all others, unless the
+measure leaves it out.
 """
 
 from __future__ import annotations
@@ -32,13 +35,8 @@ HOT_ROWS = 100_000
 #: Most hot keys, or value ranges of hot groups, that may be broadcast.
 BROADCAST_ROWS = 10_000
 
-#: Histogram rows all hot groups may have together, and per group at least.
-HISTOGRAM_ROWS = 4_000_000
-MIN_BUCKETS = 16
-MAX_BUCKETS = 65_536
-
-#: Magnitudes above are no amounts; below it, differences cannot overflow.
-LARGEST_AMOUNT = 8.0e307
+#: Accuracy of the sketch: ranks it gives are off by at most one in so many.
+SKETCH_ACCURACY = 10_000
 
 
 @dataclass(frozen=True)
@@ -48,15 +46,13 @@ class Measure:
     name: str
     value: Column
     where: Column | None = None
+    #: Treat NaN like NULL. Only for floating point values.
+    without_nan: bool = False
 
     def column(self) -> Column:
-        """The value as a double; NULL where the row does not count.
-
-        NaN compares above every number, so the bound also leaves it out.
-        """
-        number = self.value.cast("double")
-        counts = F.abs(number) <= F.lit(LARGEST_AMOUNT)
-        return F.when(counts if self.where is None else counts & self.where, number)
+        """The value in its own type; NULL where the row does not count."""
+        value = F.nanvl(self.value, F.lit(None)) if self.without_nan else self.value
+        return value if self.where is None else F.when(self.where, value)
 
 
 def approx_medians(
@@ -78,8 +74,9 @@ def exact_medians(
 ) -> DataFrame:
     """One row per group: keys and one exact median per measure.
 
-    The rows are read once to count the groups and again for the medians, so they
-    must not change from one reading to the next.
+    Jobs run while the frame is built: the rows are read once to count the groups, the
+    rows of hot groups are written and read again, and the others are read when the result
+    is, so they must not change from one reading to the next.
     With ``staged`` they are written to shared storage first; worth it where
     they come from a join or from parsing. They should then have no columns but
     those in use.
@@ -94,13 +91,8 @@ def exact_medians(
         """Keys, and one value column per measure."""
         return df.select(*keys, *columns)
 
-    statistics = [
-        F.expr(f"{function}(_v_{i}) AS _{label}_{i}")
-        for i in range(len(names))
-        for label, function in (("n", "count"), ("lo", "min"), ("hi", "max"))
-    ]
-    sizes = valued(rows).groupBy(*keys).agg(F.expr("count(*) AS _rows"), *statistics)
-    hot = sizes.where(f"_rows > {hot_rows}")
+    sizes = rows.groupBy(*keys).agg(F.expr("count(*) AS _rows"))
+    hot = sizes.where(f"_rows > {hot_rows}").drop("_rows")
     known = hot.limit(broadcast_rows + 1).collect()
     # Values differ from row to row, so combining before the shuffle would only
     # add work: the bare columns are shuffled, then aggregated in place.
@@ -114,11 +106,12 @@ def exact_medians(
         hot = stage(hot.withColumn("_g", F.monotonically_increasing_id()), "hot-groups")
     others = _match(rows, hot.select(*keys), keys, "left_anti")
     small = _small_group_medians(valued(others.repartition(*keys)), keys, names)
-    most_groups = len(known) if len(known) <= broadcast_rows else None
-    large = _hot_group_medians(
-        valued(rows), hot, keys, names, hot_rows, most_groups, broadcast_rows
-    )
-    return small.unionByName(large)
+    hot_values = stage(_match(valued(rows), hot, keys, "inner").drop(*keys), "hot-values")
+    large = hot.select("_g", *keys)
+    for place, name in enumerate(names):
+        found = _hot_medians(hot_values.select("_g", f"_v_{place}"), name, broadcast_rows)
+        large = large.join(found, "_g", "left")
+    return small.unionByName(large.drop("_g"))
 
 
 def series(medians: DataFrame, keys: Sequence[str], labels: dict[str, dict[str, str]]) -> DataFrame:
@@ -129,7 +122,7 @@ def series(medians: DataFrame, keys: Sequence[str], labels: dict[str, dict[str,
     entries = [
         "struct("
         + "".join(f"{_text(text)} AS {_name(label)}, " for label, text in labels[measure].items())
-        + f"{_name(measure)} AS price)"
+        + f"cast({_name(measure)} AS double) AS price)"
         for measure in labels
     ]
     rows = medians.select(*keys, F.expr(f"inline(array({', '.join(entries)}))"))
@@ -154,87 +147,60 @@ def _small_group_medians(values: DataFrame, keys: list[str], names: list[str]) -
     return values.groupBy(*keys).agg(*lists).select(*keys, *middles)
 
 
-def _hot_group_medians(
-    values: DataFrame,
-    hot: DataFrame,
-    keys: list[str],
-    names: list[str],
-    hot_rows: int,
-    most_groups: int | None,
-    broadcast_rows: int,
-) -> DataFrame:
-    """``hot`` has a number ``_g`` per group, its keys, and its statistics.
-
-    A range (_g, _m, _n, _lo, _hi, _rank) says that the median of measure ``_m``
-    in group ``_g`` is the value at ``_rank`` among the ``_n`` from ``_lo`` to ``_hi``.
-    """
-    places = range(len(names))
-    whole = ", ".join(
-        f"struct({i} AS _m, _n_{i} AS _n, _lo_{i} AS _lo, _hi_{i} AS _hi,"
-        f" (_n_{i} + 1) div 2 AS _rank)"
-        for i in places
+def _hot_medians(values: DataFrame, name: str, broadcast_rows: int) -> DataFrame:
+    """(_g, value) to (_g, median ``name``), in two passes unless a sketch was off."""
+    column = values.columns[1]
+    kind = values.schema[column].dataType
+    values = values.where(F.col(column).isNotNull()).select("_g", F.col(column).alias("_v"))
+    number = "cast(_v AS double)"
+    if kind in (T.DoubleType(), T.FloatType()):
+        number = f"if(isnan(_v), double('Infinity'), {number})"  # the sketch cannot order NaN
+    slack = 2.0 / SKETCH_ACCURACY
+    shares = f"array({0.5 - slack}, {0.5 + slack})"
+    sketch = F.expr(f"approx_percentile({number}, {shares}, {SKETCH_ACCURACY}) AS _ends")
+    counted = values.groupBy("_g").agg(F.expr("(count(*) + 1) div 2 AS _rank"), sketch)
+    text = kind.simpleString()
+    # An end at infinity, or outside the type, leaves that side open.
+    ranges = counted.select(
+        "_g",
+        "_rank",
+        F.expr(f"if(abs(_ends[0]) < 'Infinity', try_cast(_ends[0] AS {text}), NULL) AS _lo"),
+        F.expr(f"if(abs(_ends[1]) < 'Infinity', try_cast(_ends[1] AS {text}), NULL) AS _hi"),
     )
-    ranges = hot.selectExpr("_g", f"inline(array({whole}))").where("_n > 0")
-
-    def inside(some: DataFrame, n_ranges: int) -> DataFrame:
-        """The values (_g, _m, _v) that lie in the range of their group and measure."""
-        by_group = some.groupBy("_g").agg(
-            *[
-                F.expr(f"max(CASE WHEN _m = {i} THEN _{label} END) AS _{label}_{i}")
-                for i in places
-                for label in ("lo", "hi", "rank")
-            ]
+    medians = None
+    while True:
+        ranges = stage(ranges, "hot-ranges")
+        n_ranges = ranges.count()
+        if not n_ranges and medians is not None:
+            return medians
+        counts = (
+            values.join(small_side(ranges, n_ranges, broadcast_rows), "_g")
+            .select("_g", "_rank", "_lo", "_hi", "_v", F.expr("coalesce(_v < _lo, false) AS _below"))
+            .where("_below OR _hi IS NULL OR _v <= _hi")
+            .select("_g", "_rank", "_lo", "_hi", "_below", F.expr("if(_below, NULL, _v) AS _v"))
+            .groupBy("_g", "_rank", "_lo", "_hi", "_below", "_v")
+            .agg(F.expr("count(*) AS _n"))
         )
-        by_group = by_group.join(hot.select("_g", *keys), "_g")
-        n_groups = n_ranges if most_groups is None else min(n_ranges, most_groups)
-        matched = _match(values, small_side(by_group, n_groups, broadcast_rows), keys, "inner")
-        entries = ", ".join(
-            f"struct({i} AS _m, CASE WHEN _v_{i} BETWEEN _lo_{i} AND _hi_{i} THEN _v_{i} END AS _v,"
-            f" _lo_{i} AS _lo, _hi_{i} AS _hi, _rank_{i} AS _rank)"
-            for i in places
+        through = "sum(_n) OVER (PARTITION BY _g ORDER BY _below DESC, _v) AS _through"
+        whole = "sum(_n) OVER (PARTITION BY _g) AS _seen"
+        placed = stage(counts.selectExpr("*", through, whole), "hot-counts")
+        at_rank = placed.where("_through >= _rank AND _through - _n < _rank AND NOT _below")
+        found = at_rank.select("_g", F.col("_v").alias(name))
+        medians = found if medians is None else medians.unionByName(found)
+        # The rank lies below the range, or above: open that side.
+        ranges = (
+            placed.groupBy("_g", "_rank", "_lo", "_hi")
+            .agg(
+                F.expr("sum(if(_below, _n, 0)) AS _n_below"), F.expr("max(_seen) AS _through")
+            )
+            .where("_rank <= _n_below OR _rank > _through")
+            .selectExpr(
+                "_g",
+                "_rank",
+                "if(_rank <= _n_below, NULL, _hi) AS _lo",
+                "if(_rank <= _n_below, _lo, NULL) AS _hi",
+            )
         )
-        return matched.selectExpr("_g", f"inline(array({entries}))").where("_v IS NOT NULL")
-
-    too_wide = f"_lo < _hi AND _n > {hot_rows}"
-    while n_wide := ranges.where(too_wide).count():
-        narrowed = _narrow(inside(ranges.where(too_wide), n_wide), n_wide)
-        ranges = stage(ranges.where(f"NOT ({too_wide})").unionByName(narrowed), "hot-ranges")
-
-    unsettled = ranges.where("_lo < _hi")
-    found = (
-        inside(unsettled, unsettled.count())
-        .selectExpr("*", "row_number() OVER (PARTITION BY _g, _m ORDER BY _v) AS _at")
-        .where("_at = _rank")
-        .select("_g", "_m", "_v")
-        .unionByName(ranges.where("_lo = _hi").selectExpr("_g", "_m", "_lo AS _v"))
-    )
-    medians = found.groupBy("_g").agg(
-        *[F.expr(f"max(CASE WHEN _m = {i} THEN _v END) AS {_name(names[i])}") for i in places]
-    )
-    return hot.select("_g", *keys).join(medians, "_g", "left").drop("_g")
-
-
-def _narrow(values: DataFrame, n_ranges: int) -> DataFrame:
-    """The part of each range that holds its rank, and the rank within that part.
-
-    The lowest and the highest value of a range never share a bucket, so every
-    step leaves fewer rows.
-    """
-    buckets = max(MIN_BUCKETS, min(MAX_BUCKETS, HISTOGRAM_ROWS // n_ranges))
-    share = "(_v - _lo) / (_hi - _lo)"
-    bucket = F.expr(f"least(floor({share} * {buckets}), {buckets - 1}L) AS _bucket")
-    histogram = values.groupBy("_g", "_m", bucket).agg(
-        F.expr("count(*) AS _n"),
-        F.expr("min(_v) AS _lo"),
-        F.expr("max(_v) AS _hi"),
-        F.expr("max(_rank) AS _rank"),
-    )
-    so_far = "sum(_n) OVER (PARTITION BY _g, _m ORDER BY _bucket ROWS UNBOUNDED PRECEDING)"
-    return (
-        histogram.selectExpr("*", f"{so_far} - _n AS _before")
-        .where("_before < _rank AND _rank <= _before + _n")
-        .selectExpr("_g", "_m", "_n", "_lo", "_hi", "_rank - _before AS _rank")
-    )
 
 
 def small_side(df: DataFrame, n_rows: int, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:

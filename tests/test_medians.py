@@ -1,6 +1,7 @@
 import math
 import random
 from collections import defaultdict
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ KEYS = ["area", "month"]
 
 
 def lower_median(values):
-    kept = sorted(v for v in values if v is not None and not math.isnan(v) and not math.isinf(v))
+    kept = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), v))
     return kept[(len(kept) + 1) // 2 - 1] if kept else None
 
 
@@ -77,12 +78,60 @@ def test_exact_equals_brute_force_on_every_path(spark, hot_rows, broadcast_rows,
     assert as_dict(got) == brute_force(rows)
 
 
-def test_hot_path_with_few_buckets_needs_several_steps(spark, monkeypatch):
-    monkeypatch.setattr(M, "MAX_BUCKETS", 16)
-    rows = [("x", 0, float(10**e), 1.0) for e in range(0, 40)] * 3
-    rows += [("x", 0, 1e300, 1.0), ("x", 0, -1e300, 1.0)]
-    got = M.exact_medians(frame(spark, rows), KEYS, measures(), hot_rows=5)
-    assert as_dict(got) == brute_force(rows)
+def passes(monkeypatch, spark, values):
+    """How often rows are counted against ranges, and the median."""
+    counted = []
+    real = M.small_side
+    monkeypatch.setattr(M, "small_side", lambda *a: counted.append(a) or real(*a))
+    rows = [("x", 0, v, 1.0) for v in values]
+    got = M.exact_medians(frame(spark, rows), KEYS, [measures()[0]], hot_rows=5).first().total
+    monkeypatch.undo()
+    assert got == lower_median(values)
+    return len(counted)
+
+
+def test_passes_do_not_depend_on_the_values(spark, monkeypatch):
+    uniform = [float(i) for i in range(2000)]
+    tails = [math.exp(math.exp(random.Random(i).gauss(0, 1.5))) for i in range(2000)]
+    powers = [float(10**e) for e in range(0, 300)] * 3 + [1e308, -1e308, float("inf"), float("-inf")]
+    same = [7.0] * 500
+    assert {passes(monkeypatch, spark, v) for v in (uniform, tails, powers, same)} == {1}
+
+
+def test_no_value_is_left_out(spark):
+    inf, nan = float("inf"), float("nan")
+    for values in ([1.0, inf, inf], [-inf, -inf, 1.0], [1.0, nan, nan], [1.7e308, 1.7e308, -1.0]):
+        df = frame(spark, [("x", 0, v, 1.0) for v in values])
+        for hot_rows in (100, 1):
+            got = M.exact_medians(df, KEYS, [measures()[0]], hot_rows=hot_rows).first().total
+            assert str(got) == str(lower_median(values))
+            left = [M.Measure("total", F.col("price"), without_nan=True)]
+            got = M.exact_medians(df, KEYS, left, hot_rows=hot_rows).first().total
+            assert got == lower_median([v for v in values if not math.isnan(v)])
+
+
+def test_types_are_kept(spark):
+    large = 9007199254740993
+    for kind, values in {
+        "bigint": [large - 2, large, large + 2, None],
+        "decimal(38,3)": [Decimal("12345678901234567890.001"), Decimal("1e3"), Decimal("9e30")],
+        "int": [3, 1, 2, 9],
+    }.items():
+        df = spark.createDataFrame([("x", v) for v in values * 9], f"area string, v {kind}")
+        want = sorted(v for v in values * 9 if v is not None)
+        for hot_rows in (100, 1):
+            got = M.exact_medians(df, ["area"], [M.Measure("m", F.col("v"))], hot_rows=hot_rows)
+            assert got.schema["m"].dataType == df.schema["v"].dataType
+            assert got.first().m == want[(len(want) - 1) // 2]
+
+
+def test_a_range_that_misses_the_rank_is_opened(spark, monkeypatch):
+    monkeypatch.setattr(M, "SKETCH_ACCURACY", -20)  # ends swapped: the rank lies outside
+    rows = [("x", 0, float(v), 1.0) for v in range(400)] + [("y", 0, float(v * v), 1.0) for v in range(99)]
+    real = F.expr
+    monkeypatch.setattr(M.F, "expr", lambda text: real(text.replace(", -20)", ", 20)")))
+    got = M.exact_medians(frame(spark, rows), KEYS, [measures()[0]], hot_rows=5)
+    assert {r.area: r.total for r in got.collect()} == {"x": 199.0, "y": 49.0**2}
 
 
 def test_even_group_gives_the_lower_value(spark):
