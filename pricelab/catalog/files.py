@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelab import fixed_values as V
-from pricelab.catalog.registry import query, table
+from pricelab.catalog import book_writer
+from pricelab.catalog.registry import fixture, query, table
 from pricelab.plans import feeds
 from pricelab.plans.staging import new_folder, stage
-from pricelab.sources import workbook
 from pricelab.sources.delimited import header, read_csv
 from pricelab.sources.documents import read_provider_series
 from pricelab.sources.sheets import infer_schema, read_sheets
@@ -20,7 +20,8 @@ from pricelab.sources.sheets import infer_schema, read_sheets
 
 def write_csv(df: DataFrame, label: str) -> str:
     path = new_folder(df.sparkSession, label)
-    df.write.option("header", True).csv(path)
+    with fixture():
+        df.write.option("header", True).csv(path)
     return path
 
 
@@ -37,7 +38,32 @@ ODD_PRICE = "SALE SEGMENT 1: Price/Total (C.A.M.A. #90)"
     """
 )
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = write_csv(
+    return read_csv(spark, orders_csv(spark, sf_dir)).select(
+        header("Order.Key").try_cast("long").alias("o_orderkey"),
+        F.try_to_date(header(ODD_DATE)).alias("date"),
+        header(ODD_PRICE).try_cast("double").alias("price"),
+        "category",
+    )
+
+
+@query(
+    """
+    SELECT o_orderkey, o_orderdate::date AS date, o_totalprice AS price, o_orderpriority AS category
+    FROM orders
+    """
+)
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with types found by reading the whole input."""
+    return read_csv(spark, orders_csv(spark, sf_dir), infer=True).select(
+        header("Order.Key").cast("long").alias("o_orderkey"),
+        header(ODD_DATE).alias("date"),
+        header(ODD_PRICE).alias("price"),
+        "category",
+    )
+
+
+def orders_csv(spark: SparkSession, sf_dir: str) -> str:
+    return write_csv(
         table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").alias("Order.Key"),
             F.col("o_custkey").alias("not read"),
@@ -47,12 +73,6 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "csv",
     )
-    return read_csv(spark, path).select(
-        header("Order.Key").try_cast("long").alias("o_orderkey"),
-        F.try_to_date(header(ODD_DATE)).alias("date"),
-        header(ODD_PRICE).try_cast("double").alias("price"),
-        "category",
-    )
 
 
 ROLL = """
@@ -165,7 +185,8 @@ def write_documents(spark: SparkSession, sf_dir: str) -> str:
         F.format_string("Z_%s.json", metric).alias("file"),
     )
     path = new_folder(spark, "documents")
-    documents.write.option("ignoreNullFields", False).partitionBy("file").json(path)
+    with fixture():
+        documents.write.option("ignoreNullFields", False).partitionBy("file").json(path)
     return path
 
 
@@ -235,7 +256,7 @@ def as_workbooks(ledger: DataFrame, titles: list[str]) -> DataFrame:
         held: list = []
 
         def book(rows: list) -> pa.RecordBatch:
-            content = workbook.write(titles, names, rows, dates)
+            content = book_writer.write(titles, names, rows, dates)
             return pa.RecordBatch.from_pydict({"path": ["derived"], "content": [content]})
 
         for batch in batches:
@@ -277,9 +298,10 @@ def ledger_from_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     the others.
     """
     rows = ledger_rows(spark, sf_dir)
-    newer = F.year("SALE DATE") >= 1998
-    old_books = stage(as_workbooks(rows.where(~newer), ["SALES", "", "BY CLASS"]), "books")
-    new_books = stage(as_workbooks(rows.where(newer), ["SALES", "", "", "BY CLASS"]), "books")
+    newer = F.coalesce(F.year("SALE DATE") >= 1998, F.lit(False))
+    with fixture():
+        old_books = stage(as_workbooks(rows.where(~newer), ["SALES", "", "BY CLASS"]), "books")
+        new_books = stage(as_workbooks(rows.where(newer), ["SALES", "", "", "BY CLASS"]), "books")
     schema = infer_schema(old_books, "0!A4")
     older = read_sheets(old_books, schema, "0!A5")
     return older.unionByName(read_sheets(new_books, schema, "0!A6", empty_as_null=False))

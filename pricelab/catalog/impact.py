@@ -15,18 +15,27 @@ from pricelab.plans.staging import stage
 
 
 def nation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One event per nation, each a month after the other's."""
-    start = F.lit("1996-01-01").cast("date")
-    return table(spark, sf_dir, "nation").select(
+    """Per nation an event in the middle of a month, and again with another id some days on.
+
+    One more area has an event and no sales.
+    """
+    start = F.lit("1996-01-11").cast("date")
+    nations = table(spark, sf_dir, "nation").select(
         zip_from_int(F.col("n_nationkey")).alias("zip_code"),
         F.add_months(start, F.col("n_nationkey")).alias("event_month"),
     )
+    again = nations.withColumn("event_month", F.date_add("event_month", 9))
+    nowhere = nations.where("zip_code = '00000'").withColumn("zip_code", F.lit("99999"))
+    return nations.withColumn("id", F.lit(1)).unionByName(again.withColumn("id", F.lit(2))).unionByName(
+        nowhere.withColumn("id", F.lit(3))
+    )
 
 
 EVENTS = """
     SELECT printf('%05d', n_nationkey) AS zip_code,
            (DATE '1996-01-01' + to_months(n_nationkey))::date AS event_month
     FROM nation
+    UNION SELECT '99999', DATE '1996-01-01'
 """
 
 
@@ -41,7 +50,9 @@ EVENTS = """
                quantile_disc(price, 0.5) FILTER (WHERE date < event_month) AS price_before,
                quantile_disc(price, 0.5) FILTER (WHERE date >= event_month) AS price_after
         FROM near GROUP BY zip_code, event_month)
-    SELECT *, (price_after - price_before) / price_before AS change FROM medians
+    SELECT zip_code, event_month, price_before, price_after,
+           (price_after - price_before) / price_before AS change
+    FROM ({EVENTS}) LEFT JOIN medians USING (zip_code, event_month)
     """
 )
 def event_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +76,8 @@ def event_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
         GROUP BY zip_code, event_month)
     SELECT zip_code, event_month, baseline, recovered,
            cast(datediff('month', event_month, recovered) AS integer) AS n_months
-    FROM baseline LEFT JOIN later USING (zip_code, event_month)
+    FROM events LEFT JOIN baseline USING (zip_code, event_month)
+         LEFT JOIN later USING (zip_code, event_month)
     """
 )
 def recovery_months(spark: SparkSession, sf_dir: str) -> DataFrame:

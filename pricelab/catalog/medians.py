@@ -69,10 +69,14 @@ def approx_median_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(F.col("price") <= F.col("median")).alias("up_to"),
         )
     )
+    return ranked.select(*AREA_MONTH, "n_sales", rank_is_near().alias("within_bound"))
+
+
+def rank_is_near() -> Column:
+    """Whether a value with so many ``below`` and ``up_to`` it is within a percent of the middle."""
     middle = F.ceil(F.col("n_sales") / 2)
     slack = F.ceil(F.col("n_sales") / 100)
-    within = (F.col("below") - slack < middle) & (middle <= F.col("up_to") + slack)
-    return ranked.select(*AREA_MONTH, "n_sales", within.alias("within_bound"))
+    return (F.col("below") - slack < middle) & (middle <= F.col("up_to") + slack)
 
 
 @query(
@@ -101,6 +105,13 @@ SEGMENT_SETS = {
     SINGLE_FAMILY: "'STANDARD'",
 }
 
+SEGMENT_VALUES = " UNION ALL ".join(
+    f"""SELECT zip_code, date, '{segment}' AS segment, '{measure}' AS measure, {measure} AS value
+        FROM sales WHERE p_type IN ({types})"""
+    for segment, types in SEGMENT_SETS.items()
+    for measure in (TOTAL, PER_SQUARE_FOOT)
+)
+
 SEGMENT_MEDIANS = " UNION ALL ".join(
     f"""
     SELECT zip_code, date, '{segment}' AS segment, '{measure}' AS measure,
@@ -119,18 +130,100 @@ def segment_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medians_by_segment(sales, type_segments(F.col("p_type")), staged=True)
 
 
+@query(
+    f"""
+    WITH sales AS ({PART_SALES}), long AS ({SEGMENT_VALUES})
+    SELECT zip_code, date, segment, measure, count(*) AS n_sales, TRUE AS within_bound
+    FROM long WHERE value IS NOT NULL GROUP BY ALL
+    """
+)
+def approx_segment_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate medians of all segments and measures, held against their ranks."""
+    sales = stage(part_sales(spark, sf_dir), "sales")
+    segments = type_segments(F.col("p_type"))
+    keys = [*AREA_MONTH, "segment", "measure"]
+    medians = stage(medians_by_segment(sales, segments, method="approx", accuracy=100), "medians")
+    values = sales.select(
+        *AREA_MONTH,
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(segment).alias("segment"),
+                        F.lit(measure).alias("measure"),
+                        F.when(where, F.col(measure)).alias("value"),
+                    )
+                    for segment, where in segments.items()
+                    for measure in (TOTAL, PER_SQUARE_FOOT)
+                ]
+            )
+        ),
+    ).where(F.col("value").isNotNull())
+    ranked = (
+        values.join(small_side(medians, medians.count()), keys)
+        .groupBy(*keys)
+        .agg(
+            F.count(F.lit(1)).alias("n_sales"),
+            F.count_if(F.col("value") < F.col("price")).alias("below"),
+            F.count_if(F.col("value") <= F.col("price")).alias("up_to"),
+        )
+    )
+    return ranked.select(*keys, "n_sales", rank_is_near().alias("within_bound"))
+
+
+def skewed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most sales are of one area, and their prices have a long tail."""
+    hot = F.col("o_orderkey") % 10 < 7
+    return table(spark, sf_dir, "orders").select(
+        F.when(hot, "99999").otherwise(F.col("o_orderpriority")).alias("zip_code"),
+        F.when(hot, F.exp(F.col("o_totalprice") / 2000)).otherwise(F.col("o_totalprice")).alias("price"),
+        F.when(~hot | (F.col("o_orderkey") % 3 == 0), F.col("o_custkey")).alias("customer"),
+    )
+
+
+SKEWED_MEDIANS = """
+    WITH sales AS (
+        SELECT CASE WHEN o_orderkey % 10 < 7 THEN '99999' ELSE o_orderpriority END AS zip_code,
+               o_totalprice AS total, o_orderkey % 10 < 7 AS hot,
+               CASE WHEN o_orderkey % 10 >= 7 OR o_orderkey % 3 = 0 THEN o_custkey END AS customer
+        FROM orders)
+    SELECT zip_code, count(*) AS n_sales,
+           CASE WHEN any_value(hot) THEN exp(quantile_disc(total, 0.5) / 2000)
+                ELSE quantile_disc(total, 0.5) END AS price,
+           quantile_disc(customer, 0.5) AS customer
+    FROM sales GROUP BY zip_code
+"""
+
+
+def skewed(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
+    sales = stage(skewed_sales(spark, sf_dir), "sales")
+    measures = [Measure(name, F.col(name)) for name in ("price", "customer")]
+    sizes = sales.groupBy("zip_code").agg(F.count(F.lit(1)).alias("n_sales"))
+    return exact_medians(sales, ["zip_code"], measures, **limits).join(sizes, "zip_code")
+
+
+@query(SKEWED_MEDIANS)
+def skewed_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every group is hot; the hot keys are broadcast."""
+    return skewed(spark, sf_dir, hot_rows=1_000)
+
+
+@query(SKEWED_MEDIANS)
+def skewed_medians_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where no side may be broadcast."""
+    return skewed(spark, sf_dir, hot_rows=1_000, broadcast_rows=0)
+
+
 @query(
     """
-    SELECT substr(o_orderpriority, 1, 2) AS building_code,
-           string_agg(DISTINCT trim(substr(o_orderpriority, 3)), '|'
-                      ORDER BY trim(substr(o_orderpriority, 3))) AS descriptions
-    FROM orders GROUP BY 1
+    SELECT DISTINCT substr(o_orderpriority, 1, 2) AS building_code,
+           trim(substr(o_orderpriority, 3)) AS description
+    FROM orders
     """
 )
 def category_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = F.col("o_orderpriority")
-    found = dictionary(table(spark, sf_dir, "orders"), class_code(priority), class_description(priority))
-    return found.withColumn("descriptions", F.array_join("descriptions", "|"))
+    return dictionary(table(spark, sf_dir, "orders"), class_code(priority), class_description(priority))
 
 
 @query(

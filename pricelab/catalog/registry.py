@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,9 @@ from pricelab.functions import month_start, unit_price, zip_from_int
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Seconds spent on writing the files that queries read.
+fixture_seconds: list[float] = []
+
 _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}
 
@@ -27,6 +32,14 @@ def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@contextmanager
+def fixture() -> Iterator[None]:
+    """Around the writing of a query's input files, so that a benchmark can tell it apart."""
+    start = time.perf_counter()
+    yield
+    fixture_seconds.append(time.perf_counter() - start)
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 

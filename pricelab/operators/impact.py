@@ -1,6 +1,7 @@
 """What an event did to the prices of an area, and how long recovery took.
 
-Events are rows (zip_code, event_month).
+Events are rows (zip_code, event_month, ...); any day of a month stands for that month, and
+events of one area and month are one event. Every event keeps a row.
 """
 
 from __future__ import annotations
@@ -8,11 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricelab.functions import month_start
 from pricelab.operators.medians import Measure, exact_medians
 
 EVENT = ("zip_code", "event_month")
 
 
+def area_events(events: DataFrame) -> DataFrame:
+    """One row per area and month with an event."""
+    month = month_start(F.col("event_month")).alias("event_month")
+    return events.select("zip_code", month).distinct()
+
+
 def sales_around_events(
     sales: DataFrame, events: DataFrame, months_before: int, months_after: int
 ) -> DataFrame:
@@ -26,12 +34,16 @@ def sales_around_events(
         F.add_months("event_month", months_after),
         F.expr("interval 1 month"),
     )
-    months = events.distinct().select(*EVENT, F.explode(window).alias("date"))
-    return sales.join(months, ["zip_code", "date"])
+    months = area_events(events).select(*EVENT, F.explode(window).alias("date"))
+    monthly = sales.withColumn("date", month_start(F.col("date")))
+    return monthly.join(months, ["zip_code", "date"])
 
 
 def event_impact(sales: DataFrame, events: DataFrame, months: int = 6, **options) -> DataFrame:
-    """Median price in the ``months`` before each event and from it on, and the change."""
+    """Median price in the ``months`` before each event and from it on, and the change.
+
+    Medians without sales are NULL.
+    """
     near = sales_around_events(sales, events, months, months - 1).select(*EVENT, "date", "price")
     before = F.col("date") < F.col("event_month")
     medians = exact_medians(
@@ -41,7 +53,7 @@ def event_impact(sales: DataFrame, events: DataFrame, months: int = 6, **options
         **options,
     )
     change = F.try_divide(F.col("price_after") - F.col("price_before"), F.col("price_before"))
-    return medians.withColumn("change", change)
+    return area_events(events).join(medians, list(EVENT), "left").withColumn("change", change)
 
 
 def recovery_months(
@@ -54,15 +66,25 @@ def recovery_months(
     """Months from each event until the area's monthly median is back at the baseline.
 
     The baseline is the median of the sales in the ``baseline_months`` before the
-    event. Areas that have not recovered keep a row without a recovery month.
+    event, NULL without any. ``monthly`` has one row per area and month, so an area's
+    months, a few hundred, make one list, which each of its events looks through.
     """
     near = sales_around_events(sales, events, baseline_months, -1).select(*EVENT, "price")
     baseline = exact_medians(near, EVENT, [Measure("baseline", F.col("price"))], **options)
-    later = (
-        baseline.join(monthly, "zip_code")
-        .where((F.col("date") > F.col("event_month")) & (F.col("price") >= F.col("baseline")))
-        .groupBy(*EVENT)
-        .agg(F.min("date").alias("recovered"))
+    months = monthly.groupBy("zip_code").agg(
+        F.sort_array(
+            F.collect_list(F.struct(month_start(F.col("date")).alias("date"), "price"))
+        ).alias("months")
+    )
+    recovered = F.filter(
+        "months",
+        lambda m: (m["date"] > F.col("event_month")) & (m["price"] >= F.col("baseline")),
+    )
+    found = (
+        area_events(events)
+        .join(baseline, list(EVENT), "left")
+        .join(months, "zip_code", "left")
+        .select(*EVENT, "baseline", F.get(recovered, F.lit(0))["date"].alias("recovered"))
     )
     wait = F.months_between("recovered", "event_month").cast("int")
-    return baseline.join(later, list(EVENT), "left").withColumn("n_months", wait)
+    return found.withColumn("n_months", wait)

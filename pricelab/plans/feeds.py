@@ -132,14 +132,24 @@ def read_listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 # ---- provider series --------------------------------------------------------
 
 
-def provider_series(pairs: DataFrame) -> DataFrame:
-    """Provider rows with segment and measure for their metric; other metrics left out."""
+def provider_series(pairs: DataFrame, others: str = "raise") -> DataFrame:
+    """Provider rows with segment and measure for their metric.
+
+    A metric without them is an error, unless ``others`` is ``drop``.
+    """
+    if others not in ("raise", "drop"):
+        raise ValueError(f"others must be 'raise' or 'drop', not {others!r}")
     segment, measure = F.lit(None).cast("string"), F.lit(None).cast("string")
     for metric, (its_segment, its_measure) in V.PROVIDER_METRICS.items():
         segment = F.when(F.col("metric") == metric, its_segment).otherwise(segment)
         measure = F.when(F.col("metric") == metric, its_measure).otherwise(measure)
-    known = pairs.where(F.col("metric").isin(list(V.PROVIDER_METRICS)))
-    labelled = known.withColumn("segment", segment).withColumn("measure", measure)
+    is_known = F.coalesce(F.col("metric").isin(list(V.PROVIDER_METRICS)), F.lit(False))
+    if others == "drop":
+        pairs = pairs.where(is_known)
+    else:
+        unknown = F.raise_error(F.concat(F.lit("unknown metric: "), F.coalesce("metric", F.lit("NULL"))))
+        segment = F.when(is_known, segment).otherwise(unknown.cast("string"))
+    labelled = pairs.withColumn("segment", segment).withColumn("measure", measure)
     return as_series(labelled, source=V.PROVIDER)
 
 
@@ -176,9 +186,9 @@ def source_tables(source: str) -> dict[str, Column]:
 
 def write_series(
     series: DataFrame, source: str, target: JdbcTarget | FolderTarget, mode: str = "overwrite"
-) -> None:
-    """Write a source's series to its tables."""
-    fan_out(series, target, source_tables(source), mode)
+) -> int:
+    """Write a source's series to its tables; return how many rows none of them takes."""
+    return fan_out(series, target, source_tables(source), mode)
 
 
 def register_views(frames: Mapping[str, DataFrame]) -> None:

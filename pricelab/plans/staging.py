@@ -42,11 +42,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet and return a scan of the written table."""
+def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet and return a scan of the written table.
+
+    With ``partition_by`` a filter on that column reads only its rows.
+    """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

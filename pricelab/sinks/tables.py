@@ -12,6 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricelab.plans.staging import stage
 
@@ -79,17 +80,22 @@ def fan_out(
     mode: str = "overwrite",
     columns: tuple[str, ...] = ("zip_code", "date", "price"),
     at_once: int = 3,
-) -> None:
-    """Write the rows of each table's condition; ``df`` is computed once.
+) -> int:
+    """Write the rows of each table's condition; return how many rows no table takes.
 
-    The tables are independent and small next to their sources, so ``at_once``
+    ``df`` is computed once and written in a folder per table, so that each table reads its
+    own rows only. A row may go to several tables. The tables are independent and small next to their sources, so ``at_once``
     of them are written at the same time. ``overwrite`` is the default here, so
     that a run can be repeated.
     """
-    once = stage(df, "fan-out")
+    named = [F.when(where, F.lit(table)) for table, where in tables.items()]
+    its_tables = F.array_compact(F.array(*named))
+    dealt = df.withColumn("_table", F.explode_outer(its_tables))
+    once = stage(dealt.select(*columns, "_table"), "fan-out", partition_by="_table")
 
     def write(table: str) -> None:
-        target.write(once.where(tables[table]).select(*columns), table, mode)
+        target.write(once.where(F.col("_table") == table).select(*columns), table, mode)
 
     with ThreadPoolExecutor(at_once) as writers:
         list(writers.map(write, tables))
+    return once.where(F.col("_table").isNull()).count()

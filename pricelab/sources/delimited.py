@@ -17,9 +17,10 @@ def read_csv(
 
     Without a schema all columns are texts, for which only one header line is
     read up front; wide files are parsed for the selected columns only. ``infer``
-    reads the whole input once more to find types.
+    reads the whole input once more to find types. Files whose header has the read columns
+    in another order, or under other names, fail: read each layout on its own.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:

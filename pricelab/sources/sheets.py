@@ -77,7 +77,11 @@ def read_sheets(
 
 
 def infer_schema(books: DataFrame, header_address: str) -> T.StructType:
-    """Names from the header row and types from the data of one of the workbooks."""
+    """Names from the header row, types from the data below it, of all workbooks.
+
+    A column of several types is text, one without data too. The workbooks must have the
+    same header; to impose that of one on others, give that one alone.
+    """
     sheet, header_row, first_column = workbook.parse_address(header_address)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,10 +93,26 @@ def infer_schema(books: DataFrame, header_address: str) -> T.StructType:
                     pa.schema([("place", pa.int32()), ("name", pa.string()), ("type", pa.string())]),
                 )
 
-    columns = books.select("content").limit(1).mapInArrow(look, "place int, name string, type string")
+    looks = books.select("content").mapInArrow(look, "place int, name string, type string")
+    columns = (
+        looks.groupBy("place")
+        .agg(
+            F.count("*").alias("books"),
+            F.min("name").alias("name"),
+            F.max("name").alias("last"),
+            F.collect_set(F.when(F.col("type") != "", F.col("type"))).alias("types"),
+        )
+        .orderBy("place")
+        .collect()
+    )
+    if any(c.name != c.last or c.books != columns[0].books for c in columns):
+        raise ValueError("the workbooks have different headers")
     kinds = {"double": T.DoubleType(), "date": T.DateType(), "string": T.StringType()}
     return T.StructType(
-        [T.StructField(c.name, kinds[c.type]) for c in sorted(columns.collect(), key=lambda c: c.place)]
+        [
+            T.StructField(c.name, kinds[c.types[0]] if len(c.types) == 1 else T.StringType())
+            for c in columns
+        ]
     )
 
 
@@ -103,6 +123,14 @@ def _typed(text: Column, field: T.StructField, empty_as_null: bool) -> Column:
         # Dates are stored as days since 1899-12-30, or as texts.
         days = F.floor(text.try_cast("double")).cast("int")
         value = F.coalesce(F.date_add(F.lit("1899-12-30").cast("date"), days), F.try_to_date(text))
-    else:
+    elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        # The fraction of a day is the time, on the clock of the session.
+        seconds = F.round(text.try_cast("double") * 86400, 3).try_cast("decimal(18,6)")
+        start = F.lit("1899-12-30").cast("timestamp_ntz")
+        serial = start + F.make_dt_interval(secs=seconds)
+        value = F.coalesce(serial, text.try_cast("timestamp_ntz")).cast(field.dataType)
+    elif isinstance(field.dataType, (T.NumericType, T.BooleanType)):
         value = text.try_cast("double").try_cast(field.dataType)
+    else:
+        raise ValueError(f"cells cannot be read as {field.dataType.simpleString()}")
     return value.alias(field.name)

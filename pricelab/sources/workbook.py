@@ -5,14 +5,13 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator
 from xml.etree import ElementTree
-from xml.sax.saxutils import escape
 
 # Fixed values of the file format.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
-ROW, CELL, VALUE, INLINE, TEXT, RUN = (MAIN + tag for tag in ("row", "c", "v", "is", "t", "r"))
+DATA, ROW, CELL, VALUE, INLINE, TEXT, RUN = (MAIN + tag for tag in ("sheetData", "row", "c", "v", "is", "t", "r"))
 DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 
 EMPTY = ("", False)
@@ -37,14 +36,17 @@ def rows(
 ) -> Iterator[list[tuple[str, bool]]]:
     """(text, is a date) per cell from the given cell on; rows without text are left out.
 
-    The sheet is streamed: what stays of a row already given out is an empty node.
+    The sheet is streamed: a row already given out leaves nothing behind.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         texts = _shared_texts(book)
         dates = _date_styles(book)
         with book.open(_sheet_member(book, sheet)) as xml:
-            number = 0
-            for _, node in ElementTree.iterparse(xml):
+            number, parent = 0, None
+            for event, node in ElementTree.iterparse(xml, ("start", "end")):
+                if event == "start":
+                    parent = node if node.tag == DATA else parent
+                    continue
                 if node.tag != ROW:
                     continue
                 number = int(node.get("r", number + 1))
@@ -52,13 +54,16 @@ def rows(
                     cells = _cells(node, texts, dates, first_column, width)
                     if any(cell[0] for cell in cells):
                         yield cells
-                node.clear()
+                parent.remove(node)
 
 
 def column_types(
     content: bytes, sheet: str, header_row: int, first_column: int
 ) -> list[tuple[str, str]]:
-    """(name, type) per header cell: ``double``, ``date`` or ``string`` by the data below."""
+    """(name, type) per header cell: ``double``, ``date`` or ``string`` by the data below.
+
+    The type is empty where there is no data below.
+    """
     found = rows(content, sheet, header_row, first_column)
     names = [text.strip() for text, _ in next(found, [])]
     while names and not names[-1]:
@@ -69,54 +74,10 @@ def column_types(
             if text.strip():
                 kind.add("date" if is_date else "double" if _is_number(text) else "string")
     return [
-        (name, next(iter(kind)) if len(kind) == 1 else "string") for name, kind in zip(names, kinds)
+        (name, "string" if len(kind) > 1 else "".join(kind)) for name, kind in zip(names, kinds)
     ]
 
 
-def write(
-    titles: Sequence[str], header: Sequence[str], data: Iterable[Sequence], date_columns: set[int]
-) -> bytes:
-    """A workbook with one sheet: title rows, a header row, data rows."""
-
-    def cell(value, style: int) -> str:
-        if value is None or value != value:
-            return "<c/>"
-        if isinstance(value, str):
-            return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>'
-        return f'<c s="{style}"><v>{float(value)!r}</v></c>'
-
-    def row(number: int, values: Sequence, dated: set[int]) -> str:
-        cells = "".join(cell(v, int(i in dated)) for i, v in enumerate(values))
-        return f'<row r="{number}">{cells}</row>'
-
-    lines = [row(i + 1, [t], set()) for i, t in enumerate(titles)]
-    lines.append(row(len(titles) + 1, header, set()))
-    lines += [row(len(titles) + 2 + i, values, date_columns) for i, values in enumerate(data)]
-    namespace = MAIN[1:-1]
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as book:
-        book.writestr(
-            "xl/workbook.xml",
-            f'<workbook xmlns="{namespace}" xmlns:r="{RELATION_ID[1:-3]}">'
-            '<sheets><sheet name="Sales" sheetId="1" r:id="rId1"/></sheets></workbook>',
-        )
-        book.writestr(
-            "xl/_rels/workbook.xml.rels",
-            '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-            '<Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>',
-        )
-        book.writestr(
-            "xl/styles.xml",
-            f'<styleSheet xmlns="{namespace}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/>'
-            "</cellXfs></styleSheet>",
-        )
-        book.writestr(
-            "xl/worksheets/sheet1.xml",
-            f'<worksheet xmlns="{namespace}"><sheetData>{"".join(lines)}</sheetData></worksheet>',
-        )
-    return out.getvalue()
-
-
 def _is_number(text: str) -> bool:
     try:
         float(text)
@@ -161,7 +122,11 @@ def _date_styles(book: zipfile.ZipFile) -> set[str]:
 
 
 def _sheet_member(book: zipfile.ZipFile, sheet: str) -> str:
-    sheets = ElementTree.fromstring(book.read("xl/workbook.xml")).findall(f"{MAIN}sheets/{MAIN}sheet")
+    top = ElementTree.fromstring(book.read("xl/workbook.xml"))
+    settings = top.find(f"{MAIN}workbookPr")
+    if settings is not None and settings.get("date1904", "0") in ("1", "true"):
+        raise ValueError("workbooks that count days from 1904 are not supported")
+    sheets = top.findall(f"{MAIN}sheets/{MAIN}sheet")
     if sheet.isdigit():
         chosen = sheets[int(sheet)]
     else:

@@ -3,10 +3,11 @@ import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from pricelab import fixed_values as V
-from pricelab.operators.dictionary import category_dictionary
+from pricelab.operators.dictionary import category_dictionary, description_lists
 from pricelab.operators.impact import event_impact, recovery_months
 from pricelab.operators.perimeters import inside_edges, points_in_perimeters, ring_edges
 from pricelab.operators.sales import as_sales, is_housing, market_sales, per_unit, unpivot_sales
@@ -115,7 +116,11 @@ def test_dictionary(spark):
     rows = [("02", "TWO"), ("01", "B"), ("01", "A"), ("01", "A"), (None, "X")]
     df = spark.createDataFrame(rows, "c string, d string")
     got = [tuple(r) for r in category_dictionary(df, F.col("c"), F.col("d")).collect()]
-    assert got == [(None, ["X"]), ("01", ["A", "B"]), ("02", ["TWO"])]
+    assert got == [(None, "X"), ("01", "A"), ("01", "B"), ("02", "TWO")]
+    lists = description_lists(category_dictionary(df, F.col("c"), F.col("d")), 1).collect()
+    assert {tuple(r) for r in map(lambda r: (r[0], *r[1], r[2]), lists)} == {
+        (None, "X", 1), ("01", "A", 2), ("02", "TWO", 1),
+    }
     assert category_dictionary(df, F.col("c"), F.col("d"), limit=1).count() == 1
 
 
@@ -136,13 +141,16 @@ def test_impact_and_recovery(spark):
     rows = [("a", month(i), p) for i, p in prices.items()]
     rows += [("b", month(i), 100.0 if i < 7 else 50.0) for i in range(1, 20)]
     sales = spark.createDataFrame(rows, "zip_code string, date date, price double")
-    events = spark.createDataFrame([("a", month(7)), ("b", month(7)), ("c", month(7))], "zip_code string, event_month date")
+    # The event of "a" is told twice, in the middle of the month; "c" has no sales.
+    told = [("a", month(7) + dt.timedelta(14), 1), ("a", month(7), 2), ("b", month(7), 3), ("c", month(7), 4)]
+    events = spark.createDataFrame(told, "zip_code string, event_month date, id int")
     got = {r.zip_code: r for r in event_impact(sales, events, 3).collect()}
-    assert set(got) == {"a", "b"}
+    assert event_impact(sales, events, 3).count() == 3 and set(got) == {"a", "b", "c"}
+    assert (got["c"].price_before, got["c"].price_after, got["c"].change) == (None, None, None)
     assert (got["a"].price_before, got["a"].price_after) == (100.0, 60.0)
     assert abs(got["b"].change + 0.5) < 1e-12
     back = {r.zip_code: r.n_months for r in recovery_months(sales, sales, events, 6).collect()}
-    assert back == {"a": 5, "b": None}
+    assert back == {"a": 5, "b": None, "c": None}
 
 
 def even_odd(x, y, ring):
@@ -219,7 +227,9 @@ def test_provider_metrics_get_labels(spark):
         [("MSPFCO", "10301", MAY, 1.0), ("MSPAH", "10301", MAY, None), ("OTHER", "1", MAY, 1.0)],
         "metric string, zip_code string, date date, price double",
     )
-    got = {(r.segment, r.measure, r.price) for r in feeds.provider_series(pairs).collect()}
+    with pytest.raises(Exception, match="unknown metric: OTHER"):
+        feeds.provider_series(pairs).collect()
+    got = {(r.segment, r.measure, r.price) for r in feeds.provider_series(pairs, others="drop").collect()}
     assert got == {("condos", "price_sf", 1.0), ("allHomes", "price", None)}
 
 

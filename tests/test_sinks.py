@@ -12,7 +12,7 @@ from pricelab import fixed_values as V
 from pricelab.plans.feeds import source_tables, write_series
 from pricelab.plans.staging import staging_scope, new_folder, release_staged, stage, staging_root
 from pricelab.schemas import UNIFIED_SERIES
-from pricelab.sinks.tables import FolderTarget, JdbcTarget
+from pricelab.sinks.tables import FolderTarget, JdbcTarget, fan_out
 
 
 def frame(spark, n=3):
@@ -80,6 +80,25 @@ def test_fan_out_can_be_repeated(spark, tmp_path):
         assert [r.price for r in got.collect()] == [float(i)]
 
 
+def test_each_table_reads_its_own_rows(spark, tmp_path):
+    rows = [("1", None, 1.0), ("2", None, 2.0), ("3", None, 3.0), ("4", None, None)]
+    series = spark.createDataFrame(rows, "zip_code string, date date, price double")
+    plans, target = [], FolderTarget(str(tmp_path))
+    keeping = SimpleNamespace(
+        write=lambda df, table, mode: (
+            plans.append(df._jdf.queryExecution().executedPlan().toString()),
+            target.write(df, table, mode),
+        )
+    )
+    price = F.col("price")
+    left = fan_out(series, keeping, {"low": price < 3, "two": price == 2, "none": price > 9})
+    assert left == 2
+    assert sorted(r.price for r in target.read(spark, "low").collect()) == [1.0, 2.0]
+    assert [r.zip_code for r in target.read(spark, "two").collect()] == ["2"]
+    assert target.read(spark, "none").count() == 0
+    assert len(plans) == 3 and all("PartitionFilters: [isnotnull(_table" in p for p in plans)
+
+
 def session_with(master="local[2]", checkpoints=None, **settings):
     """A stand-in for a session of some other cluster."""
     option = SimpleNamespace(isDefined=lambda: checkpoints is not None, get=lambda: checkpoints)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricelab.catalog import book_writer
 from pricelab.fixed_values import ASSESSOR_ZIP
 from pricelab.schemas import LEDGER_SHEET
 from pricelab.sources import workbook
@@ -19,7 +20,7 @@ SERIAL = (dt.date(2011, 3, 7) - dt.date(1899, 12, 30)).days
 
 
 def ledger_book(titles, rows):
-    return workbook.write(titles, NAMES, rows, {5})
+    return book_writer.write(titles, NAMES, rows, {5})
 
 
 def sale(price, category="01 ONE FAMILY", zip_code=10301.0):
@@ -125,6 +126,58 @@ def test_csv_reads_only_the_selected_columns(spark, tmp_path):
     assert "ReadSchema: struct<PREMISE ADDRESS" in plan and "b:string" not in plan
 
 
+def test_types_come_from_all_workbooks(spark, tmp_path):
+    def book(*values):
+        return book_writer.write([], ["a", "b", "c"], [(v, None, 1.5) for v in values], set())
+
+    kinds = {"x": book(1.0, 2.0), "y": book("text"), "z": book(None)}
+    for order in ("xyz", "zyx", "yzx"):
+        found = spark.createDataFrame([(n, kinds[n]) for n in order], "path string, content binary")
+        schema = infer_schema(found.repartition(3), "0!A1")
+        assert schema.simpleString() == "struct<a:string,b:string,c:double>"
+    rows = read_sheets(found, data_address="0!A1", header=True).collect()
+    assert sorted(str(r.a) for r in rows) == ["1.0", "2.0", "None", "text"]
+    other = book_writer.write([], ["a", "b", "d"], [], set())
+    with pytest.raises(ValueError, match="different headers"):
+        infer_schema(spark.createDataFrame([("x", kinds["x"]), ("o", other)], found.schema), "0!A1")
+
+
+def test_timestamps_and_other_types(spark):
+    content = book_writer.write([], ["a"], [(43831.5,)], set())
+    found = spark.createDataFrame([("x", content)], "path string, content binary")
+
+    def read(kind):
+        schema = T.StructType([T.StructField("a", kind)])
+        return read_sheets(found, schema, "0!A2").select(F.col("a").cast("string")).first()[0]
+
+    assert read(T.TimestampType()) == read(T.TimestampNTZType()) == "2020-01-01 12:00:00"
+    assert (read(T.DateType()), read(T.IntegerType())) == ("2020-01-01", "43831")
+    with pytest.raises(ValueError, match="array"):
+        read(T.ArrayType(T.StringType()))
+
+
+def test_days_from_1904_are_refused():
+    content = book_writer.write([], ["a"], [(1.0,)], set())
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(content)) as old, zipfile.ZipFile(out, "w") as book:
+        for name in old.namelist():
+            text = old.read(name).decode()
+            book.writestr(name, text.replace("<sheets>", '<workbookPr date1904="1"/><sheets>'))
+    with pytest.raises(ValueError, match="1904"):
+        list(workbook.rows(out.getvalue(), "0", 1, 0))
+
+
+def test_csv_headers_in_another_order_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("zip,price\n1,100\n")
+    (tmp_path / "b.csv").write_text("price,zip\n200,2\n")
+    for options in ({}, {"infer": True}, {"schema": "zip string, price string"}):
+        with pytest.raises(Exception, match="(?i)header"):
+            read_csv(spark, str(tmp_path), **options).collect()
+        with pytest.raises(Exception, match="(?i)header"):
+            read_csv(spark, str(tmp_path), **options).select("zip").collect()
+    assert read_csv(spark, f"{tmp_path}/b.csv").select("zip").first().zip == "2"
+
+
 def test_csv_inference_and_schema(spark, tmp_path):
     path = tmp_path / "m.csv"
     path.write_text("a,b\n1,2.5\n")
