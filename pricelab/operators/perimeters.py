@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelab.plans.staging import stage
+
 #: Grid g has cells of this size to the power of g.
 GRID_BASE = 4.0
 
@@ -50,7 +52,8 @@ def points_in_perimeters(
     points: DataFrame, perimeters: DataFrame, broadcast_vertices: int = BROADCAST_VERTICES
 ) -> DataFrame:
     """Points (with columns x, y) joined to the perimeters (ring, ...) they lie in."""
-    listed, grids, n_vertices = _list_in_cells(perimeters)
+    numbered = stage(perimeters.withColumn("_perimeter", F.monotonically_increasing_id()), "perimeters")
+    listed, grids, n_vertices = _list_in_cells(numbered.select("_perimeter", "ring"))
     if not grids:  # no perimeter: the join is empty on any grid
         grids = [0]
     if n_vertices <= broadcast_vertices:
@@ -61,7 +64,9 @@ def points_in_perimeters(
         F.col("x").between(F.col("_x0"), F.col("_x1")) & F.col("y").between(F.col("_y0"), F.col("_y1"))
     )
     found = near.where(inside_edges(F.col("x"), F.col("y"), F.col("_edges")))
-    return found.drop("_edges", *_BOX, *_CELL)
+    # Other columns of a perimeter join by its number: they may be large.
+    others = numbered.drop("ring")
+    return found.drop("_edges", *_BOX, *_CELL).join(others, "_perimeter").drop("_perimeter")
 
 
 _BOX = ("_x0", "_x1", "_y0", "_y1")
