@@ -40,6 +40,8 @@ SIMILARITY = 0.8
 #: At 0.8 two documents share none of 32 bands of 5 coordinates in 3 of a million cases.
 BANDS = 32
 BAND_ROWS = 5
+#: Characters of a bucket that one task holds against as many others.
+BLOCK_CHARS = 2_000_000
 
 
 @lru_cache(maxsize=64)
@@ -166,44 +168,90 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return with_texts.select("_a", "_b", "_x", "_y").mapInPandas(keep, "_a long, _b long")
 
 
-def star_pairs(members: DataFrame, seed: int) -> DataFrame:
-    """Each member of a bucket with the bucket's centre, unless in the centre's class.
-
-    ``members`` has _key, _row, _class. The centre is the least by a hash; no pairs are
-    made among the others.
-    """
-    by = F.col("_row") if seed == 0 else F.xxhash64(F.lit(seed), "_row")
-    ranked = members.withColumn("_by", by)
-    centres = (
-        ranked.groupBy("_key")
-        .agg(F.min("_by").alias("_by"), F.min("_class").alias("_c"), F.max("_class").alias("_d"))
-        .where("_c < _d")
-        .select("_key", "_by")
-        .join(ranked, ["_key", "_by"])
-        .select("_key", F.col("_row").alias("_centre"), F.col("_class").alias("_of"))
-    )
-    return unequal(
-        members.join(centres, "_key").where("_class != _of"), F.col("_centre"), F.col("_row")
+def star_pairs(members: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's least row; no pairs among the others."""
+    centres = members.groupBy("_key").agg(F.min("_row").alias("_a"))
+    return (
+        members.join(centres, "_key")
+        .where("_row != _a")
+        .select("_a", F.col("_row").alias("_b"))
+        .distinct()
     )
 
 
-def all_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different classes in one bucket; few are left after the stars."""
-    mixed_keys = (
+def linked(part: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Links between texts of different classes, as many as join the classes they join."""
+    rows, classes = part["_row"].tolist(), part["_class"].tolist()
+    owner, elements, counts = shingle_sets(part["_text"].tolist())
+    order = np.argsort(elements, kind="stable")
+    of, shared, times = owner[order], elements[order], counts[order]
+    first = np.searchsorted(shared, elements, side="left")
+    holders = np.searchsorted(shared, elements, side="right") - first
+    total = np.bincount(owner, weights=counts, minlength=len(rows))
+    cuts = np.searchsorted(owner, np.arange(len(rows) + 1))
+    label = {c: c for c in classes}
+
+    def root(c: int) -> int:
+        while label[c] != c:
+            label[c] = c = label[label[c]]
+        return c
+
+    found = []
+    for i in range(len(rows)):
+        own = slice(cuts[i], cuts[i + 1])
+        element, step = repeated(holders[own])
+        at = first[own][element] + step
+        both = np.bincount(
+            of[at], weights=np.minimum(times[at], counts[own][element]), minlength=len(rows)
+        )[:i]
+        near = both >= least * (total[i] + total[:i] - both)
+        for j in np.flatnonzero(near & (both > 0)):
+            a, b = root(classes[i]), root(classes[j])
+            if a != b:
+                label[max(a, b)] = min(a, b)
+                found.append((min(rows[i], rows[j]), max(rows[i], rows[j])))
+    return pd.DataFrame(found, columns=["_a", "_b"], dtype="int64")
+
+
+def links_in_buckets(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links in the buckets whose members (_key, _row, _class, _chars) are of several classes.
+
+    All texts of a bucket are held against each other inside a task, by the shingles that
+    they share, and only links come out. A large bucket is cut into blocks of about
+    ``BLOCK_CHARS``, and each pair of blocks is a task of its own.
+    """
+    several = (
         members.groupBy("_key")
-        .agg(F.min("_class").alias("_c"), F.max("_class").alias("_d"))
+        .agg(
+            F.min("_class").alias("_c"),
+            F.max("_class").alias("_d"),
+            F.ceil(F.sum("_chars") / BLOCK_CHARS).cast("int").alias("_blocks"),
+        )
         .where("_c < _d")
-        .select("_key")
+        .select("_key", F.greatest("_blocks", F.lit(1)).alias("_blocks"))
     )
-    left = stage(members.join(mixed_keys, "_key", "left_semi"), "near-left")
-    other = left.select("_key", F.col("_row").alias("_centre"), F.col("_class").alias("_of"))
-    return unequal(
-        left.join(other, "_key").where("_class < _of"), F.col("_centre"), F.col("_row")
+    left = stage(members.join(several, "_key"), "near-left")
+    involved = stage(left.select("_row").distinct(), "near-involved")
+    some = matched(texts, involved, ["_row"], "left_semi")
+    block = "cast(pmod(xxhash64(_row, _key), _blocks) AS int)"
+    dealt = left.select(
+        "_key",
+        "_row",
+        "_class",
+        F.expr(f"{block} AS _block"),
+        F.explode(F.expr("sequence(0, _blocks - 1)")).alias("_other"),
+    )
+    groups = dealt.join(some, "_row").select(
+        "_key",
+        F.least("_block", "_other").alias("_i"),
+        F.greatest("_block", "_other").alias("_j"),
+        "_row",
+        "_class",
+        "_text",
+    )
+    return groups.groupBy("_key", "_i", "_j").applyInPandas(
+        lambda part: linked(part, least), "_a long, _b long"
     )
-
-
-def unequal(pairs: DataFrame, a, b) -> DataFrame:
-    return pairs.select(F.least(a, b).alias("_a"), F.greatest(a, b).alias("_b")).distinct()
 
 
 def labelled_rows(
@@ -233,33 +281,23 @@ def labelled_rows(
     )
     first = contents.select(F.col("_node").alias("_row"))
     members = (
-        sketches.select("_row", "_bands")
+        sketches.select("_row", F.char_length("_text").alias("_chars"), "_bands")
         .join(first, "_row", "left_semi")
-        .select("_row", F.explode("_bands").alias("_key"))
+        .select("_row", "_chars", F.explode("_bands").alias("_key"))
     )
     sizes = members.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1").select("_key")
     members = stage(members.join(sizes, "_key", "left_semi"), "near-buckets")
     texts = sketches.select("_row", "_text")
 
-    edges, classes = None, None
-    for seed in (0, 1, None):
-        labelled = members.withColumn("_class", F.col("_row"))
-        if classes is not None:
-            own = classes.select("_row", F.col("_label").alias("_known"))
-            labelled = members.join(own, "_row", "left").select(
-                "_key", "_row", F.coalesce("_known", "_row").alias("_class")
-            )
-        pairs = all_pairs(labelled) if seed is None else star_pairs(labelled, seed)
-        pairs = stage(pairs, "near-pairs")
-        if pairs.isEmpty():
-            break
-        found = stage(verified(pairs, texts, least), "near-links")
-        edges = found if edges is None else edges.unionByName(found)
-        classes = components(edges)
+    edges = stage(verified(star_pairs(members), texts, least), "near-links")
+    classes = components(edges)
+    own = classes.select("_row", F.col("_label").alias("_known"))
+    labelled = members.join(own, "_row", "left").withColumn("_class", F.coalesce("_known", "_row"))
+    more = stage(links_in_buckets(labelled, texts, least), "near-links")
+    if not more.isEmpty():
+        classes = components(edges.unionByName(more))
 
     placed = sketches.select("_row", "_id", "_c1", "_c2").join(contents, ["_c1", "_c2"])
-    if classes is None:
-        return sketches, stage(placed.select("_row", "_id", F.col("_node").alias("_label")), "near")
     known = classes.select(F.col("_row").alias("_node"), F.col("_label").alias("_known"))
     placed = placed.join(known, "_node", "left")
     return sketches, stage(
@@ -292,9 +330,9 @@ def near_classes(
     * Rows whose words are equal are one text from the start and never compared.
     * NULL and empty texts, and texts of blanks only, form one class.
     * Texts of one to four words are near only to equal ones.
-    * Other texts are compared if they share a band. In a bucket all are compared with one
-      centre; then, where classes remain apart, with another; then texts of classes still
-      apart with each other. Every pair compared is verified on its shingles.
+    * Other texts are compared if they share a band. In a bucket all are compared with its
+      least row; where classes remain apart then, all of them with each other, in blocks
+      inside tasks. Every link is verified on the shingles.
     * Columns not named are not read; an empty table gives no rows.
     """
     _, labels = labelled_rows(docs, id_column, text_column, least, bands, rows, ())
