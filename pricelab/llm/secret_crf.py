@@ -44,10 +44,11 @@ NAME = re.compile(r"^[\"']?[A-Za-z_]+[\"']?[:=]+[\"']?")
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
 
 OUTSIDE, BEGIN, INSIDE = range(3)
-NAMES = 1 << 11
-SHAPES = 8 * 16 * 4
+#: A word's code has its length, its signs, how they alternate, and its hashed name.
+LENGTHS, SIGNS, TURNS, NAMES, FILES = 8, 32, 4, 1 << 11, 6
+SHAPES = LENGTHS * SIGNS * TURNS
+ASSIGNS = 8  # the sign of words with ``=`` or ``:`` inside
 END_SHAPE, END_NAME = SHAPES, NAMES
-FILES = 6
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -65,25 +66,27 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 
 
 def shape(word: str) -> int:
-    """Length, which of lower case, capitals, digits and signs occur, and how they alternate."""
-    lower = upper = digit = sign = changes = 0
-    last = ""
-    for c in word[:64]:
+    """Length, which of lower case, capitals, digits and signs occur, how these alternate.
+
+    Quotes and punctuation around the word do not count, nor does a name before ``=``.
+    """
+    word = word.strip(EDGES)
+    named = NAME.match(word)
+    value = word[named.end() :] if named and named.end() < len(word) else word
+    signs, changes, last = ASSIGNS if value != word else 0, 0, ""
+    for c in value[:64]:
         if c.isdigit():
-            kind, digit = "d", 1
+            kind, sign = "d", 4
         elif c.isalpha():
-            kind = "a"
-            if c.isupper():
-                upper = 1
-            else:
-                lower = 1
+            kind, sign = "a", 2 if c.isupper() else 1
         else:
-            kind, sign = "s", 1
+            kind, sign = "s", 16
+        signs |= sign
         changes += kind != last and last != ""
         last = kind
-    length = min(7, len(word) // 4)
-    alternation = 0 if changes == 0 else 1 if changes <= 2 else 2 if changes <= 5 else 3
-    return ((length * 16) + lower + 2 * upper + 4 * digit + 8 * sign) * 4 + alternation
+    length = min(LENGTHS - 1, len(value) // 4)
+    turns = 0 if changes == 0 else 1 if changes <= 2 else 2 if changes <= 5 else 3
+    return (length * SIGNS + signs) * TURNS + turns
 
 
 class Codes(dict):
@@ -92,8 +95,9 @@ class Codes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= 400_000:
             self.clear()
-        name = zlib.crc32(word.strip(EDGES).lower().encode("utf-8", "surrogatepass")) % NAMES
-        code = self[word] = shape(word) * (NAMES + 1) + name
+        name = re.split("[=:]", word.strip(EDGES).lower(), maxsplit=1)[0].strip(EDGES)
+        hashed = zlib.crc32(name.encode("utf-8", "surrogatepass")) % NAMES
+        code = self[word] = shape(word) * (NAMES + 1) + hashed
         return code
 
 
@@ -106,35 +110,54 @@ def file_feature(text: str) -> int:
     return min(FILES - 1, int(np.log2(1 + 2000 * signs / max(1, len(text)))))
 
 
+def shifted(x: np.ndarray, by: int, fill: int) -> np.ndarray:
+    """``x`` as seen from ``by`` places further on, along the last axis."""
+    out = np.full_like(x, fill)
+    if by > 0:
+        out[..., by:] = x[..., :-by]
+    else:
+        out[..., :by] = x[..., -by:]
+    return out
+
+
+def places_of(codes: np.ndarray) -> dict[str, list[np.ndarray]]:
+    """Per table of weights, which entries count at each place.
+
+    ``codes`` has an END between lines. A name counts alike wherever it is near: in the word
+    itself before ``=``, one or two words before.
+    """
+    shapes, names = codes // (NAMES + 1), codes % (NAMES + 1)
+    own = np.minimum(shapes, SHAPES - 1)
+    signs = np.where(shapes == END_SHAPE, SIGNS, own // TURNS % SIGNS)
+    before = shifted(names, 1, END_NAME)
+    return {
+        "length": [own // (TURNS * SIGNS)],
+        "sign": [signs],
+        "turn": [own % TURNS],
+        "before": [shifted(signs, 1, SIGNS)],
+        "after": [shifted(signs, -1, SIGNS)],
+        "near": [
+            np.where(signs & ASSIGNS > 0, names, END_NAME),
+            before,
+            np.where(before == END_NAME, END_NAME, shifted(before, 1, END_NAME)),
+        ],
+    }
+
+
 @dataclass(frozen=True)
 class Field:
     """Weights per feature and tag, and of going from tag to tag."""
 
-    own: np.ndarray
-    before: np.ndarray
-    after: np.ndarray
-    name_before: np.ndarray
-    name_before_that: np.ndarray
-    name_own: np.ndarray
-    file: np.ndarray
+    tables: dict[str, np.ndarray]
     steps: np.ndarray
 
     def emissions(self, codes: np.ndarray, files: np.ndarray) -> np.ndarray:
-        """Scores (place, tag); ``codes`` has an END before, between and after lines."""
-        shapes, names = codes // (NAMES + 1), codes % (NAMES + 1)
-        before = np.concatenate(([END_SHAPE], shapes[:-1]))
-        after = np.concatenate((shapes[1:], [END_SHAPE]))
-        name_1 = np.concatenate(([END_NAME], names[:-1]))
-        name_2 = np.where(name_1 == END_NAME, END_NAME, np.concatenate(([END_NAME], name_1[:-1])))
-        return (
-            self.own[shapes]
-            + self.before[before]
-            + self.after[after]
-            + self.name_own[names]
-            + self.name_before[name_1]
-            + self.name_before_that[name_2]
-            + self.file[files]
-        )
+        """Scores (place, tag)."""
+        scores = self.tables["file"][files]
+        for name, places in places_of(codes).items():
+            for at in places:
+                scores = scores + self.tables[name][at]
+        return scores
 
     def viterbi(self, scores: np.ndarray) -> list[int]:
         """The best tags of one line; INSIDE never follows OUTSIDE or a line's start."""
@@ -196,27 +219,22 @@ def fit(examples: list[tuple[list[str], list[int], int]], steps: int = STEPS) ->
     Without any tagged word the field tags everything as outside.
     """
     sizes = {
-        "own": SHAPES + 1, "before": SHAPES + 1, "after": SHAPES + 1, "name_before": NAMES + 1,
-        "name_before_that": NAMES + 1, "name_own": NAMES + 1, "file": FILES,
+        "length": LENGTHS, "sign": SIGNS + 1, "turn": TURNS, "before": SIGNS + 1,
+        "after": SIGNS + 1, "near": NAMES + 1, "file": FILES, "steps": 3,
     }
-    weights = {name: np.zeros((size, 3)) for name, size in sizes.items()} | {"steps": np.zeros((3, 3))}
+    weights = {name: np.zeros((size, 3)) for name, size in sizes.items()}
     if not any(any(tags) for _, tags, _ in examples):
-        weights["own"][:, OUTSIDE] = 100.0
-        return Field(**weights)
+        weights["sign"][:, OUTSIDE] = 100.0
+        return Field(weights, weights.pop("steps"))
     known = Codes()
     n, longest = len(examples), max(len(words) for words, _, _ in examples)
-    codes, gold = np.full((n, longest + 4), END), np.zeros((n, longest), int)
+    codes, gold = np.full((n, longest), END), np.zeros((n, longest), int)
     for i, (words, tags, _) in enumerate(examples):
-        codes[i, 2 : len(words) + 2] = [known[word] for word in words]
+        codes[i, : len(words)] = [known[word] for word in words]
         gold[i, : len(tags)] = tags
-    files = np.array([file for _, _, file in examples])
-    shapes, names = codes // (NAMES + 1), codes % (NAMES + 1)
-    real = codes[:, 2:-2] != END
-    at = {
-        "own": shapes[:, 2:-2], "before": shapes[:, 1:-3], "after": shapes[:, 3:-1],
-        "name_before": names[:, 1:-3], "name_before_that": names[:, :-4],
-        "name_own": names[:, 2:-2], "file": np.broadcast_to(files[:, None], real.shape),
-    }
+    real = codes != END
+    file = np.broadcast_to(np.array([x for _, _, x in examples])[:, None], real.shape)
+    at = places_of(codes) | {"file": [file]}
     truth = np.eye(3)[gold] * real[..., None]
     pairs = real[:, 1:] & real[:, :-1]
     true_steps = np.einsum("ita,itb->ab", truth[:, :-1], truth[:, 1:] * pairs[..., None])
@@ -224,7 +242,7 @@ def fit(examples: list[tuple[list[str], list[int], int]], steps: int = STEPS) ->
     mean = {name: np.zeros_like(w) for name, w in weights.items()}
     square = {name: np.zeros_like(w) for name, w in weights.items()}
     for step in range(1, steps + 1):
-        scores = sum(weights[name][places] for name, places in at.items())
+        scores = sum(weights[name][x] for name, places in at.items() for x in places)
         scores[:, 0, INSIDE] = -50.0
         moves = weights["steps"].copy()
         moves[OUTSIDE, INSIDE] = -50.0
@@ -249,14 +267,21 @@ def fit(examples: list[tuple[list[str], list[int], int]], steps: int = STEPS) ->
             if name == "steps":
                 gradient = (true_steps - both.sum((0, 1))) / n
             else:
-                gradient = np.zeros_like(w)
-                np.add.at(gradient, at[name].ravel(), off.reshape(-1, 3) / n)
+                gradient = sum(
+                    np.column_stack(
+                        [
+                            np.bincount(x.ravel(), off[..., tag].ravel(), len(w))
+                            for tag in (OUTSIDE, BEGIN, INSIDE)
+                        ]
+                    )
+                    for x in at[name]
+                ) / n
             gradient = gradient - RIDGE * w
             mean[name] = 0.9 * mean[name] + 0.1 * gradient
             square[name] = 0.999 * square[name] + 0.001 * gradient**2
             unbiased = mean[name] / (1 - 0.9**step)
             w += 0.1 * unbiased / (np.sqrt(square[name] / (1 - 0.999**step)) + 1e-8)
-    return Field(**weights)
+    return Field(weights, weights.pop("steps"))
 
 
 def fit_on_base(docs: DataFrame, text_column: str = "text", documents: int = FIT_DOCUMENTS) -> Field:
