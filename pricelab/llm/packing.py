@@ -6,7 +6,8 @@ is frequent; it costs at most a sequence or so per group.
 
 Within a group, best fit decreasing comes first. As long as more sequences are in use
 than the lengths need, the emptiest is then emptied into others: by moving a piece, by
-exchanging one for one or two for one, each step raising the sum of squared fills.
+exchanging one for one or two for one, or by exchanges among the others that make room;
+each step raises the sum of squared fills.
 """
 
 from __future__ import annotations
@@ -108,7 +109,7 @@ class Bins:
         least = -(-sum(self.lengths) // self.most)
         used = sorted(range(len(self.members)), key=lambda b: -self.free[b])
         for low in used[: max(0, len(used) - least)]:
-            while self.members[low] and self.raise_fill(low):
+            while self.members[low] and (self.raise_fill(low) or self.fill_others(low)):
                 pass
             if self.members[low]:
                 break  # a fuller bin is harder still to empty
@@ -148,6 +149,44 @@ class Bins:
         return False
 
 
+    def fill_others(self, low: int) -> bool:
+        """Exchange pieces between bins besides ``low`` so that some become full.
+
+        The other bin of an exchange is no fuller, so the sum of squared fills rises, and it
+        gets room that pieces of ``low`` may fit.
+        """
+        holders: dict[int, list[tuple[int, int]]] = {}
+        some = [b for free in range(1, self.most) for b in self.at_free[free] if b != low]
+        for b in some:
+            for piece in self.members[b]:
+                holders.setdefault(self.lengths[piece], []).append((piece, b))
+        place = {piece: b for pieces in holders.values() for piece, b in pieces}
+        changed = False
+        for b in some:
+            if not self.members[b] or not self.free[b]:
+                continue
+            for piece in self.members[b]:
+                wanted = holders.get(self.lengths[piece] + self.free[b], ())
+                found = next(
+                    (
+                        (other, a)
+                        for other, a in wanted
+                        if a != b and place[other] == a and self.free[a] >= self.free[b]
+                    ),
+                    None,
+                )
+                if found:
+                    other, a = found
+                    self.take(piece, b)
+                    self.take(other, a)
+                    self.put(other, b)
+                    self.put(piece, a)
+                    place[other], place[piece] = b, a
+                    changed = True
+                    break
+        return changed
+
+
 def pack_lengths(lengths: list[int], most: int) -> list[list[int]]:
     """Sequences as lists of places in ``lengths``."""
     bins = Bins(lengths, most)
