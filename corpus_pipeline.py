@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pricelab.llm import dart_minhash, line_dedup, mixing, packing, quality
 from pricelab.llm.inputs import read
-from pricelab.plans.staging import stage
+from pricelab.plans.staging import new_folder, staging_scope
 
 #: The columns of documents, in order; ``OTHERS`` only pass through.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -63,8 +63,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
+    """All stages over the documents table; what a stage needs only meanwhile is deleted."""
     docs = read(spark, sf_dir, "documents")
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name)
+        written = new_folder(spark, name)
+        with staging_scope(spark):
+            result = function(spark, docs, sf_dir)
+            result.write.parquet(written)
+        docs = spark.read.schema(result.schema).parquet(written)
     return docs
