@@ -41,7 +41,9 @@ SIMILARITY = 0.8
 BANDS = 32
 BAND_ROWS = 5
 #: Characters of a bucket that one task holds against as many others.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 500_000
+#: Characters sketched or compared at once: each takes some hundred bytes meanwhile.
+SKETCH_CHARS = 250_000
 
 
 @lru_cache(maxsize=64)
@@ -124,7 +126,7 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketched(batches: Iterator[pd.DataFrame], bands: int, rows: int) -> Iterator[pd.DataFrame]:
-    for batch in chunks(batches, "_text"):
+    for batch in chunks(batches, "_text", SKETCH_CHARS):
         texts = batch["_text"].tolist()
         owner, elements, counts = shingle_sets(texts)
         found = signatures(owner, elements, counts.astype(np.float64), bands * rows)
@@ -158,7 +160,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     some = stage(matched(texts, stage(involved, "near-involved"), ["_row"], "left_semi"), "near-texts")
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in chunks(batches, "_x"):
+        for batch in chunks(batches, "_x", SKETCH_CHARS):
             alike = similarities(batch["_x"].tolist(), batch["_y"].tolist()) >= least
             yield batch.loc[alike, ["_a", "_b"]]
 
@@ -216,21 +218,27 @@ def linked(part: pd.DataFrame, least: float) -> pd.DataFrame:
 def links_in_buckets(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links in the buckets whose members (_key, _row, _class, _chars) are of several classes.
 
-    All texts of a bucket are held against each other inside a task, by the shingles that
-    they share, and only links come out. A large bucket is cut into blocks of about
-    ``BLOCK_CHARS``, and each pair of blocks is a task of its own.
+    Two members are a pair, which may meet in several buckets and is verified once. More are
+    held against each other inside a task, by the shingles that they share, and only links
+    come out. A large bucket is cut into blocks of about ``BLOCK_CHARS``, and each pair of
+    blocks is a task of its own.
     """
     several = (
         members.groupBy("_key")
         .agg(
             F.min("_class").alias("_c"),
             F.max("_class").alias("_d"),
+            F.count("*").alias("_n"),
+            F.min("_row").alias("_a"),
+            F.max("_row").alias("_b"),
             F.ceil(F.sum("_chars") / BLOCK_CHARS).cast("int").alias("_blocks"),
         )
         .where("_c < _d")
-        .select("_key", F.greatest("_blocks", F.lit(1)).alias("_blocks"))
     )
-    left = stage(members.join(several, "_key"), "near-left")
+    several = stage(several, "near-several")
+    in_pairs = verified(several.where("_n = 2").select("_a", "_b").distinct(), texts, least)
+    larger = several.where("_n > 2").select("_key", F.greatest("_blocks", F.lit(1)).alias("_blocks"))
+    left = stage(members.join(larger, "_key"), "near-left")
     involved = stage(left.select("_row").distinct(), "near-involved")
     some = matched(texts, involved, ["_row"], "left_semi")
     block = "cast(pmod(xxhash64(_row, _key), _blocks) AS int)"
@@ -249,9 +257,10 @@ def links_in_buckets(members: DataFrame, texts: DataFrame, least: float) -> Data
         "_class",
         "_text",
     )
-    return groups.groupBy("_key", "_i", "_j").applyInPandas(
+    in_blocks = groups.groupBy("_key", "_i", "_j").applyInPandas(
         lambda part: linked(part, least), "_a long, _b long"
     )
+    return in_pairs.unionByName(in_blocks)
 
 
 def labelled_rows(

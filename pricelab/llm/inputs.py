@@ -15,7 +15,7 @@ BATCH_ROWS = 512
 BROADCAST_ROWS = 200_000
 
 #: Characters worked on at once inside a task; a longer text is worked on alone.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 400_000
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -32,13 +32,15 @@ def whole_text(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def chunks(batches: Iterator[pd.DataFrame], column: str = "text") -> Iterator[pd.DataFrame]:
-    """Runs of rows with about ``CHUNK_CHARS`` characters of ``column`` each."""
+def chunks(
+    batches: Iterator[pd.DataFrame], column: str = "text", chars: int = CHUNK_CHARS
+) -> Iterator[pd.DataFrame]:
+    """Runs of rows with about ``chars`` characters of ``column`` each."""
     for batch in batches:
         ends = batch[column].str.len().cumsum().to_numpy()
         start, done = 0, 0
         for at, end in enumerate(ends):
-            if end - done >= CHUNK_CHARS or at + 1 == len(ends):
+            if end - done >= chars or at + 1 == len(ends):
                 yield batch.iloc[start : at + 1].reset_index(drop=True)
                 start, done = at + 1, end
 
