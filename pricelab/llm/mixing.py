@@ -22,7 +22,7 @@ from pricelab.plans.staging import stage
 WEIGHT_CYCLE = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST_TIMES = 2.0
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 SEED = 42
 
 WORD = r"[^\x20\x09-\x0D]+"
