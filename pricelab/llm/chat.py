@@ -79,12 +79,15 @@ def numbered_turns(turns: DataFrame) -> DataFrame:
             yield batch.assign(_tokens=tokens)
 
     order = [F.col(name).asc_nulls_first() for name in ("_conv", "_turn", "_role", "_text")]
-    ordered = stage(
+    # Written first: finding the ranges reads the turns once more.
+    counted = stage(
         turns.mapInPandas(
             count, "_conv string, _turn string, _role string, _text string, _tokens long"
-        )
-        .withColumn("_turn", F.col("_turn").cast("long"))
-        .repartitionByRange(*order)
+        ).withColumn("_turn", F.col("_turn").cast("long")),
+        "chat-tokens",
+    )
+    ordered = stage(
+        counted.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")),
         "chat-turns",
