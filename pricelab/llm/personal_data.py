@@ -6,8 +6,10 @@ known identifiers of one kind vouches for the unknown identifier-like words it s
 Patterns and instances score each other in turn over their graph, in Spark; instances of
 high score are identifiers too, wherever they occur.
 
-An unknown word is identifier-like if it has enough digits or an ``@`` and no base span;
-it can become of a kind only if it has that kind's outline.
+An unknown word is identifier-like if it has enough digits, an ``@`` or the outline of an
+IP address, and no base span; so is a whole run of digit groups joined by single blanks,
+brackets, dots, slashes or dashes that has the outline of a card or phone number. Either
+can become of a kind only if it has that kind's outline.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelab.llm.inputs import chunks, for_pandas, restored, schema_of, small_batches, whole_text
@@ -36,6 +38,12 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 SIGN = re.compile(r"[0-9@]")
+#: Where a word may be identifier-like: at a sign, or between colons as in addresses.
+MARK = re.compile(r"[0-9@:](?:(?<!:)|(?=[0-9A-Fa-f]*:))")
+#: Groups of digits, none of them part of a word. Both start with a set, which is fast.
+RUN = re.compile(
+    r"[0-9](?<![\w@][0-9])[0-9]*+(?![\w@])(?:\)?[ ./-]?\(?[0-9]++(?![\w@]))++"
+)
 NOT_DIGIT = re.compile(r"[^0-9]+")
 EDGES = ".,;:!?\"'()[]{}<>|*"
 
@@ -44,7 +52,7 @@ OUTLINES = {
     "email": re.compile(r"[^@]+@[^@]+"),
     "ip": re.compile(r"[0-9a-f]*(?:[.:][0-9a-f]*){3,}"),
     "card": re.compile(r"(?:[0-9][ .-]?){12,19}"),
-    "phone": re.compile(r"(?:[0-9][ ()./-]*){7,15}"),
+    "phone": re.compile(r"\+?\(?(?:[0-9][ ()./-]*){7,15}"),
 }
 
 Span = tuple[int, int, int]
@@ -104,7 +112,7 @@ def lexical_patterns(text: str, start: int, end: int) -> list[str]:
 def unknown_spans(text: str, known: list[Span]) -> Iterator[tuple[int, int]]:
     """Identifier-like words that touch no base span, without punctuation at the edges."""
     taken, at, last = sorted((start, end) for start, _, end in known), 0, 0
-    for sign in SIGN.finditer(text):
+    for sign in MARK.finditer(text):
         if sign.start() < last:
             continue
         start = last = sign.start()
@@ -121,7 +129,40 @@ def unknown_spans(text: str, known: list[Span]) -> Iterator[tuple[int, int]]:
         start += len(word) - len(word.lstrip(EDGES))
         word = text[start:end]
         digits = len(NOT_DIGIT.sub("", word))
-        if len(word) >= 6 and (digits >= 5 or "@" in word):
+        if len(word) >= 6 and (
+            digits >= 5 or "@" in word or OUTLINES["ip"].fullmatch(word.lower())
+        ):
+            yield start, end
+
+
+def unknown_runs(
+    text: str, known: list[Span], words: list[tuple[int, int]]
+) -> Iterator[tuple[int, int]]:
+    """Runs with blanks that touch no base span and have the outline of a card or phone.
+
+    Runs that share only a part of an address-like one of ``words`` are left to that word.
+    """
+    addresses = [
+        (start, end)
+        for start, end in words
+        if any(OUTLINES[kind].fullmatch(text[start:end].lower()) for kind in ("email", "ip"))
+    ]
+    taken = sorted([*((start, end) for start, _, end in known), *addresses])
+    inner, at = set(addresses), 0
+    for m in RUN.finditer(text):
+        start, end = m.span()
+        if ")" in m[0] and text[max(0, start - 1)] == "(":
+            start -= 1
+        if text[max(0, start - 1)] == "+":
+            start -= 1
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        run = text[start:end]
+        if " " not in run or not any(OUTLINES[k].fullmatch(run) for k in ("card", "phone")):
+            continue
+        touched = [x for x in taken[at : at + len(run)] if x[0] < end]
+        # Address-like words all inside, as groups with dots, do not hinder.
+        if all(x in inner and start <= x[0] and x[1] <= end for x in touched):
             yield start, end
 
 
@@ -131,7 +172,9 @@ def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text in batch.pop("_text"):
             spans = base_spans(text)
             base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-            places = [*spans, *((s, -1, e) for s, e in unknown_spans(text, spans))]
+            words = list(unknown_spans(text, spans))
+            unknown = [*words, *unknown_runs(text, spans, words)]
+            places = [*spans, *((s, -1, e) for s, e in unknown)]
             near.append(
                 [
                     {"start": s, "kind": k, "end": e, "word": text[s:e].lower(), "patterns": found}
@@ -205,7 +248,8 @@ def personal_data(
     """Per row of ``docs``: doc_id, base, added: arrays of (start, kind, end), sorted.
 
     ``kind`` is a place in ``KINDS``; places are code points, ends exclusive. Spans that the
-    method adds touch no base span. NULL texts are empty and have none; repeated rows and
+    method adds touch no base span and not each other; of a run and a word in it the run is
+    given. NULL texts are empty and have none; repeated rows and
     NULL ids stay; columns not named are not read; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
@@ -226,10 +270,14 @@ def personal_data(
     )
     found = stage(restored(spans, rows), "pii-spans")
     occurrences = found.select("_row", F.inline("near"))
+    longest_first = Window.partitionBy("_row").orderBy("start", F.desc("end"))
+    covered = F.max("end").over(longest_first.rowsBetween(Window.unboundedPreceding, -1))
     added = (
         occurrences.where("kind < 0")
         .select("_row", "start", "end", "word")
         .join(discovered_words(occurrences, rounds), "word")
+        .withColumn("_covered", covered)
+        .where("_covered IS NULL OR _covered <= start")
         .groupBy("_row")
         .agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("added"))
     )

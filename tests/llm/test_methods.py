@@ -52,6 +52,59 @@ def test_unseen_identifiers_by_context(spark):
     )
 
 
+def seeds_of_cards_and_phones():
+    cards = [f"{i:015d}" for i in range(400_000_000_000_000, 400_000_000_000_012)]
+    cards = [c + next(d for d in "0123456789" if brute.passes_luhn(c + d)) for c in cards]
+    texts = [f"please bill to card : {c} thanks a lot" for c in cards]
+    return texts + [f"you may call phone : +49 30 555 10{i:02d} today at noon" for i in range(12)]
+
+
+def added_texts(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {
+        r.doc_id: [(texts[r.doc_id][s.start : s.end], personal_data.KINDS[s.kind]) for s in r.added]
+        for r in personal_data.personal_data(frame).collect()
+        if r.added
+    }
+
+
+def test_unseen_identifiers_with_blanks(spark):
+    """Spaced phones and cards in trusted contexts, then wherever they occur."""
+    texts = seeds_of_cards_and_phones()
+    n = len(texts)
+    texts += ["bill to card : 4111 1111 1111 1112 thanks", "also 4111 1111 1111 1112, and so on"]
+    texts += ["may call phone : 030 555 1234 today", "call phone : (030) 555-1235 today"]
+    texts += ["without any cue 030 555 9999 here"]
+    assert added_texts(spark, texts) == {
+        n: [("4111 1111 1111 1112", "card")],
+        n + 1: [("4111 1111 1111 1112", "card")],
+        n + 2: [("030 555 1234", "phone")],
+        n + 3: [("(030) 555-1235", "phone")],
+    }
+
+
+def test_runs_of_digit_groups():
+    def found(text):
+        known = personal_data.base_spans(text)
+        words = list(personal_data.unknown_spans(text, known))
+        return [text[a:b] for a, b in personal_data.unknown_runs(text, known, words)]
+
+    assert found("(030) 555-1234, 030 555 1235; (030 555 1236) tel:030 555 1237.") == [
+        "(030) 555-1234", "030 555 1235", "030 555 1236", "030 555 1237",
+    ]
+    assert found("4111 1111 1111 1 4111 1111 1111 1111 x") == []  # 29 digits fit no kind
+    assert found("a 4111 1111 1111 1111 b +49 30 1234 5678") == []  # base spans
+    assert found("030 555 1234 5th, x030 555 1234, 12 34") == ["030 555 1234", "555 1234"]
+    assert found("bob@intranet/12 345 6789") == []  # left to the address
+    assert found("1 " * 50_000) == []
+
+
+def test_addresses_with_few_digits_are_candidates():
+    text = "from fe80::abcd:ef:a1b and dead:beef::cafe:face at 7:15, note: a.b.c"
+    found = [text[a:b] for a, b in personal_data.unknown_spans(text, [])]
+    assert found == ["fe80::abcd:ef:a1b", "dead:beef::cafe:face"]
+
+
 @pytest.mark.parametrize(
     "text",
     [
