@@ -4,7 +4,8 @@ Base patterns find e-mail addresses, IP addresses, card and phone numbers. These
 seeds: the words around them are lexical patterns, and a pattern that mostly surrounds
 known identifiers of one kind vouches for the unknown identifier-like words it surrounds.
 Patterns and instances score each other in turn over their graph, in Spark; instances of
-high score are identifiers too, wherever they occur.
+high score are identifiers too, wherever they occur, and so vouch for further patterns.
+A pattern is made of words in at most 100 characters before and 60 after an instance.
 
 An unknown word is identifier-like if it has enough digits, an ``@`` or the outline of an
 IP address, and no base span; so is a whole run of digit groups joined by single blanks,
@@ -185,19 +186,31 @@ def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(base=base, near=near)
 
 
-def pattern_graph(occurrences: DataFrame) -> DataFrame:
-    """Different (pattern, word, kind) of patterns with enough known words of one kind."""
-    edges = (
-        occurrences.select(F.explode("patterns").alias("pattern"), "word", "kind")
-        .groupBy("pattern", "word", "kind")
-        .agg(F.count("*").alias("n"))
-        .drop("n")
-    )
-    edges = stage(edges, "pii-edges")
+def pattern_edges(occurrences: DataFrame) -> DataFrame:
+    """Different (pattern, word, kind)."""
+    edges = occurrences.select(F.explode("patterns").alias("pattern"), "word", "kind").distinct()
+    return stage(edges, "pii-edges")
+
+
+def high(scored: DataFrame) -> DataFrame:
+    """(word, kind, score) of words whose score is high and that have the kind's outline."""
+    outlines = [
+        (F.col("kind") == at) & F.col("word").rlike(f"^(?:{OUTLINES[kind].pattern})$")
+        for at, kind in enumerate(KINDS)
+    ]
+    fits = outlines[0] | outlines[1] | outlines[2] | outlines[3]
+    return scored.where((F.col("score") >= CONFIDENCE) & fits)
+
+
+def supported_graph(edges: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Edges of patterns with enough known words of one kind; ``found`` count as known."""
+    known = edges.where("kind >= 0")
+    if found is not None:
+        more = edges.where("kind < 0").drop("kind").join(found.select("word", "kind"), "word")
+        known = known.unionByName(more)
     supported = (
-        edges.where("kind >= 0")
-        .groupBy("pattern", "kind")
-        .agg(F.count("*").alias("n"))
+        known.groupBy("pattern", "kind")
+        .agg(F.countDistinct("word").alias("n"))
         .where(F.col("n") >= LEAST_SUPPORT)
         .select("pattern")
         .distinct()
@@ -206,13 +219,22 @@ def pattern_graph(occurrences: DataFrame) -> DataFrame:
 
 
 def discovered_words(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(word, kind) of unknown words whose score gets high."""
-    graph = pattern_graph(occurrences)
-    totals = graph.groupBy("pattern").agg(F.countDistinct("word").alias("words"))
-    seeds = graph.where("kind >= 0").select("pattern", "word", "kind", F.lit(1.0).alias("score"))
-    unknown = graph.where("kind < 0").select("pattern", "word")
-    scored = None
-    for _ in range(rounds):
+    """(word, kind) of unknown words whose score gets high.
+
+    Words found in one round support patterns in the next. There are at least ``rounds``
+    rounds, and more until one finds no new word.
+    """
+    edges = pattern_edges(occurrences)
+    scored, now, built, done = None, 0, -1, 0
+    while True:
+        if now > built:  # without new words, the graph stays as it is
+            built = now
+            graph = supported_graph(edges, None if scored is None else high(scored))
+            totals = graph.groupBy("pattern").agg(F.countDistinct("word").alias("words"))
+            seeds = graph.where("kind >= 0").select(
+                "pattern", "word", "kind", F.lit(1.0).alias("score")
+            )
+            unknown = graph.where("kind < 0").select("pattern", "word")
         known = seeds if scored is None else seeds.unionByName(unknown.join(scored, "word"))
         # One more word than seen, and none of the kind, keeps rare patterns from certainty.
         trust = (
@@ -229,17 +251,13 @@ def discovered_words(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .select("word", "kind", (1.0 - F.col("doubt")).alias("score")),
             "pii-scores",
         )
+        # Supported patterns and scores only grow, so words once found stay found.
+        found, done = high(scored).count(), done + 1
+        if done >= rounds and found <= now:
+            break
+        now = found
     best = F.max_by("kind", F.struct("score", -F.col("kind")))
-    outlines = [
-        (F.col("kind") == at) & F.col("word").rlike(f"^(?:{OUTLINES[kind].pattern})$")
-        for at, kind in enumerate(KINDS)
-    ]
-    fits = outlines[0] | outlines[1] | outlines[2] | outlines[3]
-    return (
-        scored.where((F.col("score") >= CONFIDENCE) & fits)
-        .groupBy("word")
-        .agg(best.alias("kind"))
-    )
+    return high(scored).groupBy("word").agg(best.alias("kind"))
 
 
 def personal_data(

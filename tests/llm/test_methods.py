@@ -83,6 +83,21 @@ def test_unseen_identifiers_with_blanks(spark):
     }
 
 
+def test_identifiers_by_contexts_of_discovered_words(spark):
+    """Each group of names is known only by contexts of the group before it."""
+    texts = [f"please write to mail : user{i}@example.org thanks a lot" for i in range(300)]
+    cues = ["to mail : {} thanks a", "please login as {} again now", "ask for name {} there is", "the host of {} was down"]
+    n = len(texts)
+    for step in range(4):
+        names = [f"bob{i}{'wxyz'[step]}@intranet" for i in range((128, 32, 8, 2)[step])]
+        texts += [cues[step].format(name) for name in names]
+        if step < 3:
+            texts += [cues[step + 1].format(name) for name in names]
+    texts += ["nobody knows what@isthis is about"]
+    found = added_texts(spark, texts)
+    assert set(found) == set(range(n, len(texts) - 1))
+
+
 def test_runs_of_digit_groups():
     def found(text):
         known = personal_data.base_spans(text)
