@@ -5,9 +5,10 @@ packed on its own, so no group grows with the data, whatever document, source or
 is frequent; it costs at most a sequence or so per group.
 
 Within a group, best fit decreasing comes first. As long as more sequences are in use
-than the lengths need, the emptiest is then emptied into others: by moving a piece, by
-exchanging one for one or two for one, or by exchanges among the others that make room;
-each step raises the sum of squared fills.
+than the lengths need, one is then emptied into others, the emptiest that can be: by
+moving a piece, by exchanging one for one or any two for one, or by exchanges among the
+others that make room. What did not empty a sequence stays only if the sum of squared
+fills rose.
 """
 
 from __future__ import annotations
@@ -104,15 +105,32 @@ class Bins:
             b = self.tightest(self.lengths[piece])
             self.put(piece, self.open() if b < 0 else b)
 
+    def squares(self) -> int:
+        return sum((self.most - free) ** 2 for free in self.free)
+
+    def restore(self, members: list[list[int]], free: list[int]) -> None:
+        for b, left in enumerate(free):
+            if self.members[b] != members[b]:
+                self.members[b] = members[b]
+                self.set_free(b, left)
+
     def improve(self) -> None:
-        """Empty the emptiest bins while the lengths could do with fewer."""
+        """Empty bins, the emptiest first, while the lengths could do with fewer."""
         least = -(-sum(self.lengths) // self.most)
-        used = sorted(range(len(self.members)), key=lambda b: -self.free[b])
-        for low in used[: max(0, len(used) - least)]:
-            while self.members[low] and (self.raise_fill(low) or self.fill_others(low)):
-                pass
-            if self.members[low]:
-                break  # a fuller bin is harder still to empty
+        used = [b for b, members in enumerate(self.members) if members]
+        emptied = True
+        while emptied and len(used) > least:
+            emptied = False
+            for low in sorted(used, key=lambda b: -self.free[b]):
+                members, free, before = [list(m) for m in self.members], list(self.free), self.squares()
+                while self.members[low] and (self.raise_fill(low) or self.fill_others(low)):
+                    pass
+                if not self.members[low]:
+                    used.remove(low)
+                    emptied = True
+                    break
+                if self.squares() <= before:
+                    self.restore(members, free)
 
     def raise_fill(self, low: int) -> bool:
         """One move or exchange that takes tokens out of ``low`` into a fuller bin."""
@@ -123,10 +141,26 @@ class Bins:
                 self.put(piece, b)
                 return True
         own = sorted((self.lengths[p], p) for p in self.members[low])
-        pairs = sorted(
-            (a + c, p, q) for i, (a, p) in enumerate(own) for c, q in own[i + 1 : i + 9]
-        )
-        sums, ones = [x[0] for x in pairs], [x[0] for x in own]
+        ones = [x[0] for x in own]
+        # Of one length two pieces are enough, so there are few however short pieces are.
+        few = [x for i, x in enumerate(own) if i < 2 or own[i - 2][0] != x[0]]
+        best: dict[int, tuple[int, int, int]] = {}
+
+        def pair(room: int) -> tuple[int, int, int]:
+            """The two pieces of ``low`` that fill ``room`` best: length, pieces."""
+            if room not in best:
+                found, i, j = (0, -1, -1), 0, len(few) - 1
+                while i < j:
+                    total = few[i][0] + few[j][0]
+                    if total > room:
+                        j -= 1
+                        continue
+                    if total > found[0]:
+                        found = (total, few[i][1], few[j][1])
+                    i += 1
+                best[room] = found
+            return best[room]
+
         for free in range(self.most - 1, 0, -1):  # most room first
             for b in self.at_free[free]:
                 if b == low or free > self.free[low]:
@@ -134,12 +168,12 @@ class Bins:
                 for other in self.members[b]:
                     size = self.lengths[other]
                     i = bisect_left(ones, size + free + 1) - 1
-                    j = bisect_left(sums, size + free + 1) - 1
+                    total, *both = pair(size + free)
                     one = ones[i] - size if i >= 0 else 0
-                    two = sums[j] - size if j >= 0 else 0
+                    two = total - size
                     if max(one, two) <= 0:
                         continue
-                    give = [own[i][1]] if one >= two else list(pairs[j][1:])
+                    give = [own[i][1]] if one >= two else both
                     self.take(other, b)
                     for piece in give:
                         self.take(piece, low)

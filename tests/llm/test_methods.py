@@ -222,6 +222,38 @@ def test_swaps_empty_a_bin_that_best_fit_leaves():
     assert sum((10 - f) ** 2 for f in bins.free) >= before
 
 
+def held(bins, *contents):
+    """``bins`` with a bin for each list of lengths."""
+    left = list(range(len(bins.lengths)))
+    for lengths in contents:
+        b = bins.open()
+        for length in lengths:
+            piece = next(p for p in left if bins.lengths[p] == length)
+            left.remove(piece)
+            bins.put(piece, b)
+    return bins
+
+
+def test_exchanges_try_all_pairs_of_a_bin():
+    # Only 3 and 90, more than eight places apart, fill the room that a piece of 92 leaves.
+    low = [3, 6, 9, 12, 15, 18, 21, 24, 27, 30, 33, 90]
+    other = [92, 307]
+    bins = held(packing.Bins(low + other, 400), low, other)
+    assert bins.raise_fill(0)
+    assert sum(bins.lengths[p] for p in bins.members[1]) == 400
+
+
+def test_a_bin_that_cannot_be_emptied_does_not_keep_others():
+    for most, lengths in (
+        (20, [4, 7, 5, 4, 13, 12, 4, 2, 9]),
+        (20, [7, 6, 8, 4, 9, 5, 2, 9, 10]),
+        (30, [9, 2, 5, 7, 16, 15, 11, 10, 15]),
+    ):
+        found = packing.pack_lengths(lengths, most)
+        assert len(found) == -(-sum(lengths) // most) == 3
+        assert sorted(p for members in found for p in members) == list(range(9))
+
+
 def test_packing_of_many_lengths():
     draw = np.random.default_rng(8)
     for low, high in ((1, 4095), (1200, 2200), (1, 200)):
