@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def of_kind(at: int) -> Callable[[Column], Column]:
+    """Whether a span is of the kind at this place. One parameter: a second would be the index."""
+    return lambda span: span["kind"] == at
+
+
 def joined(spans: Column, kinds: Sequence[str]) -> Column:
     """``kind:start:end`` of (start, kind, end), comma-joined in the given order."""
     names = F.array(*[F.lit(kind) for kind in kinds])
@@ -25,7 +30,7 @@ def digests(found: DataFrame, kinds: Sequence[str]) -> DataFrame:
     return found.select(
         "doc_id",
         *[
-            F.size(F.filter("base", lambda s, at=at: s["kind"] == at)).cast("long").alias(f"n_{kind}")
+            F.size(F.filter("base", of_kind(at))).cast("long").alias(f"n_{kind}")
             for at, kind in enumerate(kinds)
         ],
         F.sha2(joined(F.col("base"), kinds), 256).alias("base_sha256"),
