@@ -5,16 +5,14 @@ packed on its own, so no group grows with the data, whatever document, source or
 is frequent; it costs at most a sequence or so per group.
 
 Within a group, best fit decreasing comes first. As long as more sequences are in use
-than the lengths need, one is then emptied into others, the emptiest that can be: by
+than a proven bound, one is then emptied into others, the emptiest that can be: by
 moving a piece, by exchanging one for one or any two for one, or by exchanges among the
 others that make room. What did not empty a sequence stays only if the sum of squared
-fills rose.
+fills rose. An emptied sequence stays closed.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -52,31 +50,73 @@ def document_pieces(
     return restored(pieces, rows)
 
 
+def least_bins(lengths: list[int], most: int) -> int:
+    """A proven lower bound on the number of sequences, by classes of fill.
+
+    For each limit up to half a sequence: what is longer than the rest needs a sequence
+    alone, what is over half one of its own, and what is at least the limit fits only into
+    the room that those over half leave, or into more sequences.
+    """
+    if not lengths:
+        return 0
+    sizes = np.sort(np.asarray(lengths, "int64"))
+    sums = np.concatenate(([0], np.cumsum(sizes)))
+    limits = np.arange(most // 2 + 1)
+    alone = np.searchsorted(sizes, most - limits, side="right")  # from here on
+    half = int(np.searchsorted(sizes, most // 2, side="right"))
+    small = np.minimum(np.searchsorted(sizes, limits, side="left"), half)
+    single = np.maximum(alone, half)
+    room = (single - half) * most - (sums[single] - sums[half])
+    over = np.maximum(0, sums[half] - sums[small] - room)
+    return int((len(sizes) - half - (-over // most)).max())
+
+
 class Bins:
-    """Sequences of one group; a piece is its place in the group's list of lengths."""
+    """Sequences of one group; a piece is its place in the group's list of lengths.
+
+    Where each piece is and how much room each sequence has are kept up with every move, as
+    are the sum of squared fills and a list of moves to take back. A sequence that has been
+    emptied is closed: nothing is put there again.
+    """
 
     def __init__(self, lengths: list[int], most: int) -> None:
         self.lengths, self.most = lengths, most
-        self.members: list[list[int]] = []
+        self.sizes = np.asarray(lengths, "int64")
+        self.by_size = np.argsort(self.sizes, kind="stable")
+        self.ordered = self.sizes[self.by_size]
+        self.members: list[dict[int, None]] = []
         self.free: list[int] = []
-        self.at_free: list[set[int]] = [set() for _ in range(most + 1)]
-        self.some_at = 0  # bit f: some bin has f tokens left
+        self.at_free: list[dict[int, None]] = [{} for _ in range(most + 1)]
+        self.some_at = 0  # bit f: some open bin has f tokens left
+        self.squares = 0
+        self.where = np.full(len(lengths), -1)
+        self.room = np.zeros(len(lengths) + 1, "int64")  # of bins; -1 where closed
+        self.moves: list[tuple[int, int]] = []  # piece, from
 
     def set_free(self, b: int, free: int) -> None:
         old = self.free[b]
-        self.at_free[old].discard(b)
+        self.at_free[old].pop(b, None)
         if not self.at_free[old]:
             self.some_at &= ~(1 << old)
-        self.free[b] = free
-        self.at_free[free].add(b)
+        self.squares += (self.most - free) ** 2 - (self.most - old) ** 2
+        self.free[b] = self.room[b] = free
+        self.at_free[free][b] = None
         self.some_at |= 1 << free
 
     def open(self) -> int:
-        self.members.append([])
+        b = len(self.free)
+        self.members.append({})
         self.free.append(self.most)
-        self.at_free[self.most].add(len(self.free) - 1)
+        self.at_free[self.most][b] = None
         self.some_at |= 1 << self.most
-        return len(self.free) - 1
+        self.room[b] = self.most
+        return b
+
+    def close(self, b: int) -> None:
+        self.at_free[self.most].pop(b)
+        if not self.at_free[self.most]:
+            self.some_at &= ~(1 << self.most)
+        self.room[b] = -1
 
     def tightest(self, length: int, besides: int = -1) -> int:
         """The fullest bin with room for ``length``, or -1."""
@@ -93,95 +133,91 @@ class Bins:
         return -1
 
     def put(self, piece: int, b: int) -> None:
-        self.members[b].append(piece)
+        self.members[b][piece] = None
+        self.where[piece] = b
         self.set_free(b, self.free[b] - self.lengths[piece])
 
-    def take(self, piece: int, b: int) -> None:
-        self.members[b].remove(piece)
+    def take(self, piece: int) -> None:
+        b = int(self.where[piece])
+        del self.members[b][piece]
         self.set_free(b, self.free[b] + self.lengths[piece])
 
+    def move(self, to: dict[int, int]) -> None:
+        """Pieces to bins, all at once."""
+        for piece in to:
+            self.moves.append((piece, int(self.where[piece])))
+            self.take(piece)
+        for piece, b in to.items():
+            self.put(piece, b)
+
+    def take_back(self) -> None:
+        """All moves since the list of moves was emptied."""
+        self.move(dict(reversed(self.moves)))
+        self.moves = []
+
     def best_fit(self) -> None:
-        for piece in sorted(range(len(self.lengths)), key=lambda p: -self.lengths[p]):
+        for piece in self.by_size[::-1].tolist():
             b = self.tightest(self.lengths[piece])
             self.put(piece, self.open() if b < 0 else b)
 
-    def squares(self) -> int:
-        return sum((self.most - free) ** 2 for free in self.free)
+    def improve(self) -> int:
+        """Empty bins, the emptiest first, until no fewer can do; how many are in use.
 
-    def restore(self, members: list[list[int]], free: list[int]) -> None:
-        for b, left in enumerate(free):
-            if self.members[b] != members[b]:
-                self.members[b] = members[b]
-                self.set_free(b, left)
-
-    def improve(self) -> None:
-        """Empty bins, the emptiest first, while the lengths could do with fewer."""
-        least = -(-sum(self.lengths) // self.most)
+        Every bin is tried until one has been emptied. It ends when none can be, or when the
+        bound proves the number.
+        """
+        least = least_bins(self.lengths, self.most)
         used = [b for b, members in enumerate(self.members) if members]
         emptied = True
         while emptied and len(used) > least:
             emptied = False
             for low in sorted(used, key=lambda b: -self.free[b]):
-                members, free, before = [list(m) for m in self.members], list(self.free), self.squares()
+                self.moves, before = [], self.squares
                 while self.members[low] and (self.raise_fill(low) or self.fill_others(low)):
                     pass
                 if not self.members[low]:
+                    self.close(low)
                     used.remove(low)
                     emptied = True
                     break
-                if self.squares() <= before:
-                    self.restore(members, free)
+                if self.squares <= before:
+                    self.take_back()
+        return len(used)
 
     def raise_fill(self, low: int) -> bool:
         """One move or exchange that takes tokens out of ``low`` into a fuller bin."""
-        for piece in sorted(self.members[low], key=lambda p: -self.lengths[p]):
+        own = sorted(self.members[low], key=lambda p: self.lengths[p])
+        for piece in reversed(own):
             b = self.tightest(self.lengths[piece], besides=low)
             if b >= 0:
-                self.take(piece, low)
-                self.put(piece, b)
+                self.move({piece: b})
                 return True
-        own = sorted((self.lengths[p], p) for p in self.members[low])
-        ones = [x[0] for x in own]
-        # Of one length two pieces are enough, so there are few however short pieces are.
-        few = [x for i, x in enumerate(own) if i < 2 or own[i - 2][0] != x[0]]
-        best: dict[int, tuple[int, int, int]] = {}
-
-        def pair(room: int) -> tuple[int, int, int]:
-            """The two pieces of ``low`` that fill ``room`` best: length, pieces."""
-            if room not in best:
-                found, i, j = (0, -1, -1), 0, len(few) - 1
-                while i < j:
-                    total = few[i][0] + few[j][0]
-                    if total > room:
-                        j -= 1
-                        continue
-                    if total > found[0]:
-                        found = (total, few[i][1], few[j][1])
-                    i += 1
-                best[room] = found
-            return best[room]
-
-        for free in range(self.most - 1, 0, -1):  # most room first
-            for b in self.at_free[free]:
-                if b == low or free > self.free[low]:
-                    continue
-                for other in self.members[b]:
-                    size = self.lengths[other]
-                    i = bisect_left(ones, size + free + 1) - 1
-                    total, *both = pair(size + free)
-                    one = ones[i] - size if i >= 0 else 0
-                    two = total - size
-                    if max(one, two) <= 0:
-                        continue
-                    give = [own[i][1]] if one >= two else both
-                    self.take(other, b)
-                    for piece in give:
-                        self.take(piece, low)
-                        self.put(piece, b)
-                    self.put(other, low)
-                    return True
-        return False
-
+        # Sums of one or any two pieces of ``low``; two of one length are enough.
+        ones = {self.lengths[p]: [p] for p in own}
+        few = [p for i, p in enumerate(own) if i < 2 or self.lengths[own[i - 2]] != self.lengths[p]]
+        sizes = self.sizes[few]
+        i, j = np.triu_indices(len(few), 1)
+        pairs = sizes[i] + sizes[j]
+        best = np.zeros(self.most + 1, "int64")  # the largest sum up to each room
+        best[list(ones)] = list(ones)
+        best[pairs] = pairs
+        best = np.maximum.accumulate(best)
+
+        # Of all pieces in bins that are not emptier, one that the most room is beside.
+        room = self.room[self.where]
+        can = (room > 0) & (room <= self.free[low]) & (self.where != low)
+        can &= best[np.where(can, self.sizes + room, 0)] > self.sizes
+        if not can.any():
+            return False
+        other = int(np.where(can, room, 0).argmax())
+        b, total = int(self.where[other]), int(best[self.sizes[other] + room[other]])
+        if total in ones:
+            give = ones[total]
+        else:
+            at = int(np.flatnonzero(pairs == total)[0])
+            give = [few[i[at]], few[j[at]]]
+        self.move({other: low} | dict.fromkeys(give, b))
+        return True
 
     def fill_others(self, low: int) -> bool:
         """Exchange pieces between bins besides ``low`` so that some become full.
@@ -189,35 +225,34 @@ class Bins:
         The other bin of an exchange is no fuller, so the sum of squared fills rises, and it
         gets room that pieces of ``low`` may fit.
         """
-        holders: dict[int, list[tuple[int, int]]] = {}
-        some = [b for free in range(1, self.most) for b in self.at_free[free] if b != low]
-        for b in some:
-            for piece in self.members[b]:
-                holders.setdefault(self.lengths[piece], []).append((piece, b))
-        place = {piece: b for pieces in holders.values() for piece, b in pieces}
+        room = self.room[self.where]
+        inside = (room > 0) & (self.where != low)
+        # Per length the most room beside such a piece, its bin, and the most in another bin.
+        most = np.zeros(self.most + 1, "int64")
+        np.maximum.at(most, self.sizes[inside], room[inside])
+        at_most = inside & (room == most[self.sizes])
+        owner = np.full(self.most + 1, -1)
+        owner[self.sizes[at_most]] = self.where[at_most]
+        second = np.zeros(self.most + 1, "int64")
+        apart = inside & (self.where != owner[self.sizes])
+        np.maximum.at(second, self.sizes[apart], room[apart])
+        wanted = np.where(inside, self.sizes + room, 0)
+        beside = np.where(owner[wanted] == self.where, second[wanted], most[wanted])
         changed = False
-        for b in some:
-            if not self.members[b] or not self.free[b]:
+        for piece in np.flatnonzero(inside & (beside >= room)).tolist():
+            b = int(self.where[piece])
+            free = self.free[b]
+            if not free:
                 continue
-            for piece in self.members[b]:
-                wanted = holders.get(self.lengths[piece] + self.free[b], ())
-                found = next(
-                    (
-                        (other, a)
-                        for other, a in wanted
-                        if a != b and place[other] == a and self.free[a] >= self.free[b]
-                    ),
-                    None,
-                )
-                if found:
-                    other, a = found
-                    self.take(piece, b)
-                    self.take(other, a)
-                    self.put(other, b)
-                    self.put(piece, a)
-                    place[other], place[piece] = b, a
-                    changed = True
-                    break
+            want = self.lengths[piece] + free
+            start, end = np.searchsorted(self.ordered, (want, want + 1))
+            others = self.by_size[start:end]
+            places = self.where[others]
+            fits = (places != b) & (places != low) & (self.room[places] >= free)
+            if fits.any():
+                other = int(others[int(fits.argmax())])
+                self.move({piece: int(self.where[other]), other: b})
+                changed = True
         return changed
 
 

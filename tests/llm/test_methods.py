@@ -254,6 +254,56 @@ def test_a_bin_that_cannot_be_emptied_does_not_keep_others():
         assert sorted(p for members in found for p in members) == list(range(9))
 
 
+@pytest.mark.parametrize(("seed", "at_most"), [(1, 454), (0, 455), (8, 454), (42, 450)])
+def test_emptied_bins_stay_empty(seed, at_most):
+    """What the search counts is what is there; filling emptied bins again gave 455, 456, 455, 453."""
+    lengths = np.random.default_rng(seed).integers(1200, 2200, 1000).tolist()
+    bins = packing.Bins(lengths, 4096)
+    bins.best_fit()
+    before = sum(map(bool, bins.members))
+    used = bins.improve()
+    assert used == sum(map(bool, bins.members)) <= min(at_most, before - 5)
+    fills = [sum(lengths[p] for p in members) for members in bins.members]
+    assert all(fill + free == 4096 for fill, free in zip(fills, bins.free))
+    assert bins.squares == sum(fill * fill for fill in fills)
+    assert sorted(p for members in bins.members for p in members) == list(range(1000))
+
+
+def fewest(lengths, most):
+    """By trying all ways."""
+    lengths, best = sorted(lengths, reverse=True), len(lengths)
+
+    def go(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(lengths):
+            best = len(bins)
+            return
+        for b in sorted(set(bins)):
+            if b + lengths[i] <= most:
+                rest = list(bins)
+                rest.remove(b)
+                go(i + 1, [*rest, b + lengths[i]])
+        go(i + 1, [*bins, lengths[i]])
+
+    go(0, [])
+    return best
+
+
+def test_the_bound_on_bins_holds():
+    draw = np.random.default_rng(12)
+    tight = 0
+    for _ in range(150):
+        most = int(draw.integers(5, 40))
+        lengths = draw.integers(1, most + 1, draw.integers(1, 9)).tolist()
+        bound, need = packing.least_bins(lengths, most), fewest(lengths, most)
+        assert -(-sum(lengths) // most) <= bound <= need <= len(packing.pack_lengths(lengths, most))
+        tight += bound == need
+    assert tight > 120 and packing.least_bins([], 9) == 0
+    assert packing.least_bins([6, 6, 6], 10) == 3  # by volume two
+
+
 def test_packing_of_many_lengths():
     draw = np.random.default_rng(8)
     for low, high in ((1, 4095), (1200, 2200), (1, 200)):
