@@ -2,6 +2,8 @@
 
 Normalised texts are range-partitioned on splitters that Spark samples, an external
 sort puts equal ones side by side, and each is compared in full with its neighbour.
+Splitters pass through the driver, so they are the first bytes of a text and two hashes of
+all of it, which bounds them however long texts are; equal texts have equal ones.
 
 A group of copies may hold a third of all rows, so copies are first counted per text
 and salt, combined on the map side: at most ``salts`` rows of a group reach the sort.
@@ -19,6 +21,9 @@ from pricelab.llm.inputs import whole_text
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SALTS = 32
 
+#: Characters of a text that splitters hold.
+SPLITTER_CHARS = 32
+
 
 def normalised(text: str | Column) -> Column:
     """The text with A-Z in lower case and all else as it is; empty where NULL."""
@@ -32,15 +37,24 @@ def text_groups(rows: DataFrame, salts: int = SALTS) -> DataFrame:
     counted = rows.groupBy("_norm", F.pmod(F.xxhash64("_id"), F.lit(salts)).alias("_salt")).agg(
         F.max("_id").alias("_keep"), F.count("*").alias("_n")
     )
-    neighbours = Window.partitionBy("_norm").orderBy(F.col("_keep").desc_nulls_last())
+    splitter = {
+        "_front": F.left("_norm", F.lit(SPLITTER_CHARS)),
+        "_h1": F.xxhash64("_norm"),
+        "_h2": F.xxhash64(F.lit("again"), "_norm"),
+    }
+    # Within a partition by splitter, then in full; partitioning by all of them needs no
+    # further shuffle, as equal texts have equal splitters.
+    text = [*splitter, "_norm"]
+    last_first = F.col("_keep").desc_nulls_last()
     return (
-        counted.repartitionByRange("_norm")
-        .sortWithinPartitions("_norm", F.col("_keep").desc_nulls_last())
+        counted.withColumns(splitter)
+        .repartitionByRange(*splitter)
+        .sortWithinPartitions(*text, last_first)
         .select(
             "_norm",
             "_keep",
-            F.row_number().over(neighbours).alias("_place"),
-            F.sum("_n").over(Window.partitionBy("_norm")).alias("_size"),
+            F.row_number().over(Window.partitionBy(*text).orderBy(last_first)).alias("_place"),
+            F.sum("_n").over(Window.partitionBy(*text)).alias("_size"),
         )
         .where("_place = 1")
         .drop("_place")

@@ -1,22 +1,28 @@
-"""Line deduplication by deletion neighbourhoods, over words.
+"""Line dedup by deletion neighbourhoods, over words or characters.
 
-A line repeats an earlier one if both are equal or, from ``MIN_NEAR_WORDS`` words on, differ
-by one word that is replaced, added or left out (edit distance 1 over words). Every line
-that repeats an earlier line, of any document, is dropped, whether or not that earlier
-line is itself dropped. Earlier goes by id, then line number.
+A line repeats an earlier one if both are equal and not blank, or near:
+
+* Lines of ``MIN_NEAR_WORDS`` words or more are near if their words are at edit distance 1
+  at most: one word replaced, added or left out. Words are what single white-space
+  characters separate.
+* Lines of fewer words but ``MIN_NEAR_CHARS`` characters or more, such as unspaced text and
+  addresses, are near if their characters are at edit distance 1.
+
+Every line that repeats an earlier line, of any document, is dropped, whether or not that
+earlier line is itself dropped. Earlier goes by id, then line number.
 
 1. Equal lines meet under two 64-bit hashes; the earliest stays.
-2. Two different lines one word apart share their front or their back half: the half
-   that the edit is not in. Four hashes of halves per line, counted, leave only lines
-   that share one with another line, and say in which half the edit must be.
-3. Of these, the variants with one word of that half deleted are emitted as hashed keys.
+2. Two different lines one unit (word or character) apart share their front or their back
+   half: the half that the edit is not in. Four hashes of halves per line, counted, leave
+   only lines that share one with another line, and say in which half the edit must be.
+3. Of these, the variants with one unit of that half deleted are emitted as hashed keys.
    Under one key meet a line and those that a deletion turns into it; under a key and a
    place meet lines that differ in that place alone. Only the earliest of each is kept
    per key, combined on the map side: no pairs are made among lines that meet.
-4. Each line is verified word by word against the earliest that it met.
+4. Each line is verified unit by unit against the earliest that it met.
 
 All steps are DataFrame functions and equi-joins, whose large partitions adaptive
-execution may split.
+execution may split. A line with n units that shares a half hashes n / 2 variants of itself.
 """
 
 from __future__ import annotations
@@ -27,18 +33,29 @@ from pyspark.sql import functions as F
 from pricelab.llm.inputs import matched, whole_text
 from pricelab.plans.staging import stage
 
-#: Lines of fewer words repeat only equal ones.
+#: Lines of at least so many words are near by words; of those with fewer words, the lines
+#: of at least so many characters are near by characters. Other lines repeat only equal ones.
 MIN_NEAR_WORDS = 8
-#: Lines of fewer words are never dropped: they say too little to be copies.
-MIN_WORDS = 3
+MIN_NEAR_CHARS = 24
+
+#: White space besides line ends, which separates words as a blank does.
+BLANKS = "\t\x0b\f\r"
 
 LINE = ["_doc", "_hash", "_no"]
 
 
-def words_between(line: str, start: str, end: str) -> str:
-    """SQL for the first ``start`` and the last ``end`` words of a line, as one text."""
-    front, back = (f"substring_index({line}, ' ', {n})" for n in (start, f"-({end})"))
-    return f"concat({front}, if({start} > 0 AND {end} > 0, ' ', ''), {back})"
+def without_unit(side: str) -> str:
+    """SQL: a line without the unit at its place (from 1; 0: the whole line).
+
+    ``side`` is what the names of its columns begin with: line, by_words, n, place.
+    """
+    line, place, end = f"{side}_line", f"{side}_place", f"{side}_n - {side}_place"
+    words = (
+        f"concat(substring_index({line}, ' ', {place} - 1),"
+        f" if({place} > 1 AND {end} > 0, ' ', ''), substring_index({line}, ' ', -({end})))"
+    )
+    characters = f"concat(left({line}, {place} - 1), right({line}, {end}))"
+    return f"CASE WHEN {place} = 0 THEN {line} WHEN {side}_by_words THEN {words} ELSE {characters} END"
 
 
 def document_rows(docs: DataFrame, id_column: str, text_column: str, keep: list[str]) -> DataFrame:
@@ -52,12 +69,27 @@ def document_rows(docs: DataFrame, id_column: str, text_column: str, keep: list[
     )
 
 
+def not_blank(line: str) -> str:
+    """SQL: whether a line, with blanks for other white space, says anything."""
+    return f"trim({line}) != ''"
+
+
 def line_rows(rows: DataFrame) -> DataFrame:
-    """_doc, _hash, _no, _line, _n (words, between single spaces)."""
-    spaces = "char_length(_line) - char_length(replace(_line, ' ', ''))"
-    return rows.select(
-        "_doc", "_hash", F.posexplode(F.split("_text", "\n")).alias("_no", "_line")
-    ).select("*", F.expr(f"{spaces} + 1 AS _n"))
+    """Lines that are not blank: _doc, _hash, _no, _own, _line, _by_words, _n.
+
+    ``_line`` has blanks for other white space; ``_n`` is its number of units, words if
+    ``_by_words``, else characters.
+    """
+    words = "char_length(_line) - char_length(replace(_line, ' ', '')) + 1"
+    return (
+        rows.select("_doc", "_hash", F.posexplode(F.split("_text", "\n")).alias("_no", "_own"))
+        .withColumn("_line", F.translate("_own", BLANKS, " " * len(BLANKS)))
+        .where(not_blank("_line"))
+        .selectExpr("*", f"{words} AS _words")
+        .selectExpr("*", f"_words >= {MIN_NEAR_WORDS} AS _by_words")
+        .selectExpr("*", "if(_by_words, _words, char_length(_line)) AS _n")
+        .drop("_words")
+    )
 
 
 def order() -> Column:
@@ -70,23 +102,27 @@ def order() -> Column:
 
 
 def half_hashes(length: str) -> list[str]:
-    """SQL: hashes of the front and the back half of a line, as of one of ``length`` words."""
-    half = f"({length}) div 2"
-    front = f"substring_index(_line, ' ', cast({half} AS int))"
-    back = f"substring_index(_line, ' ', cast({half} - ({length}) AS int))"
-    return [f"xxhash64('front', {length}, {front})", f"xxhash64('back', {length}, {back})"]
+    """SQL: hashes of the front and the back half of a line, as of one of ``length`` units."""
+    half = f"cast(({length}) div 2 AS int)"
+    rest = f"cast(({length}) - ({length}) div 2 AS int)"
+    front = f"if(_by_words, substring_index(_line, ' ', {half}), left(_line, {half}))"
+    back = f"if(_by_words, substring_index(_line, ' ', -{rest}), right(_line, {rest}))"
+    return [
+        f"xxhash64('front', _by_words, {length}, {front})",
+        f"xxhash64('back', _by_words, {length}, {back})",
+    ]
 
 
 def repeated_lines(rows: DataFrame) -> DataFrame:
     """(_doc, _hash, _no) of the lines to drop; ``rows`` as from ``document_rows``."""
-    is_near, halves = f"_n >= {MIN_NEAR_WORDS}", half_hashes("_n") + half_hashes("_n + 1")
+    is_near = f"_by_words OR _n >= {MIN_NEAR_CHARS}"
+    halves = half_hashes("_n") + half_hashes("_n + 1")
     lines = stage(
         line_rows(rows)
-        .where(f"_n >= {MIN_WORDS}")
         .select(
             *LINE,
-            F.xxhash64("_line").alias("_h1"),
-            F.xxhash64(F.lit("again"), "_line").alias("_h2"),
+            F.xxhash64("_own").alias("_h1"),
+            F.xxhash64(F.lit("again"), "_own").alias("_h2"),
             *[F.expr(f"if({is_near}, {half}, NULL)").alias(f"_k{i}") for i, half in enumerate(halves)],
         ),
         "lines",
@@ -107,7 +143,7 @@ def repeated_lines(rows: DataFrame) -> DataFrame:
 
 
 def near_lines(rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """Lines one word from an earlier one; of equal lines only the earliest need be named."""
+    """Lines one unit from an earlier one; of equal lines only the earliest need be named."""
     # One row per different line and half: copies are combined before the shuffle.
     halves = (
         lines.groupBy("_h1", "_h2")
@@ -127,18 +163,17 @@ def near_lines(rows: DataFrame, lines: DataFrame) -> DataFrame:
         "line-texts",
     )
 
-    # Bits of _shares: front and back at its own length, front and back at one word more.
+    # Bits of _shares: front and back at its own length, front and back at one unit more.
     places = """
         concat(
             if(_shares & 12 != 0, array(0), array()),
             if(_shares & 2 != 0 AND _n > 1, sequence(1, _n div 2), array()),
             if(_shares & 1 != 0, sequence(_n div 2 + 1, _n), array()))
     """
-    without = f"if(_place = 0, _line, {words_between('_line', '_place - 1', '_n - _place')})"
     variants = (
-        texts.selectExpr("_order", "_line", "cast(_n AS int) AS _n", "_shares")
-        .selectExpr("_order", "_line", "_n", f"explode({places}) AS _place")
-        .selectExpr("_order", "_place", f"xxhash64({without}) AS _key")
+        texts.selectExpr("_order", "_line", "_by_words", "cast(_n AS int) AS _n", "_shares")
+        .selectExpr("_order", "_line", "_by_words", "_n", f"explode({places}) AS _place")
+        .selectExpr("_order", "_place", f"xxhash64(_by_words, {without_unit('')}) AS _key")
     )
     met = variants.groupBy("_key", "_place").agg(
         F.min("_order").alias("_first"), F.count("*").alias("_times")
@@ -163,17 +198,17 @@ def near_lines(rows: DataFrame, lines: DataFrame) -> DataFrame:
 
     def side(name: str) -> DataFrame:
         return texts.selectExpr(
-            f"_order AS _{name}", f"_line AS _{name}_line", f"cast(_n AS int) AS _{name}_n"
+            f"_order AS _{name}",
+            f"_line AS _{name}_line",
+            f"_by_words AS _{name}_by_words",
+            f"cast(_n AS int) AS _{name}_n",
         )
 
-    def rest(name: str) -> str:
-        line, n, place = f"_{name}_line", f"_{name}_n", f"_{name}_place"
-        return f"if({place} = 0, {line}, {words_between(line, f'{place} - 1', f'{n} - {place}')})"
-
     verified = (
         pairs.join(side("early"), "_early")
         .join(side("late"), "_late")
-        .where(f"{rest('early')} = {rest('late')}")
+        .where("_early_by_words = _late_by_words")
+        .where(f"{without_unit('_early')} = {without_unit('_late')}")
         .select(F.col("_late").alias("_order"))
         .distinct()
     )
@@ -188,12 +223,13 @@ def deduplicated_lines(
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, text (of the lines that stay), n_lines, n_dropped, ``keep``.
 
-    * NULL and empty texts are one empty line, which stays.
-    * Lines of fewer than ``MIN_WORDS`` words stay; of fewer than ``MIN_NEAR_WORDS`` words
-      only equal ones are dropped. Within a document the same holds.
+    * NULL and empty texts are one empty line, which stays, as all blank lines do: those of
+      blanks, tabs and returns only.
+    * Equal lines meet whatever their length; near ones as stated above. Within a document
+      the same holds.
     * NULL ids come last. Rows that share an id go by a hash of their text. Of rows that
-      repeat id and text the first is treated as above; the others lose every line of at
-      least ``MIN_WORDS`` words.
+      repeat id and text the first is treated as above; the others lose every line that
+      is not blank.
     * Columns not named are not read; an empty table gives no rows.
     """
     rows = document_rows(docs, id_column, text_column, list(keep))
@@ -211,14 +247,12 @@ def deduplicated_lines(
     once = found.where("_rows IS NULL").withColumn("_turn", F.lit(1))
     more = found.where("_rows IS NOT NULL").withColumn("_turn", F.row_number().over(turns))
     numbers = "sequence(0, size(_lines) - 1)"
-    long_lines = (
-        f"filter({numbers}, i -> char_length(_lines[i])"
-        f" - char_length(replace(_lines[i], ' ', '')) >= {MIN_WORDS - 1})"
-    )
+    own = f"translate(_lines[i], '{BLANKS.encode('unicode_escape').decode()}', '{' ' * len(BLANKS)}')"
+    said = f"filter({numbers}, i -> {not_blank(own)})"
     kept = f"transform(array_except({numbers}, _gone), i -> _lines[i])"
     return (
         once.unionByName(more)
-        .withColumn("_gone", F.expr(f"if(_turn = 1, _dropped, {long_lines})"))
+        .withColumn("_gone", F.expr(f"if(_turn = 1, _dropped, {said})"))
         .select(
             F.col("_doc").alias("doc_id"),
             F.expr(

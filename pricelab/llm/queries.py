@@ -59,28 +59,35 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated_lines(read(spark, sf_dir, "documents"))
 
 
-OP6_SQL = """
+OP6_SQL = r"""
     WITH split AS (
         SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
     ), numbered AS (
         SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS no FROM split
     ), ordered AS (
-        SELECT *, string_split(line, ' ') AS words,
+        SELECT *, regexp_replace(line, '[\x09-\x0D]', ' ', 'g') AS plain,
                row_number() OVER (ORDER BY doc_id NULLS LAST, no) AS place
         FROM numbered
     ), firsts AS (
-        SELECT line, words, len(words) AS n, min(place) AS first
-        FROM ordered WHERE len(words) >= 3 GROUP BY ALL
+        SELECT line, plain, string_split(plain, ' ') AS words, min(place) AS first
+        FROM ordered WHERE trim(plain) <> '' GROUP BY line, plain
+    ), units AS (
+        SELECT *, len(words) >= 8 AS by_words,
+               CASE WHEN len(words) >= 8 THEN len(words) ELSE length(plain) END AS n
+        FROM firsts WHERE len(words) >= 8 OR length(plain) >= 24
     ), cuts AS (
-        SELECT line, n, first, spot, list_concat(words[:spot - 1], words[spot + 1:]) AS rest
-        FROM (SELECT *, unnest(range(1, n + 1)) AS spot FROM firsts WHERE n >= 8)
+        SELECT by_words, first, spot,
+               CASE WHEN by_words
+                    THEN array_to_string(list_concat(words[:spot - 1], words[spot + 1:]), ' ')
+                    ELSE plain[:spot - 1] || plain[spot + 1:] END AS rest
+        FROM (SELECT *, unnest(range(1, n + 1)) AS spot FROM units)
     ), near AS (
         SELECT first FROM (
-            SELECT first, min(first) OVER (PARTITION BY spot, rest) AS earliest FROM cuts
+            SELECT first, min(first) OVER (PARTITION BY by_words, spot, rest) AS earliest FROM cuts
         ) WHERE earliest < first
         UNION
-        SELECT greatest(c.first, f.first)
-        FROM cuts c JOIN firsts f ON c.rest = f.words WHERE f.n >= 8
+        SELECT greatest(c.first, u.first)
+        FROM cuts c JOIN units u ON c.rest = u.plain AND c.by_words = u.by_words
     ), gone AS (
         SELECT o.place FROM ordered o JOIN firsts f ON o.line = f.line AND o.place > f.first
         UNION

@@ -108,34 +108,44 @@ def near_classes(texts: list[str], least: float = 0.8) -> list[int]:
     return [root(i) for i in range(len(texts))]
 
 
-def one_word_apart(a: list[str], b: list[str]) -> bool:
+def one_apart(a, b) -> bool:
+    """Whether two lists of words, or two texts, are at edit distance 1 at most."""
     if len(a) == len(b):
-        return sum(x != y for x, y in zip(a, b)) == 1
+        return sum(x != y for x, y in zip(a, b)) <= 1
     if abs(len(a) - len(b)) != 1:
         return False
     a, b = sorted((a, b), key=len)
     return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
 
 
+def line_units(line: str):
+    """Words of a line with 8 or more, else its characters if 24 or more, else None."""
+    plain = re.sub(r"[\t\x0b\f\r]", " ", line)
+    words = plain.split(" ")
+    return words if len(words) >= 8 else plain if len(plain) >= 24 else None
+
+
 def kept_lines(texts: list[str]) -> list[str]:
     """Texts, in order, without the lines that repeat an earlier one."""
-    seen: list[list[str]] = []
+    seen: list = []
     whole: set[str] = set()
     result = []
     for text in texts:
         kept = []
         for line in text.split("\n"):
-            words = line.split(" ")
-            repeats = len(words) >= 3 and (
-                line in whole
-                or len(words) >= 8
-                and any(len(other) >= 8 and one_word_apart(words, other) for other in seen)
+            if not line.strip(" \t\x0b\f\r"):
+                kept.append(line)
+                continue
+            units = line_units(line)
+            repeats = line in whole or units is not None and any(
+                type(other) is type(units) and one_apart(units, other) for other in seen
             )
             if not repeats:
                 kept.append(line)
-            if len(words) >= 3 and line not in whole:
+            if line not in whole:
                 whole.add(line)
-                seen.append(words)
+                if units is not None:
+                    seen.append(units)
         result.append("\n".join(kept))
     return result
 

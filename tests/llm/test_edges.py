@@ -126,11 +126,17 @@ def test_next_document_across_buckets(spark, monkeypatch):
     assert len(got) == 101 and {r.doc_id: r.edited_sha256 for r in got} == want
 
 
+def kept_of(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.deduplicated_lines(frame).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
 def test_lines(spark):
     base = "alpha beta gamma delta epsilon zeta eta theta iota"
     texts = [
         f"{base}\none two\n{base}",
-        "one two",  # too short to be a copy
+        "one two",  # short, but equal
         base.replace("gamma", "GAMMA"),  # one word replaced
         base + " kappa",  # one added
         base.replace("alpha ", ""),  # one left out
@@ -140,9 +146,42 @@ def test_lines(spark):
         None,
         "beta gamma delta epsilon zeta eta theta iota alpha",  # moved: two edits
     ]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.text for r in line_dedup.deduplicated_lines(frame).collect()}
-    assert [got[i] for i in range(len(texts))] == brute.kept_lines([t or "" for t in texts])
+    assert kept_of(spark, texts) == brute.kept_lines([t or "" for t in texts])
+
+
+def test_lines_without_blanks(spark):
+    japanese = "これは空白のない文章であり、どこにも区切りがない長い行である。"
+    url = "https://example.org/a/long/path?with=query&and=more"
+    row = "\t".join(["id7", "red", "12", "3.5", "x", "y", "z", "end"])
+    texts = [
+        f"Menu\nAll rights reserved.\n{japanese}\n{url}\n{row}\n \t \n\r",
+        f"Menu\nAll rights reserved.\n{japanese}\n{url}\n{row}\n \t \n\r",
+        f"menu\nAll rights reserved!\n{url}/\n" + row.replace("red", "blue"),  # near: url, row
+        japanese[:5] + japanese[6:] + "\n" + japanese.replace("長", "短") + "\n" + japanese + "んだ",
+        row.replace("\t", " ") + "\n" + row.replace("red", "blue").replace("12", "13"),
+        "\r\nMenu\r\nMenu\r",  # a return is part of its line
+        "a" * 23 + "\n" + "a" * 22 + "b\n" + "a" * 24 + "\n" + "a" * 23 + "b",
+    ]
+    got = kept_of(spark, texts)
+    assert got == brute.kept_lines(texts)
+    assert got[1] == " \t \n\r" and got[2] == "menu\nAll rights reserved!"
+    assert got[3] == japanese + "んだ" and got[6] == "\n".join(["a" * 23, "a" * 22 + "b", "a" * 24])
+
+
+def test_characters_by_brute_force(spark):
+    draw = np.random.default_rng(11)
+    seeds = ["".join(draw.choice(list("ab é"), 26)) for _ in range(6)]
+    texts = []
+    for _ in range(60):
+        lines = []
+        for _ in range(draw.integers(1, 5)):
+            line = list(seeds[draw.integers(6)])
+            for _ in range(draw.integers(0, 3)):
+                at, how = draw.integers(len(line)), draw.integers(3)
+                line[at : at + (how != 1)] = ["x"] if how < 2 else []
+            lines.append("".join(line))
+        texts.append("\n".join(lines))
+    assert kept_of(spark, texts) == brute.kept_lines(texts)
 
 
 def test_lines_by_brute_force(spark):
@@ -174,7 +213,7 @@ def test_lines_of_repeated_rows(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = line_dedup.deduplicated_lines(frame).collect()
     assert Counter((r.doc_id, r.text, r.n_dropped) for r in got) == Counter(
-        [(1, PROSE + "\nshort one", 0), (1, "short one", 1), (2, "", 0), (2, "", 0)]
+        [(1, PROSE + "\nshort one", 0), (1, "", 2), (2, "", 0), (2, "", 0)]
     )
 
 
@@ -255,7 +294,7 @@ def test_chat_windows(spark):
         turns = chat.parsed(w.text)
         assert turns[0] == ("system", "be kind")
         assert len(turns) == w.n_repeated + w.n_new and w.n_repeated > 1
-        assert w.n_tokens <= 2 * chat.SPAN_TOKENS
+        assert w.n_tokens <= chat.WINDOW_TOKENS
         assert len(w.loss) <= w.n_new
     got = {r.conv_id: r for r in chat_digest.read_back(chat.chat_windows(frame)).collect()}
     by = {}
@@ -271,6 +310,66 @@ def test_chat_windows(spark):
     assert empty.collect() == []
 
 
+@pytest.mark.parametrize("block", [chat.BLOCK_TOKENS, 4096])
+def test_windows_keep_the_budget(spark, block):
+    """Long turns, one hot conversation, and turns that fit no window."""
+    rows = [(1, 0, "system", "be kind " * 40)]
+    rows += [(1, t, "user" if t % 2 else "assistant", f"word{t} " * (t * 37 % (300 if t % 5 == 0 else 30))) for t in range(1, 900)]
+    rows += [(2, t, "user", "a long turn " * 230) for t in range(30)]
+    rows += [(3, 0, "system", "x " * 1500), (3, 1, "user", "hi"), (3, 2, "user", "y " * 2000), (3, 3, "user", "z")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = chat.chat_windows(frame, block=block).collect()
+    turns, shared = {1: 900, 2: 30, 3: 4}, 0
+    for conv in turns:
+        own = sorted((w for w in windows if w.conv_id == conv), key=lambda w: w.window)
+        assert sum(w.n_new for w in own) == turns[conv]
+        seen = []
+        for w in own:
+            assert w.n_tokens <= chat.WINDOW_TOKENS or w.n_new == 1
+            if w.n_tokens > chat.WINDOW_TOKENS:  # only what must be there: system and one turn
+                assert w.n_repeated <= (conv != 2)
+            found = chat.parsed(w.text)
+            if conv != 2 and seen:
+                assert found[0] == seen[0]
+            repeated = found[conv != 2 and bool(seen) : w.n_repeated]
+            assert not repeated or repeated == seen[-len(repeated) :]
+            shared += bool(repeated)
+            seen += found[w.n_repeated :]
+        assert seen == [(r[2], r[3]) for r in rows if r[0] == conv]
+    assert shared > 50
+
+
+def test_spans_by_trying_all():
+    draw = np.random.default_rng(3)
+    for _ in range(300):
+        tokens = draw.integers(1, 12, draw.integers(1, 14)).tolist()
+        past, held = draw.integers(1, 6, draw.integers(0, 4)).tolist(), False
+        if draw.integers(2):
+            past, held = [], True
+        system, budget, history = tokens[0] if held else int(draw.integers(0, 4)), 20, 6
+        every, at = past + tokens, 0
+        for first, end, repeated in chat.spans(tokens, past, system, held, budget, history):
+            assert first == at < end
+            place = first + len(past)
+            lead = 0 if held and first == 0 else system
+
+            def total(start, stop):
+                return lead + sum(every[start:stop])
+
+            lowest = 1 if held and first else 0
+            fit = [
+                s for s in range(lowest, place)
+                if sum(every[s:place]) <= history and total(s, place + 1) <= budget
+            ]
+            assert place - repeated == min(fit, default=place)
+            if end - first > 1:
+                assert total(place - repeated, end + len(past)) <= budget
+            if end < len(tokens):
+                assert total(place - repeated, end + len(past) + 1) > budget
+            at = end
+        assert at == len(tokens)
+
+
 def test_quality_without_labels(spark, odd):
     labels = spark.createDataFrame([(None, 1), (3, None)], "doc_id long, quality int")
     model = quality.fit_on_labels(odd, labels)
