@@ -18,7 +18,7 @@ def run(spark, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14))
     assert set(oracle_sql()) <= set(queries())
 
 
