@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelab.llm.inputs import small_batches, whole_text
-from pricelab.llm.tokens import ChunkIds, tokenizer_path
+from pricelab.llm.tokens import chunk_ids, tokenizer_path
 from pricelab.plans.staging import stage
 
 #: Tokens of a window; of the history in it, at most; of the marks around a turn; of a block.
@@ -105,7 +105,7 @@ def numbered_turns(turns: DataFrame) -> DataFrame:
     path = tokenizer_path()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = ChunkIds(path)
+        known = chunk_ids(path)
         for batch in batches:
             tokens = [len(known.ids(text)) // 4 + MARK_TOKENS for text in batch["_text"]]
             yield batch.assign(_tokens=tokens)

@@ -10,12 +10,14 @@ from __future__ import annotations
 import os
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
+from struct import pack
 
 import numpy as np
 import pandas as pd
 
 #: Chunks whose ids a Python worker keeps; beyond, it starts over.
-KEPT_CHUNKS = 500_000
+KEPT_CHUNKS = 400_000
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 
@@ -59,12 +61,15 @@ class ChunkIds(dict):
         else:
             core = chunk.rstrip(".,!?;:#$%&*|")
             if core != chunk and core.isalpha() and not self.has_special(chunk):
-                return self[core] + self[chunk[len(core) :]]
+                return self.kept(chunk, self[core] + self[chunk[len(core) :]])
             ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        return self.kept(chunk, pack(f"<{len(ids)}I", *ids))
+
+    def kept(self, chunk: str, ids: bytes) -> bytes:
         if len(self) >= KEPT_CHUNKS:
             self.clear()
-        found = self[chunk] = np.array(ids, "<u4").tobytes()
-        return found
+        self[chunk] = ids
+        return ids
 
     def single_letter_run(self, chunk: str) -> bool:
         return (
@@ -83,13 +88,19 @@ class ChunkIds(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+@cache
+def chunk_ids(path: str) -> ChunkIds:
+    """The chunks that this Python worker has met; its tasks go on with them."""
+    return ChunkIds(path)
+
+
 def piece_batches(
     batches: Iterator[pd.DataFrame], path: str, most: int, end_id: int
 ) -> Iterator[pd.DataFrame]:
     """Pieces of at most ``most`` ids of each (doc_id, text), ``end_id`` after each document."""
     from pricelab.llm.inputs import chunks
 
-    known = ChunkIds(path)
+    known = chunk_ids(path)
     end = np.array([end_id], "<u4").tobytes()
     for batch in chunks(batches):
         columns = {name: [] for name in ("row", "piece", "start", "length", "ids")}
