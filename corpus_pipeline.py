@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pricelab.llm import dart_minhash, line_dedup, mixing, packing, quality
 from pricelab.llm.inputs import read
-from pricelab.plans.staging import new_folder, staging_scope
+from pricelab.plans.staging import new_folder, stage, staging_scope
 
 #: The columns of documents, in order; ``OTHERS`` only pass through.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -38,16 +38,21 @@ def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return dart_minhash.without_near_copies(docs, keep=OTHERS).select(COLUMNS)
 
 
+def with_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with the learned quality score, written once, as its weights are read twice."""
+    model = quality.fit_on_labels(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return stage(quality.quality_scores(docs, model, keep=OTHERS), "scored")
+
+
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
-    return mixing.mixed_documents(docs).select(COLUMNS)
+    """Documents as often as the mix of sources takes them, by their quality."""
+    scored = with_quality(spark, docs, sf_dir)
+    return mixing.mixed_documents(scored, weight=mixing.score_weight("score")).select(COLUMNS)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = packing.document_pieces(docs)
-    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack_pieces(narrow)
+    """Per piece: doc_id, copy, piece, start, length, ids_crc32, sequence_id, offset, ids."""
+    return packing.packed_documents(docs)
 
 
 STAGES = [

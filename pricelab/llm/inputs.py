@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows Spark hands to Python at once. Texts may be long, so this is far below the default.
 BATCH_ROWS = 512
 
-#: Rows of a side that may be broadcast; more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Bytes of a side that may be broadcast; more are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 
 #: Characters worked on at once inside a task; a longer text is worked on alone.
 CHUNK_CHARS = 400_000
@@ -58,9 +60,25 @@ def chunks(
                 start, done = at + 1, end
 
 
+def width(column: Column, kind: T.DataType) -> Column:
+    """About the bytes of a value in memory."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(column) + 16
+    if isinstance(kind, T.ArrayType):
+        flat = not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType))
+        return F.size(column) * 16 + 16 if flat else F.octet_length(F.to_json(column)) + 16
+    return F.lit(16)
+
+
+def byte_size(rows: DataFrame) -> int:
+    """About the bytes of all rows in memory, summed by Spark."""
+    widths = [F.coalesce(width(F.col(f"`{f.name}`"), f.dataType), F.lit(16)) for f in rows.schema.fields]
+    return rows.select(reduce(Column.__add__, widths).alias("_w")).agg(F.sum("_w")).first()[0] or 0
+
+
 def matched(rows: DataFrame, few: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join on keys that may be NULL; ``few`` (narrow, staged) is broadcast if counted few."""
-    small = few.count() <= BROADCAST_ROWS
+    """Join on keys that may be NULL; ``few`` (staged) is broadcast if its bytes are few."""
+    small = byte_size(few) <= BROADCAST_BYTES
     other = few.withColumnsRenamed({key: f"_of{key}" for key in keys})
     same = " AND ".join(f"{key} <=> _of{key}" for key in keys)
     joined = rows.join(F.broadcast(other) if small else other, F.expr(same), how)

@@ -4,9 +4,9 @@ Each document draws an exponential key whose rate is its quality weight. A sourc
 target is ``e`` and a fraction times its size is taken whole ``e`` times; the fraction
 is the documents with the smallest keys, as many as their prefix sum of words allows.
 
-A source may hold a third of all rows, so no source is sorted in one task: keys are
-dealt to slices in key order, each of some ``SLICE_ROWS`` rows, and a prefix sum is
-the sum of the slices before plus the one within the slice.
+A source may hold a third of all rows, so no source is sorted in one task: rows are
+partitioned by ranges of source and key, of some ``SLICE_ROWS`` rows whatever the weights
+are, and a prefix sum is the sum of the source's ranges before plus the one within the range.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pricelab.plans.staging import stage
 WEIGHT_CYCLE = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST_TIMES = 2.0
-SLICE_ROWS = 2_000
+SLICE_ROWS = 20_000
 SEED = 42
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,6 +42,11 @@ def quality_weight(text: str | Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + symbols / words)
 
 
+def score_weight(score: str | Column) -> Column:
+    """The weight of a learned quality score from 0 to 1; none is without a chance."""
+    return F.greatest(F.coalesce(F.col(score) if isinstance(score, str) else score, F.lit(0.0)), F.lit(0.01))
+
+
 def sampling_key(weight: Column, *identity: Column, seed: int = SEED) -> Column:
     """Exponential with rate ``weight``, from a hash of what identifies a document."""
     draw = F.pmod(F.xxhash64(F.lit(seed), *identity), F.lit(1 << 52)) + F.lit(0.5)
@@ -101,6 +106,21 @@ def source_targets(
     return weighted.withColumn("_target", target).drop("_part", "_at", "_share", "_cap")
 
 
+def key_ranges(rows: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(_source, _key, ...) with ``_part`` added: ranges of like size, in order of key per source.
+
+    Ranges come from quantiles that Spark samples, of a hash of the source, the key and a
+    number that parts equal keys.
+    """
+    n_parts = max(1, -(-rows.count() // slice_rows))
+    order = ["_of_hash", "_key", "_number"]
+    numbered = rows.withColumns(
+        {"_of_hash": F.xxhash64("_source"), "_number": F.monotonically_increasing_id()}
+    )
+    parted = numbered.repartitionByRange(n_parts, *order).withColumn("_part", F.spark_partition_id())
+    return stage(parted.drop("_of_hash"), "mix-ranges")
+
+
 def planned_rows(
     docs: DataFrame,
     id_column: str,
@@ -120,48 +140,33 @@ def planned_rows(
         F.col(source_column).alias("_source"),
         word_count(text).alias("_words"),
         sampling_key(weight, F.col(id_column), whole_text(text), seed=seed).alias("_key"),
-        weight.alias("_weight"),
-    )
-    rows = stage(rows, "mix-rows")
-    sources = rows.groupBy("_source").agg(
-        F.sum("_words").alias("_size"),
-        F.avg("_weight").alias("_rate"),
-        F.ceil(F.count("*") / SLICE_ROWS).alias("_slices"),
     )
+    rows = key_ranges(stage(rows, "mix-rows"))
+    parts = stage(rows.groupBy("_source", "_part").agg(F.sum("_words").alias("_in_part")), "mix-parts")
+    sources = parts.groupBy("_source").agg(F.sum("_in_part").alias("_size"))
     targets = stage(source_targets(sources, cycle, share, most_times), "mix-targets").select(
         F.col("_source").alias("_of"),
         "_size",
         "_target",
-        "_rate",
-        "_slices",
         F.when(F.col("_size") > 0, F.floor(F.col("_target") / F.col("_size")))
         .otherwise(0)
         .alias("_epochs"),
     )
-    placed = rows.join(targets, F.expr("_source <=> _of")).withColumn(
-        "_slice",
-        F.least(
-            F.floor((F.lit(1.0) - F.exp(-F.col("_key") * F.col("_rate"))) * F.col("_slices")),
-            F.col("_slices") - 1,
-        ),
-    )
-    so_far = Window.partitionBy("_of").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (
-        placed.groupBy("_of", "_slice")
-        .agg(F.sum("_words").alias("_in_slice"))
-        .select(
-            F.col("_of").alias("_slice_of"),
-            F.col("_slice").alias("_slice_at"),
-            F.coalesce(F.sum("_in_slice").over(so_far), F.lit(0)).alias("_before"),
-        )
+    so_far = Window.partitionBy("_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select(
+        F.col("_source").alias("_part_of"),
+        F.col("_part").alias("_part_at"),
+        F.coalesce(F.sum("_in_part").over(so_far), F.lit(0)).alias("_before"),
     )
     inside = (
-        Window.partitionBy("_of", "_slice")
-        .orderBy("_key", "_id", "_words")
+        Window.partitionBy("_source", "_part")
+        .orderBy("_key", "_id", "_words", "_number")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    summed = placed.withColumn("_through", F.sum("_words").over(inside)).join(
-        slices, F.expr("_of <=> _slice_of AND _slice = _slice_at")
+    summed = (
+        rows.withColumn("_through", F.sum("_words").over(inside))
+        .join(before, F.expr("_source <=> _part_of AND _part = _part_at"))
+        .join(targets, F.expr("_source <=> _of"))
     )
     rest = F.col("_target") - F.col("_epochs") * F.col("_size")
     middle = F.col("_before") + F.col("_through") - F.col("_words") / 2

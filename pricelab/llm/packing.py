@@ -34,14 +34,15 @@ def document_pieces(
     most: int = SEQUENCE_TOKENS,
     end_id: int = END_ID,
     path: str | None = None,
+    keep: list[str] | tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit).
+    """Per piece: doc_id, ``keep``, piece, start, length, ids (little-endian unsigned 32-bit).
 
     A document is the ids of its text (none where NULL or empty), then ``end_id``. Only
     longer ones are cut, every ``most`` ids. Rows with equal or NULL ids stay separate.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_column).alias("doc_id"), whole_text(text_column).alias("text"))
+    rows = docs.select(F.col(id_column).alias("doc_id"), *keep, whole_text(text_column).alias("text"))
     safe, path = for_pandas(rows), path or tokenizer_path()
     pieces = safe.mapInPandas(
         lambda it: piece_batches(it, path, most, end_id),
@@ -297,3 +298,18 @@ def pack_pieces(
         F.lit(0).cast("long").alias("offset"),
     )
     return restored(packed, rows).unionByName(alone)
+
+
+def packed_documents(docs: DataFrame, **names: str) -> DataFrame:
+    """Per piece: doc_id, copy, piece, start, length, ids_crc32, sequence_id, offset, ids.
+
+    ``copy`` is a number that the pieces of one row of ``docs`` share with no other row: rows
+    that repeat stay apart. Only lengths are packed; the ids, written once, join them by piece.
+    """
+    numbered = docs.withColumn("copy", F.monotonically_increasing_id())
+    pieces = document_pieces(numbered, keep=["copy"], **names)
+    pieces = stage(pieces.withColumn("_piece", F.monotonically_increasing_id()), "token-pieces")
+    narrow = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack_pieces(narrow).join(pieces.select("_piece", "ids"), "_piece").select(
+        "doc_id", "copy", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"
+    )

@@ -2,8 +2,8 @@
 
 From labelled documents pairs are drawn, one of each label; a linear score is fitted by
 logistic loss on the differences of their features, so it learns what makes one document
-better than another. Which score is good enough is a quantile of scores: the one at the
-share of low-quality labels.
+better than another. Which score is good enough is a quantile of scores: the one that parts
+the labels best.
 
 The fit takes a bounded sample of labelled rows; scoring covers every whole text.
 """

@@ -140,7 +140,11 @@ def op9_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(read(spark, sf_dir, "documents"))
+    """Weights are the quality scores that op2 learns."""
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit_on_labels(docs, read(spark, sf_dir, "labels"))
+    scored = quality.quality_scores(docs, model, keep=["source"])
+    return mixing.mix_sources(scored, weight=mixing.score_weight("score"))
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

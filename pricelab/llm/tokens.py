@@ -97,7 +97,7 @@ def chunk_ids(path: str) -> ChunkIds:
 def piece_batches(
     batches: Iterator[pd.DataFrame], path: str, most: int, end_id: int
 ) -> Iterator[pd.DataFrame]:
-    """Pieces of at most ``most`` ids of each (doc_id, text), ``end_id`` after each document."""
+    """Pieces of at most ``most`` ids of each row's text, ``end_id`` after each document."""
     from pricelab.llm.inputs import chunks
 
     known = chunk_ids(path)
@@ -111,5 +111,5 @@ def piece_batches(
                 for name, value in zip(columns, (row, piece, at // 4, len(part) // 4, part)):
                     columns[name].append(value)
         pieces = pd.DataFrame(columns)
-        pieces.insert(0, "doc_id", batch["doc_id"].to_numpy()[pieces.pop("row")])
-        yield pieces
+        others = batch.drop(columns="text").iloc[pieces.pop("row")].reset_index(drop=True)
+        yield pd.concat((others, pieces), axis=1)

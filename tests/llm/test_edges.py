@@ -257,6 +257,31 @@ def test_mix(odd):
     assert abs(words - sum(r.taken for r in rows)) <= 2 * len(PROSE.split())
 
 
+def test_key_ranges_are_bounded(spark):
+    """One source with most rows and very uneven weights: ranges still hold few rows."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 10 < 7, "hot").otherwise((F.col("id") % 4).cast("string")).alias("_source"),
+        mixing.sampling_key(F.when(F.col("id") % 3 == 0, 1e-6).otherwise(1.0), F.col("id")).alias("_key"),
+        F.lit(1).alias("_words"),
+    )
+    parts = mixing.key_ranges(rows, 1_000).groupBy("_part").agg(
+        F.count("*").alias("n"), F.min(F.struct("_source", "_key")).alias("least")
+    ).collect()
+    assert len(parts) == 30 and max(p.n for p in parts) < 2_000
+
+
+def test_sides_are_broadcast_by_bytes(spark):
+    rows = spark.range(100).withColumn("k", F.col("id"))
+    narrow = rows.select("k", F.lit(1).alias("v"))
+    wide = rows.select("k", F.array_repeat(F.lit(7), 20_000).alias("v"))
+    from pricelab.llm.inputs import byte_size, matched
+
+    assert byte_size(narrow) < 10_000 and byte_size(wide) > 16 << 20
+    for few, hint in ((narrow, True), (wide, False)):
+        plan = matched(rows, few, ["k"], "inner")._jdf.queryExecution().analyzed().toString()
+        assert ("strategy=broadcast" in plan) == hint
+
+
 def test_packing_of_odd_texts(odd):
     pieces = packing.document_pieces(odd)
     rows = packing.pack_pieces(pieces.drop("ids")).collect()

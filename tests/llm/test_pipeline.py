@@ -59,10 +59,11 @@ def test_near_deduplication(results):
     assert rows(results[3]) == [before[i] for i in sorted(set(classes))]
 
 
-def test_source_mixing(results):
-    taken = {
-        r.doc_id: (r.taken, r["size"]) for r in mixing.mix_sources(results[3]).collect()
-    }
+def test_source_mixing(spark, results):
+    scored = corpus_pipeline.with_quality(spark, results[3], SF_DIR)
+    assert scored.where("score >= 0.3").count() > 0.9 * scored.count()
+    mixed = mixing.mix_sources(scored, weight=mixing.score_weight("score"))
+    taken = {r.doc_id: (r.taken, r["size"]) for r in mixed.collect()}
     times = Counter(row[0] for row in rows(results[4]))
     before = {row[0]: row for row in rows(results[3])}
     for doc_id, (words, size) in taken.items():
@@ -70,6 +71,36 @@ def test_source_mixing(results):
     assert set(rows(results[4])) <= set(before.values())
 
 
+def test_sequences_decode_to_the_mixed_texts(results):
+    """Sequence by sequence and place by place, the ids are those of the mixed rows, in order."""
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from pricelab.llm.tokens import tokenizer_path
+
+    whole = Tokenizer.from_file(tokenizer_path())
+    sequences, pieces = defaultdict(bytes), results[5].collect()
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert len(sequences[p.sequence_id]) == 4 * p.offset and zlib.crc32(p.ids) == p.ids_crc32
+        sequences[p.sequence_id] += p.ids
+    copies = defaultdict(bytes)
+    for p in sorted(pieces, key=lambda p: p.start):
+        assert len(copies[p.doc_id, p.copy]) == 4 * p.start
+        at = 4 * p.offset
+        copies[p.doc_id, p.copy] += sequences[p.sequence_id][at : at + 4 * p.length]
+    assert len({copy for _, copy in copies}) == len(copies) == results[4].count()
+    known = {}
+    want = Counter()
+    for row in rows(results[4]):
+        if row[1] not in known:
+            known[row[1]] = np.array([*whole.encode(row[1], add_special_tokens=False).ids, 1], "<u4").tobytes()
+        want[row[0], known[row[1]]] += 1
+    assert Counter((doc_id, ids) for (doc_id, _), ids in copies.items()) == want
+    assert max(want.values()) > 1
+
+
 def test_sequence_packing(results):
     pieces = results[5].collect()
     documents = Counter(row[0] for row in rows(results[4]))
