@@ -12,6 +12,7 @@ tag could win, the best path has no other tag. The bound is exact.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,14 +24,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelab.llm.inputs import chunks, for_pandas, restored, schema_of, small_batches, whole_text
+from pricelab.plans.staging import stage
 
 KINDS = ("assign", "access", "hex")
 
-#: Documents the fit looks at, about, and word windows it learns from, at most.
+#: Documents the fit looks at, about, and different word windows it learns from, at most:
+#: half of them with a value, half without. Both are parameters of ``fit_on_base``.
 FIT_DOCUMENTS = 20_000
 FIT_WINDOWS = 6_000
 WINDOW = 12
+#: Steps of the fit, at most, and the largest slope at which it ends before.
 STEPS = 150
+FLAT = 2e-4
 RIDGE = 1e-4
 
 ASSIGN = re.compile(
@@ -40,6 +45,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 WORD = re.compile(r"\S+")
+DIGIT = re.compile(r"\d")
 NAME = re.compile(r"^[\"']?[A-Za-z_]+[\"']?[:=]+[\"']?")
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
 
@@ -74,7 +80,7 @@ def shape(word: str) -> int:
     named = NAME.match(word)
     value = word[named.end() :] if named and named.end() < len(word) else word
     signs, changes, last = ASSIGNS if value != word else 0, 0, ""
-    for c in value[:64]:
+    for c in value:
         if c.isdigit():
             kind, sign = "d", 4
         elif c.isalpha():
@@ -190,33 +196,37 @@ def tags_of(words: list[re.Match], spans: list[tuple[int, int]]) -> list[int]:
 
 
 def windows(text: str) -> Iterator[tuple[list[str], list[int]]]:
-    """Words and tags around values and words with digits, and of the first line."""
+    """Words and tags around values and words with digits, and of the first line.
+
+    Values are found in the whole text first; lines with neither are not split into words.
+    """
     at = 0
     values = [(value, end) for _, _, end, value in base_spans(text)]
     for line in text.split("\n"):
-        words = list(WORD.finditer(line))
         own = [(s - at, e - at) for s, e in values if at <= s <= at + len(line)]
-        tags = tags_of(words, own)
-        marked = [i for i, w in enumerate(words) if tags[i] or any(c.isdigit() for c in w[0])]
-        if at == 0 and words:
-            marked.append(0)
-        last = -1
-        for i in marked:
-            if i > last:
-                start, last = max(0, i - WINDOW), min(len(words), i + WINDOW)
-                yield [w[0] for w in words[start:last]], tags[start:last]
+        if at == 0 or own or DIGIT.search(line):
+            words = list(WORD.finditer(line))
+            tags = tags_of(words, own) if own else [OUTSIDE] * len(words)
+            marked = [i for i, w in enumerate(words) if tags[i] or DIGIT.search(w[0])]
+            if at == 0 and words:
+                marked.append(0)
+            last = -1
+            for i in marked:
+                if i > last:
+                    start, last = max(0, i - WINDOW), min(len(words), i + WINDOW)
+                    yield [w[0] for w in words[start:last]], tags[start:last]
         at += len(line) + 1
 
 
-def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
-def fit(examples: list[tuple[list[str], list[int], int]], steps: int = STEPS) -> Field:
+def fit(
+    examples: list[tuple[list[str], list[int], int]],
+    times: list[float] | None = None,
+    steps: int = STEPS,
+) -> Field:
     """Gradient ascent (Adam) on the penalised likelihood of all windows together.
 
-    Without any tagged word the field tags everything as outside.
+    ``times`` weighs the windows. It ends when no slope is above ``FLAT``. Without any tagged
+    word the field tags everything as outside.
     """
     sizes = {
         "length": LENGTHS, "sign": SIGNS + 1, "turn": TURNS, "before": SIGNS + 1,
@@ -232,40 +242,48 @@ def fit(examples: list[tuple[list[str], list[int], int]], steps: int = STEPS) ->
     for i, (words, tags, _) in enumerate(examples):
         codes[i, : len(words)] = [known[word] for word in words]
         gold[i, : len(tags)] = tags
+    share = np.ones(n) if times is None else np.asarray(times, float)
+    share = share / share.sum()
     real = codes != END
     file = np.broadcast_to(np.array([x for _, _, x in examples])[:, None], real.shape)
     at = places_of(codes) | {"file": [file]}
-    truth = np.eye(3)[gold] * real[..., None]
+    counted = real * share[:, None]
+    truth = np.eye(3)[gold] * counted[..., None]
     pairs = real[:, 1:] & real[:, :-1]
-    true_steps = np.einsum("ita,itb->ab", truth[:, :-1], truth[:, 1:] * pairs[..., None])
+    pair_share = pairs * share[:, None]
+    true_steps = np.einsum("ita,itb->ab", np.eye(3)[gold[:, :-1]] * pair_share[..., None], np.eye(3)[gold[:, 1:]])
 
     mean = {name: np.zeros_like(w) for name, w in weights.items()}
     square = {name: np.zeros_like(w) for name, w in weights.items()}
     for step in range(1, steps + 1):
         scores = sum(weights[name][x] for name, places in at.items() for x in places)
-        scores[:, 0, INSIDE] = -50.0
-        moves = weights["steps"].copy()
-        moves[OUTSIDE, INSIDE] = -50.0
-        forward = [scores[:, 0]]
+        # Forward and backward in plain numbers, scaled to 1 at each place.
+        local = np.exp(scores - scores.max(axis=2, keepdims=True))
+        local[:, 0, INSIDE] = 0.0
+        moves = np.exp(weights["steps"])
+        moves[OUTSIDE, INSIDE] = 0.0
+        ahead, behind = np.empty_like(local), np.empty_like(local)
+        ahead[:, 0] = local[:, 0] / local[:, 0].sum(axis=1, keepdims=True)
         for t in range(1, longest):
-            new = log_sum(forward[-1][:, :, None] + moves, 1) + scores[:, t]
-            forward.append(np.where(real[:, t, None], new, forward[-1]))
-        whole = log_sum(forward[-1], 1)
-        backward = [np.zeros((n, 3))]
+            new = (ahead[:, t - 1] @ moves) * local[:, t]
+            new /= new.sum(axis=1, keepdims=True)
+            ahead[:, t] = np.where(real[:, t, None], new, ahead[:, t - 1])
+        behind[:, -1] = 1.0
         for t in range(longest - 1, 0, -1):
-            new = log_sum(moves + (scores[:, t] + backward[-1])[:, None, :], 2)
-            backward.append(np.where(real[:, t, None], new, backward[-1]))
-        backward = backward[::-1]
-        ahead, behind = np.stack(forward, 1), np.stack(backward, 1)
-        likely = np.exp(ahead + behind - whole[:, None, None]) * real[..., None]
-        both = np.exp(
-            ahead[:, :-1, :, None] + moves + (scores + behind)[:, 1:, None, :]
-            - whole[:, None, None, None]
-        ) * pairs[..., None, None]
+            new = (local[:, t] * behind[:, t]) @ moves.T
+            new /= new.sum(axis=1, keepdims=True)
+            behind[:, t - 1] = np.where(real[:, t, None], new, behind[:, t])
+        likely = ahead * behind
+        likely *= (counted / likely.sum(axis=2))[..., None]
+        onward = local[:, 1:] * behind[:, 1:]
+        whole = ((ahead[:, :-1] @ moves) * onward).sum(axis=2)
+        seen = pair_share / np.where(pairs, whole, 1.0)
+        both = moves * np.einsum("ita,itb->ab", ahead[:, :-1] * seen[..., None], onward)
         off = truth - likely
+        steepest = 0.0
         for name, w in weights.items():
             if name == "steps":
-                gradient = (true_steps - both.sum((0, 1))) / n
+                gradient = true_steps - both
             else:
                 gradient = sum(
                     np.column_stack(
@@ -275,44 +293,55 @@ def fit(examples: list[tuple[list[str], list[int], int]], steps: int = STEPS) ->
                         ]
                     )
                     for x in at[name]
-                ) / n
+                )
             gradient = gradient - RIDGE * w
+            steepest = max(steepest, float(np.abs(gradient).max()))
             mean[name] = 0.9 * mean[name] + 0.1 * gradient
             square[name] = 0.999 * square[name] + 0.001 * gradient**2
             unbiased = mean[name] / (1 - 0.9**step)
             w += 0.1 * unbiased / (np.sqrt(square[name] / (1 - 0.999**step)) + 1e-8)
+        if steepest < FLAT:
+            break
     return Field(weights, weights.pop("steps"))
 
 
-def fit_on_base(docs: DataFrame, text_column: str = "text", documents: int = FIT_DOCUMENTS) -> Field:
+def fit_on_base(
+    docs: DataFrame,
+    text_column: str = "text",
+    documents: int = FIT_DOCUMENTS,
+    most_windows: int = FIT_WINDOWS,
+) -> Field:
     """Fit on windows of about ``documents`` documents chosen by a hash of their text.
 
-    The driver gets at most about ``FIT_WINDOWS`` windows of a few words, half of them with
-    a tag if there are so many.
+    Equal texts are looked at once, and equal windows count once, with a weight that grows with
+    the logarithm of how often they occur. The driver gets at most ``most_windows`` different
+    ones, of a few words each, half of them with a tag if there are so many.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(whole_text(text_column).alias("text"))
     draw = F.pmod(F.xxhash64(F.lit("fit"), "text"), F.lit(1 << 30))
     share = min(1.0, documents / max(1, docs.count()))
+    drawn = rows.where(draw < int(share * (1 << 30))).groupBy("text").agg(F.count("*").alias("n"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in chunks(batches):
             found = [
-                (words, tags, file_feature(text))
-                for text in batch["text"]
+                (words, tags, file_feature(text), n)
+                for text, n in zip(batch["text"], batch["n"])
                 for words, tags in windows(text)
             ]
-            yield pd.DataFrame(found, columns=["words", "tags", "file"])
+            yield pd.DataFrame(found, columns=["words", "tags", "file", "n"])
 
-    found = rows.where(draw < int(share * (1 << 30))).mapInPandas(
-        run, "words array<string>, tags array<int>, file int"
-    )
+    found = drawn.mapInPandas(run, "words array<string>, tags array<int>, file int, n long")
+    found = stage(found.groupBy("words", "tags", "file").agg(F.sum("n").alias("n")), "secret-windows")
     tagged = F.array_max("tags") > 0
     halves = [
-        found.where(kind).orderBy(F.xxhash64("words"), "words").limit(FIT_WINDOWS // 2).collect()
+        found.where(kind).orderBy(F.xxhash64("words"), "words", "tags", "file").limit(most_windows // 2).collect()
         for kind in (tagged, ~tagged)
     ]
-    return fit([(row["words"], row["tags"], row["file"]) for half in halves for row in half])
+    chosen = [row for half in halves for row in half]
+    examples = [(row["words"], row["tags"], row["file"]) for row in chosen]
+    return fit(examples, [1 + math.log(row["n"]) for row in chosen])
 
 
 def value_span(line: str, words: list[re.Match]) -> tuple[int, int]:
