@@ -69,6 +69,13 @@ def document_rows(docs: DataFrame, id_column: str, text_column: str, keep: list[
     )
 
 
+def plain(line: str) -> str:
+    """SQL: a line with blanks for other white space."""
+    for sign in BLANKS:
+        line = f"replace({line}, chr({ord(sign)}), ' ')"
+    return line
+
+
 def not_blank(line: str) -> str:
     """SQL: whether a line, with blanks for other white space, says anything."""
     return f"trim({line}) != ''"
@@ -83,7 +90,7 @@ def line_rows(rows: DataFrame) -> DataFrame:
     words = "char_length(_line) - char_length(replace(_line, ' ', '')) + 1"
     return (
         rows.select("_doc", "_hash", F.posexplode(F.split("_text", "\n")).alias("_no", "_own"))
-        .withColumn("_line", F.translate("_own", BLANKS, " " * len(BLANKS)))
+        .withColumn("_line", F.expr(plain("_own")))
         .where(not_blank("_line"))
         .selectExpr("*", f"{words} AS _words")
         .selectExpr("*", f"_words >= {MIN_NEAR_WORDS} AS _by_words")
@@ -247,8 +254,7 @@ def deduplicated_lines(
     once = found.where("_rows IS NULL").withColumn("_turn", F.lit(1))
     more = found.where("_rows IS NOT NULL").withColumn("_turn", F.row_number().over(turns))
     numbers = "sequence(0, size(_lines) - 1)"
-    own = f"translate(_lines[i], '{BLANKS.encode('unicode_escape').decode()}', '{' ' * len(BLANKS)}')"
-    said = f"filter({numbers}, i -> {not_blank(own)})"
+    said = f"filter({numbers}, i -> {not_blank(plain('_lines[i]'))})"
     kept = f"transform(array_except({numbers}, _gone), i -> _lines[i])"
     return (
         once.unionByName(more)
