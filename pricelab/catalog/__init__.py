@@ -5,7 +5,7 @@ and categories are played by the columns of those tables: a nation or brand is a
 area, an order or line item a sale, its quantity the square feet.
 """
 
-from pricelab.catalog import deliveries, files, impact, medians, rows, tables  # noqa: F401
+from pricelab.catalog import deliveries, files, impact, medians, places, rows, studies, tables  # noqa: F401
 from pricelab.catalog.registry import oracle_sql, queries
 
 __all__ = ["oracle_sql", "queries"]
