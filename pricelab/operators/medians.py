@@ -12,7 +12,9 @@ An exact median needs all values of a group, so groups are told apart by size:
   group, merged map-side, gives two values between which the wanted rank must lie; one
   more pass counts the rows below and, per value, those between, which are few. Whether
   the rank lies between is checked; if it does not, the same is done on that side. The
-  number of passes does not depend on how values are spread, and ranks are exact.
+  number of passes depends neither on how values are spread nor on how many measures of a
+  type there are, and ranks are exact. Long integers have a sketch of their own, as
+  doubles cannot tell wide ones apart; decimals of more than 15 digits go through doubles.
 
 Values keep their type. NULL is no value; NaN is one, above all others, unless the
 measure leaves it out.
@@ -38,6 +40,10 @@ BROADCAST_ROWS = 10_000
 #: Accuracy of the sketch: ranks it gives are off by at most one in so many.
 SKETCH_ACCURACY = 10_000
 
+#: Size of the sketch of long integers, and what its ranks are hardly ever off by.
+LONG_SKETCH_SIZE = 8_192
+LONG_SKETCH_ERROR = 0.0008
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -108,9 +114,15 @@ def exact_medians(
     small = _small_group_medians(valued(others.repartition(*keys)), keys, names)
     hot_values = stage(_match(valued(rows), hot, keys, "inner").drop(*keys), "hot-values")
     large = hot.select("_g", *keys)
-    for place, name in enumerate(names):
-        found = _hot_medians(hot_values.select("_g", f"_v_{place}"), name, broadcast_rows)
-        large = large.join(found, "_g", "left")
+    for kind in sorted({hot_values.schema[f"_v_{i}"].dataType.simpleString() for i in range(len(names))}):
+        places = [i for i in range(len(names)) if hot_values.schema[f"_v_{i}"].dataType.simpleString() == kind]
+        entries = ", ".join(f"struct({i} AS _m, _v_{i} AS _v)" for i in places)
+        values = hot_values.select("_g", F.expr(f"inline(array({entries}))"))
+        found = stage(_hot_medians(values, broadcast_rows), "hot-medians")
+        for i in places:
+            of_measure = found.where(f"_m = {i}").select("_g", F.col("_v").alias(names[i]))
+            large = large.join(of_measure, "_g", "left")
+    large = large.select("_g", *keys, *names)
     return small.unionByName(large.drop("_g"))
 
 
@@ -147,25 +159,36 @@ def _small_group_medians(values: DataFrame, keys: list[str], names: list[str]) -
     return values.groupBy(*keys).agg(*lists).select(*keys, *middles)
 
 
-def _hot_medians(values: DataFrame, name: str, broadcast_rows: int) -> DataFrame:
-    """(_g, value) to (_g, median ``name``), in two passes unless a sketch was off."""
-    column = values.columns[1]
-    kind = values.schema[column].dataType
-    values = values.where(F.col(column).isNotNull()).select("_g", F.col(column).alias("_v"))
+def _ends(kind: T.DataType) -> tuple[str, str, str]:
+    """SQL: sketch of _v, the values around its middle, and one of those in the type of _v.
+
+    An end at infinity, or outside the type, leaves that side open.
+    """
+    if isinstance(kind, T.LongType):
+        shares = f"array({0.5 - LONG_SKETCH_ERROR}D, {0.5 + LONG_SKETCH_ERROR}D)"
+        sketch = f"kll_sketch_agg_bigint(_v, {LONG_SKETCH_SIZE})"
+        return sketch, f"kll_sketch_get_quantile_bigint(_sketch, {shares})", "{end}"
     number = "cast(_v AS double)"
-    if kind in (T.DoubleType(), T.FloatType()):
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
         number = f"if(isnan(_v), double('Infinity'), {number})"  # the sketch cannot order NaN
     slack = 2.0 / SKETCH_ACCURACY
-    shares = f"array({0.5 - slack}, {0.5 + slack})"
-    sketch = F.expr(f"approx_percentile({number}, {shares}, {SKETCH_ACCURACY}) AS _ends")
-    counted = values.groupBy("_g").agg(F.expr("(count(*) + 1) div 2 AS _rank"), sketch)
-    text = kind.simpleString()
-    # An end at infinity, or outside the type, leaves that side open.
-    ranges = counted.select(
+    sketch = f"approx_percentile({number}, array({0.5 - slack}, {0.5 + slack}), {SKETCH_ACCURACY})"
+    return sketch, "_sketch", f"if(abs({{end}}) < 'Infinity', try_cast({{end}} AS {kind.simpleString()}), NULL)"
+
+
+def _hot_medians(values: DataFrame, broadcast_rows: int) -> DataFrame:
+    """(_g, _m, _v) to the median _v of each group and measure, in two passes unless a sketch was off."""
+    values = values.where("_v IS NOT NULL")
+    sketch, ends, end = _ends(values.schema["_v"].dataType)
+    counted = values.groupBy("_g", "_m").agg(
+        F.expr("(count(*) + 1) div 2 AS _rank"), F.expr(f"{sketch} AS _sketch")
+    )
+    ranges = counted.selectExpr("_g", "_m", "_rank", f"{ends} AS _ends").selectExpr(
         "_g",
+        "_m",
         "_rank",
-        F.expr(f"if(abs(_ends[0]) < 'Infinity', try_cast(_ends[0] AS {text}), NULL) AS _lo"),
-        F.expr(f"if(abs(_ends[1]) < 'Infinity', try_cast(_ends[1] AS {text}), NULL) AS _hi"),
+        f"{end.format(end='_ends[0]')} AS _lo",
+        f"{end.format(end='_ends[1]')} AS _hi",
     )
     medians = None
     while True:
@@ -174,28 +197,29 @@ def _hot_medians(values: DataFrame, name: str, broadcast_rows: int) -> DataFrame
         if not n_ranges and medians is not None:
             return medians
         counts = (
-            values.join(small_side(ranges, n_ranges, broadcast_rows), "_g")
-            .select("_g", "_rank", "_lo", "_hi", "_v", F.expr("coalesce(_v < _lo, false) AS _below"))
+            values.join(small_side(ranges, n_ranges, broadcast_rows), ["_g", "_m"])
+            .select("_g", "_m", "_rank", "_lo", "_hi", "_v", F.expr("coalesce(_v < _lo, false) AS _below"))
             .where("_below OR _hi IS NULL OR _v <= _hi")
-            .select("_g", "_rank", "_lo", "_hi", "_below", F.expr("if(_below, NULL, _v) AS _v"))
-            .groupBy("_g", "_rank", "_lo", "_hi", "_below", "_v")
+            .select("_g", "_m", "_rank", "_lo", "_hi", "_below", F.expr("if(_below, NULL, _v) AS _v"))
+            .groupBy("_g", "_m", "_rank", "_lo", "_hi", "_below", "_v")
             .agg(F.expr("count(*) AS _n"))
         )
-        through = "sum(_n) OVER (PARTITION BY _g ORDER BY _below DESC, _v) AS _through"
-        whole = "sum(_n) OVER (PARTITION BY _g) AS _seen"
+        through = "sum(_n) OVER (PARTITION BY _g, _m ORDER BY _below DESC, _v) AS _through"
+        whole = "sum(_n) OVER (PARTITION BY _g, _m) AS _seen"
         placed = stage(counts.selectExpr("*", through, whole), "hot-counts")
         at_rank = placed.where("_through >= _rank AND _through - _n < _rank AND NOT _below")
-        found = at_rank.select("_g", F.col("_v").alias(name))
+        found = at_rank.select("_g", "_m", "_v")
         medians = found if medians is None else medians.unionByName(found)
         # The rank lies below the range, or above: open that side.
         ranges = (
-            placed.groupBy("_g", "_rank", "_lo", "_hi")
+            placed.groupBy("_g", "_m", "_rank", "_lo", "_hi")
             .agg(
                 F.expr("sum(if(_below, _n, 0)) AS _n_below"), F.expr("max(_seen) AS _through")
             )
             .where("_rank <= _n_below OR _rank > _through")
             .selectExpr(
                 "_g",
+                "_m",
                 "_rank",
                 "if(_rank <= _n_below, NULL, _hi) AS _lo",
                 "if(_rank <= _n_below, _lo, NULL) AS _hi",

@@ -193,3 +193,42 @@ def test_series_drops_null_medians(spark):
     wide = spark.createDataFrame([("x", 0, 1.0, None)], "area string, month int, total double, unit double")
     got = M.series(wide, KEYS, {"total": {"measure": "t"}, "unit": {"measure": "u"}})
     assert [tuple(r) for r in got.collect()] == [("x", 0, "t", 1.0)]
+
+
+def test_wide_integers_keep_few_rows_between(spark, monkeypatch):
+    counted = []
+    write = M.stage
+
+    def stage(df, label, *args):
+        staged = write(df, label, *args)
+        if label == "hot-counts":
+            counted.append(staged.count())
+        return staged
+
+    monkeypatch.setattr(M, "stage", stage)
+    df = spark.range(60_000).selectExpr("'a' AS area", "id * 7919 % 60000 + 4611686018427387904 AS v")
+    got = M.exact_medians(df, ["area"], [M.Measure("m", F.col("v"))], hot_rows=100).first()
+    assert got.m == 4611686018427387904 + 29_999
+    assert len(counted) == 1 and counted[0] < 300
+
+
+def test_measures_of_a_type_share_their_passes(spark, monkeypatch):
+    labels = []
+    write = M.stage
+    monkeypatch.setattr(M, "stage", lambda df, label, *args: labels.append(label) or write(df, label, *args))
+    df = spark.range(3_000).selectExpr("id % 2 AS area", "cast(id AS double) AS v", "id AS w")
+
+    def staged(n):
+        labels.clear()
+        doubles = [M.Measure(f"v{i}", F.col("v") + i, F.col("w") % (i + 2) == 0) for i in range(n)]
+        longs = [M.Measure(f"w{i}", F.col("w") + i) for i in range(n)]
+        got = {r.area: r for r in M.exact_medians(df, ["area"], doubles + longs, hot_rows=100).collect()}
+        for area in (0, 1):
+            for i in range(n):
+                values = [x for x in range(area, 3_000, 2) if x % (i + 2) == 0]
+                want = float(values[(len(values) - 1) // 2] + i) if values else None
+                assert got[area][f"v{i}"] == want
+                assert got[area][f"w{i}"] == list(range(area, 3_000, 2))[(1_500 - 1) // 2] + i
+        return len(labels)
+
+    assert staged(1) == staged(4)
