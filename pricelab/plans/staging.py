@@ -9,6 +9,7 @@ folder of this machine. Elsewhere that is an error, as executors would not share
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -18,6 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 _local_roots: dict[str, str] = {}
 _folders: dict[str, list[str]] = {}
 
+#: The scopes that each thread is in, innermost last, with what was staged in them.
+_scopes = threading.local()
+
 
 def staging_root(spark: SparkSession) -> str:
     context = spark.sparkContext
@@ -39,6 +43,8 @@ def new_folder(spark: SparkSession, label: str) -> str:
     """A path nothing has been written to yet."""
     path = f"{staging_root(spark)}/pricelab/{label}-{uuid.uuid4().hex}"
     _folders.setdefault(spark.sparkContext.applicationId, []).append(path)
+    for scope in _open_scopes()[-1:]:
+        scope.append(path)
     return path
 
 
@@ -62,21 +68,30 @@ def release_staged(spark: SparkSession) -> int:
 
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete, on leaving, what was staged inside; what was staged before stays.
+    """Delete, on leaving, what this thread staged inside; what was staged before stays.
 
     For one pipeline from its first read to its last write: a DataFrame that reads
     a staged table must not be used after its scope.
     """
-    folders = _folders.setdefault(spark.sparkContext.applicationId, [])
-    before = len(folders)
+    own: list[str] = []
+    _open_scopes().append(own)
     try:
         yield
     finally:
-        own = folders[before:]
-        del folders[before:]
+        _open_scopes().pop()
+        folders = _folders.get(spark.sparkContext.applicationId, [])
+        for path in own:
+            if path in folders:
+                folders.remove(path)
         _delete(spark, own)
 
 
+def _open_scopes() -> list[list[str]]:
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    return _scopes.open
+
+
 def _delete(spark: SparkSession, folders: list[str]) -> None:
     for folder in folders:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)

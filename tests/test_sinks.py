@@ -1,3 +1,4 @@
+import threading
 from pathlib import Path
 from types import SimpleNamespace
 from unittest import mock
@@ -152,3 +153,33 @@ def test_release_deletes_only_what_was_staged(spark, tmp_path):
     assert release_staged(spark) == 0
     after = set(folder.iterdir())
     assert other in after and len(after) < len(before)
+
+
+def test_scopes_of_two_threads_are_apart(spark):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+
+    def there(df):
+        folder = path(df.inputFiles()[0]).getParent()
+        return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+    inside, leave = threading.Event(), threading.Event()
+
+    def other():
+        with staging_scope(spark):
+            seen.append(stage(spark.range(3), "other"))
+            inside.set()
+            leave.wait(60)
+
+    seen = []
+    thread = threading.Thread(target=other)
+    with staging_scope(spark):
+        thread.start()
+        assert inside.wait(60)
+        own = stage(spark.range(3), "own")
+        with staging_scope(spark):
+            inner = stage(spark.range(3), "inner")
+        assert there(own) and not there(inner)
+    assert not there(own) and there(seen[0])
+    leave.set()
+    thread.join()
+    assert not there(seen[0])
