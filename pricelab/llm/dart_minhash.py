@@ -182,10 +182,20 @@ def star_pairs(members: DataFrame) -> DataFrame:
 
 
 def linked(part: pd.DataFrame, least: float) -> pd.DataFrame:
-    """Links between texts of different classes, as many as join the classes they join."""
+    """Links between texts of different classes, as many as join the classes they join.
+
+    With members of a bucket's main class in the part, only theirs with the others: the
+    others meet among each other in parts of their own.
+    """
+    part = part.sort_values("_main", ascending=False, kind="stable")
     rows, classes = part["_row"].tolist(), part["_class"].tolist()
+    n_main = int(part["_main"].sum())
+    if n_main == len(rows):
+        return pd.DataFrame([], columns=["_a", "_b"], dtype="int64")
     owner, elements, counts = shingle_sets(part["_text"].tolist())
-    order = np.argsort(elements, kind="stable")
+    n_met = n_main or len(rows)
+    met = np.flatnonzero(owner < n_met)
+    order = met[np.argsort(elements[met], kind="stable")]
     of, shared, times = owner[order], elements[order], counts[order]
     first = np.searchsorted(shared, elements, side="left")
     holders = np.searchsorted(shared, elements, side="right") - first
@@ -199,14 +209,15 @@ def linked(part: pd.DataFrame, least: float) -> pd.DataFrame:
         return c
 
     found = []
-    for i in range(len(rows)):
+    for i in range(n_main, len(rows)):
         own = slice(cuts[i], cuts[i + 1])
+        before = min(i, n_met)
         element, step = repeated(holders[own])
         at = first[own][element] + step
         both = np.bincount(
             of[at], weights=np.minimum(times[at], counts[own][element]), minlength=len(rows)
-        )[:i]
-        near = both >= least * (total[i] + total[:i] - both)
+        )[:before]
+        near = both >= least * (total[i] + total[:before] - both)
         for j in np.flatnonzero(near & (both > 0)):
             a, b = root(classes[i]), root(classes[j])
             if a != b:
@@ -215,13 +226,50 @@ def linked(part: pd.DataFrame, least: float) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["_a", "_b"], dtype="int64")
 
 
+def dealt_members(left: DataFrame) -> DataFrame:
+    """Members (_key, _row, _class, _chars) to parts (_key, _i, _j) in which to hold them together.
+
+    A bucket of up to ``BLOCK_CHARS`` is one part. In a larger one the class with most text
+    is the main class (_main): its members are of one class already and need not meet. They
+    and the others are cut into blocks apart; each block of the main class meets each of the
+    others', and each two blocks of the others meet. So a bucket with few others is copied
+    once, however large it is.
+    """
+    of_class = left.groupBy("_key", "_class").agg(F.sum("_chars").alias("_chars"))
+    cut = (
+        of_class.groupBy("_key")
+        .agg(F.max(F.struct("_chars", "_class")).alias("_most"), F.sum("_chars").alias("_all"))
+        .selectExpr(
+            "_key",
+            f"if(_all > {BLOCK_CHARS}, _most._class, NULL) AS _main_class",
+            f"cast(greatest(1, ceil(_most._chars / {BLOCK_CHARS})) AS int) AS _mains",
+            f"cast(greatest(1, ceil((_all - _most._chars) / {BLOCK_CHARS})) AS int) AS _others",
+        )
+    )
+    block = "cast(pmod(xxhash64(_row, _key), if(_main, _mains, _others)) AS int)"
+    parts = """
+        CASE WHEN _main_class IS NULL THEN array(struct(0 AS _i, 0 AS _j))
+             WHEN _main THEN transform(sequence(0, _others - 1), o -> struct(_block AS _i, o AS _j))
+             ELSE concat(
+                 transform(sequence(0, _mains - 1), m -> struct(m AS _i, _block AS _j)),
+                 transform(sequence(0, _others - 1),
+                           o -> struct(-1 - least(o, _block) AS _i, greatest(o, _block) AS _j)))
+        END
+    """
+    return (
+        left.join(cut, "_key")
+        .selectExpr("*", "coalesce(_class = _main_class, false) AS _main")
+        .selectExpr("*", f"{block} AS _block")
+        .selectExpr("_key", "_row", "_class", "_main", f"inline({parts})")
+    )
+
+
 def links_in_buckets(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links in the buckets whose members (_key, _row, _class, _chars) are of several classes.
 
     Two members are a pair, which may meet in several buckets and is verified once. More are
     held against each other inside a task, by the shingles that they share, and only links
-    come out. A large bucket is cut into blocks of about ``BLOCK_CHARS``, and each pair of
-    blocks is a task of its own.
+    come out. How large buckets are cut is told at ``dealt_members``.
     """
     several = (
         members.groupBy("_key")
@@ -231,32 +279,16 @@ def links_in_buckets(members: DataFrame, texts: DataFrame, least: float) -> Data
             F.count("*").alias("_n"),
             F.min("_row").alias("_a"),
             F.max("_row").alias("_b"),
-            F.ceil(F.sum("_chars") / BLOCK_CHARS).cast("int").alias("_blocks"),
         )
         .where("_c < _d")
     )
     several = stage(several, "near-several")
     in_pairs = verified(several.where("_n = 2").select("_a", "_b").distinct(), texts, least)
-    larger = several.where("_n > 2").select("_key", F.greatest("_blocks", F.lit(1)).alias("_blocks"))
+    larger = several.where("_n > 2").select("_key")
     left = stage(members.join(larger, "_key"), "near-left")
     involved = stage(left.select("_row").distinct(), "near-involved")
     some = matched(texts, involved, ["_row"], "left_semi")
-    block = "cast(pmod(xxhash64(_row, _key), _blocks) AS int)"
-    dealt = left.select(
-        "_key",
-        "_row",
-        "_class",
-        F.expr(f"{block} AS _block"),
-        F.explode(F.expr("sequence(0, _blocks - 1)")).alias("_other"),
-    )
-    groups = dealt.join(some, "_row").select(
-        "_key",
-        F.least("_block", "_other").alias("_i"),
-        F.greatest("_block", "_other").alias("_j"),
-        "_row",
-        "_class",
-        "_text",
-    )
+    groups = dealt_members(left).join(some, "_row")
     in_blocks = groups.groupBy("_key", "_i", "_j").applyInPandas(
         lambda part: linked(part, least), "_a long, _b long"
     )
