@@ -163,27 +163,34 @@ def fit_on_labels(
     """Fit on about ``rows`` labelled rows, or on all if there are fewer.
 
     Which ones goes by a hash of the id. Rows of the held-out fold, and rows with a NULL id
-    or label, are not used. The driver gets their features, a few dozen numbers each.
+    or label, are not used. Of documents that share an id the text with the least hash is
+    learned from, however many there are; an id with both labels counts for both. The driver
+    gets their features, a few dozen numbers each, so at most two rows for each id drawn.
     """
+    positive = (F.col(label_column).cast("double") > 0).cast("int")
     known = (
-        labels.select(F.col(id_column).alias("_id"), F.col(label_column).alias("_label"))
+        labels.select(F.col(id_column).alias("_id"), positive.alias("_label"))
         .where(F.col("_id").isNotNull() & F.col("_label").isNotNull() & ~held_out("_id"))
         .distinct()
     )
     share = min(1.0, rows / max(1, known.count()))
     draw = F.pmod(F.xxhash64(F.lit("fit"), "_id"), F.lit(1 << 30))
     sample = stage(known.where(draw < int(share * (1 << 30))), "labels")
-    texts = docs.select(F.col(id_column).alias("_id"), whole_text(text_column).alias("text"))
+    texts = docs.select(
+        F.col(id_column).alias("_id"),
+        whole_text(text_column).alias("text"),
+        F.xxhash64(whole_text(text_column)).alias("_hash"),
+    )
     labelled = matched(texts, sample.select("_id").distinct(), ["_id"], "left_semi")
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in chunks(batches):
-            yield pd.DataFrame({"_id": batch["_id"], "_x": list(features(batch["text"].tolist()))})
+            yield batch.drop(columns="text").assign(_x=list(features(batch["text"].tolist())))
 
     safe = for_pandas(labelled)
     measured = safe.mapInPandas(measure, schema_of(safe, "_x array<double>", without="text"))
-    found = restored(measured, labelled).join(sample, "_id")
-    table = found.orderBy("_id", "_label").toPandas()
+    one_each = restored(measured, labelled).groupBy("_id").agg(F.min_by("_x", "_hash").alias("_x"))
+    table = one_each.join(sample, "_id").orderBy("_id", "_label").toPandas()
     if table.empty:
         return fit(np.zeros((0, features([""]).shape[1])), np.zeros(0, bool))
     return fit(np.stack(table["_x"].to_numpy()), table["_label"].to_numpy() > 0)

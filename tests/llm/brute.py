@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -163,3 +164,45 @@ def mix_targets(sizes: dict, share: float = 1.5, most: float = 2.0) -> dict:
         left -= sum(target[n] for n in over)
         open_names -= over
     return target
+
+
+def quality_features(text: str) -> list[float]:
+    """Log length, root share of each ASCII mark and of five more classes, shares of words."""
+
+    def kind(c: str) -> str:
+        if "!" <= c <= "~" and not c.isalnum():
+            return c
+        if ord(c) >= 0x3000:
+            return "lower"
+        if c.isalpha():
+            return "capital" if c.isupper() else "lower"
+        return "digit" if c.isdigit() else "blank" if c.isspace() else "other"
+
+    kinds = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    kinds += ["lower", "capital", "digit", "blank", "other"]
+    seen = Counter(map(kind, text))
+    shares = [math.sqrt(seen[k] / len(text)) if text else 0.0 for k in kinds]
+    words, lines = text.split(), text.split("\n")
+    if not words:
+        return [math.log(1 + len(text)), *shares, *[0.0] * 7]
+    n = len(words)
+    triples = {tuple(words[i : i + 3]) for i in range(n - 2)}
+    return [
+        math.log(1 + len(text)),
+        *shares,
+        math.log(1 + n),
+        len(set(words)) / n,
+        sum(words[i] == words[i + 1] for i in range(n - 1)) / n,
+        len(triples) / max(1, n - 2),
+        len(set(lines)) / len(lines),
+        math.log(1 + n / len(lines)),
+        len(text) / n / 10,
+    ]
+
+
+def balanced_hits(scores: list[float], good: list[bool], cut: float) -> float:
+    """How many good texts score at least the cut, and bad ones less: sum of both shares."""
+    n_good = sum(good)
+    kept = sum(g and s >= cut for s, g in zip(scores, good))
+    left = sum(not g and s < cut for s, g in zip(scores, good))
+    return kept / n_good + left / (len(good) - n_good)

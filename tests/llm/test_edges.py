@@ -399,3 +399,23 @@ def test_quality_without_labels(spark, odd):
     labels = spark.createDataFrame([(None, 1), (3, None)], "doc_id long, quality int")
     model = quality.fit_on_labels(odd, labels)
     assert {r.score for r in quality.quality_scores(odd, model).collect()} == {0.5}
+
+
+def test_quality_learns_from_one_text_of_an_id(spark, monkeypatch):
+    """However often a labelled id occurs, the driver gets one row of it; order is no matter."""
+    learned = [i for i in range(1, 40) if not spark.range(i, i + 1).where(quality.held_out("id")).head()]
+    once, bad, both = learned[:3]
+    labels = spark.createDataFrame(
+        [(once, 1), (once, 1), (bad, 0), (both, 0), (both, 1)], "doc_id long, quality int"
+    )
+    rows = [(once, f"{PROSE} {i}") for i in range(400)] + [(bad, "#### $$ %% ||")] * 30 + [(both, PROSE)]
+    sizes, plain_fit = [], quality.fit
+    monkeypatch.setattr(
+        quality, "fit", lambda x, good: (sizes.append((len(x), int(good.sum()))), plain_fit(x, good))[1]
+    )
+    forth, back = (
+        quality.fit_on_labels(spark.createDataFrame(some, "doc_id long, text string").repartition(n), labels)
+        for some, n in ((rows, 2), (rows[::-1], 5))
+    )
+    assert sizes == [(4, 2), (4, 2)]
+    assert np.array_equal(forth.weights, back.weights) and forth.cut == back.cut

@@ -175,6 +175,44 @@ def test_op10(spark):
     assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
 
 
+def test_op2_by_brute_force(spark, documents, texts):
+    """Features, pairs' loss, cut and scores computed again, one text and one pair at a time."""
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    marks = {r.doc_id: r.quality == 1 for r in labels.where("quality IS NOT NULL").collect()}
+    x = {doc_id: np.array(brute.quality_features(text)) for doc_id, text in texts}
+    learned = sorted(d for d in x if d in marks and zlib.crc32(str(d).encode()) % 5)
+    good = [marks[d] for d in learned]
+    table = np.array([x[d] for d in learned])
+    spread = [s if s > 1e-9 else 1.0 for s in table.std(axis=0)]
+    z = {d: np.clip((x[d] - table.mean(axis=0)) / spread, -8, 8) for d in x}
+
+    model = quality.fit_on_labels(documents, labels)
+    draw = np.random.default_rng(42)
+    pairs = zip(
+        draw.choice([i for i, g in enumerate(good) if g], quality.FIT_PAIRS),
+        draw.choice([i for i, g in enumerate(good) if not g], quality.FIT_PAIRS),
+    )
+    slope = np.zeros(len(spread))  # of the loss at the weights: nothing left to gain
+    for better, worse in pairs:
+        d = z[learned[better]] - z[learned[worse]]
+        slope -= d / (1 + np.exp(d @ model.weights)) / quality.FIT_PAIRS
+    assert np.abs(slope + quality.RIDGE * model.weights).max() < 1e-5
+
+    scores = [float(z[d] @ model.weights) for d in learned]
+    ranked = sorted(scores)
+    most = max(
+        brute.balanced_hits(scores, good, (a + b) / 2) for a, b in zip(ranked, ranked[1:]) if a < b
+    )
+    assert brute.balanced_hits(scores, good, model.cut) == pytest.approx(most)
+
+    rows = run(spark, "op2_pairwise_quality")
+    assert sorted(r.doc_id for r in rows) == sorted(x)
+    for r in rows:
+        odds = 3 / 7 * np.exp(z[r.doc_id] @ model.weights - model.cut)
+        assert r.score == pytest.approx(odds / (1 + odds), abs=1e-9)
+        assert r.predicted == (r.score >= 0.3)
+
+
 def test_quality_learns_nothing_from_held_out_rows(spark, documents):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
     flipped = labels.withColumn(
