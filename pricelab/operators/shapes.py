@@ -1,11 +1,15 @@
 """How much of an area lies in a perimeter, and which perimeter is nearest to a place.
 
-Rings are arrays of (x, y) vertices; the last leads back to the first. All geometry is
-in array expressions; rings, edges and places meet by ``overlap_join`` on their boxes.
+Rings are arrays of (x, y) vertices; the last leads back to the first. Rings, edges
+and places meet by ``overlap_join`` on their boxes; common areas are cut out of many pairs
+of rings at once in numpy, all other geometry is in array expressions.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +22,9 @@ RING = "array<struct<x: double, y: double>>"
 #: The finest cell on which shapes meet, in the units of their coordinates.
 FINEST = 1e-6
 
+#: Coordinates that are worked on at once when rings are clipped.
+CELLS = 1 << 20
+
 #: Times that a search for the nearest perimeter doubles its reach, up to the distance asked for.
 DOUBLINGS = 4
 
@@ -36,31 +43,74 @@ def signed_area(ring: str) -> str:
     return f"(if(size({ring}) = 0, 0D, aggregate({crosses}, 0D, (s, c) -> s + c) / 2))"
 
 
-def clipped(ring: str, by: str) -> str:
-    """SQL: the part of ``ring`` inside the convex, counterclockwise ring ``by``.
+def ring_vertices(rings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """x and y, a row per ring, filled up by its first vertex, which adds no area; and sizes."""
+    flat = rings.flatten()
+    sizes = pc.list_value_length(rings).to_numpy(zero_copy_only=False).astype("int64")
+    starts = np.cumsum(sizes) - sizes
+    at = np.arange(sizes.max())
+    at = starts[:, None] + np.where(at < sizes[:, None], at, 0)
+    x, y = (flat.field(way).to_numpy(zero_copy_only=False) for way in ("x", "y"))
+    return x[at], y[at], sizes
 
-    Cut by one edge after another. Where a ring falls into pieces they stay linked by
-    edges of no width, which add nothing to the area.
-    """
 
-    def side(p: str) -> str:
-        return f"((e.bx - e.ax) * ({p}.y - e.ay) - (e.by - e.ay) * ({p}.x - e.ax))"
-
-    share = f"({side('p')} / ({side('p')} - {side('q')}))"
-    crossing = f"named_struct('x', p.x + (q.x - p.x) * {share}, 'y', p.y + (q.y - p.y) * {share})"
-    none = f"cast(array() AS {RING})"
-    step = f"""
-        CASE WHEN {side('p')} >= 0 AND {side('q')} >= 0 THEN array(q)
-             WHEN {side('p')} >= 0 THEN array({crossing})
-             WHEN {side('q')} >= 0 THEN array({crossing}, q)
-             ELSE {none} END
-    """
-    edges = f"""
-        zip_with({by}, {turned(by)}, (a, b) ->
-            named_struct('ax', a.x, 'ay', a.y, 'bx', b.x, 'by', b.y))
+def clipped(x: np.ndarray, y: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rings (a row each) without what is to the right of ``edge`` (ax, ay, bx, by, a row each).
+
+    Every vertex gives two places: itself if it stays, and where the way on to the next
+    crosses the edge. Places without use repeat a neighbour. Where a ring falls into pieces
+    they stay linked by edges of no width, which add nothing to the area.
     """
-    cut = f"flatten(zip_with(left_over, {turned('left_over')}, (p, q) -> {step}))"
-    return f"aggregate({edges}, {ring}, (left_over, e) -> {cut})"
+    ax, ay, bx, by = (edge[:, i, None] for i in range(4))
+    side = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+    following = np.roll(side, -1, axis=1)
+    stays, crosses = side >= 0, (side >= 0) != (following >= 0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        share = np.where(crosses, side / (side - following), 0.0)
+    both, used = [], np.stack([stays, crosses], axis=2).reshape(len(x), -1)
+    for way in (x, y):
+        met = way + (np.roll(way, -1, axis=1) - way) * share
+        both.append(np.stack([way, met], axis=2).reshape(len(x), -1))
+    # Used places first, in order; behind them the first one again.
+    n = used.sum(axis=1)
+    order = np.argsort(~used, axis=1, kind="stable")[:, : max(1, int(n.max(initial=0)))]
+    order = np.where(np.arange(order.shape[1]) < n[:, None], order, order[:, :1])
+    x, y = (np.take_along_axis(way, order, axis=1) for way in both)
+    return np.where(n[:, None] > 0, x, 0.0), np.where(n[:, None] > 0, y, 0.0)
+
+
+def common_areas(areas: pa.Array, by: pa.Array) -> np.ndarray:
+    """The area of each ring of ``areas`` inside the convex, counterclockwise one beside it."""
+    out = np.zeros(len(areas))
+    sizes = pc.list_value_length(by).to_numpy(zero_copy_only=False)
+    # Pairs with as many edges to cut by go together, some cells at once.
+    for n_edges in np.unique(sizes):
+        alike = np.flatnonzero(sizes == n_edges)
+        widest = int(pc.max(pc.list_value_length(areas.take(pa.array(alike)))).as_py()) + int(n_edges)
+        step = max(1, CELLS // widest)
+        for at in range(0, len(alike), step):
+            rows = alike[at : at + step]
+            x, y, _ = ring_vertices(areas.take(pa.array(rows)))
+            cx, cy, _ = ring_vertices(by.take(pa.array(rows)))
+            for i in range(int(n_edges)):
+                j = (i + 1) % int(n_edges)
+                x, y = clipped(x, y, np.stack([cx[:, i], cy[:, i], cx[:, j], cy[:, j]], axis=1))
+            # From the first vertex, so that places far from the origin lose no digits.
+            x, y = x - x[:, :1], y - y[:, :1]
+            crosses = x * np.roll(y, -1, axis=1) - np.roll(x, -1, axis=1) * y
+            out[rows] = np.abs(crosses.sum(axis=1)) / 2
+    return out
+
+
+def covered_area(ring: str, by: str) -> Column:
+    """The area of ``ring`` inside ``by``, of many pairs at once, each clipped once."""
+
+    @F.arrow_udf("double")
+    def area(rings: pa.Array, others: pa.Array) -> pa.Array:
+        return pa.array(common_areas(rings, others))
+
+    # As if by chance, so that a filter on the area does not compute it a second time.
+    return area.asNondeterministic()(F.col(ring), F.col(by))
 
 
 def with_box(df: DataFrame, ring: str, side: str) -> DataFrame:
@@ -91,11 +141,13 @@ def area_overlaps(areas: DataFrame, perimeters: DataFrame) -> DataFrame:
     right = right.withColumn("_turn", F.expr(signed_area("_by"))).where("_turn != 0")
     right = right.withColumn("_by", F.expr("if(_turn < 0, reverse(_by), _by)")).drop("_turn")
     left, right = with_box(left, "_area", "_l"), with_box(right, "_by", "_r")
-    met = overlap_join(left, right, [], box("_l"), box("_r"), FINEST)
-    found = met.withColumn("_left_over", F.expr(clipped("_area", "_by")))
-    found = found.withColumn("share", F.expr(f"abs({signed_area('_left_over')}) / _whole"))
+    # Boxes that only touch have no area in common.
+    met = overlap_join(left, right, [], box("_l"), box("_r"), FINEST).where(
+        "_lx0 < _rx1 AND _rx0 < _lx1 AND _ly0 < _ry1 AND _ry0 < _ly1"
+    )
+    found = met.withColumn("share", covered_area("_area", "_by") / F.col("_whole"))
     boxes = [f"{side}{way}{end}" for side in ("_l", "_r") for way in ("x", "y") for end in (0, 1)]
-    return found.where("share > 0").drop("_area", "_whole", "_by", "_left_over", *boxes)
+    return found.where("share > 0").drop("_area", "_whole", "_by", *boxes)
 
 
 def edge_rows(perimeters: DataFrame, perimeter: str) -> DataFrame:

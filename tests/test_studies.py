@@ -240,6 +240,23 @@ def test_area_overlaps_equal_slices(spark):
     assert [(r.p, r.share) for r in area_overlaps(a, p).collect()] == [(1, pytest.approx(2 / 5))]
 
 
+def test_each_pair_is_clipped_once(spark):
+    rng = random.Random(8)
+    shapes = [(i, ring(convex(rng, 3))) for i in range(40)]
+    a = spark.createDataFrame(shapes, f"area int, area_ring {RING}")
+    p = spark.createDataFrame(shapes, f"p int, ring {RING}")
+    found = area_overlaps(a, p).select("area", "p", F.round("share", 6).alias("share"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    after_join = plan[: plan.index("Join")]
+    assert after_join.count("ArrowEvalPython") == 1
+    assert "lambdafunction" not in after_join
+    # Boxes side by side touch and do not overlap.
+    step = [(i, ring([(i / 10, 0), ((i + 1) / 10, 0), ((i + 1) / 10, 1), (i / 10, 1)])) for i in range(20)]
+    a = spark.createDataFrame(step, f"area int, area_ring {RING}")
+    p = spark.createDataFrame(step, f"p int, ring {RING}")
+    assert {(r.area, r.p, round(r.share, 9)) for r in area_overlaps(a, p).collect()} == {(i, i, 1.0) for i in range(20)}
+
+
 def gap(x, y, vertices):
     best = math.inf
     for (ax, ay), (bx, by) in zip(vertices, vertices[1:] + vertices[:1]):
