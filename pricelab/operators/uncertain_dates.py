@@ -8,10 +8,11 @@ of pairs of days. Counts are whole numbers; no span is written out day by day.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelab.operators.overlaps import overlap_join
+from pricelab.plans.staging import stage
 
 
 def pairs_up_to(most: str) -> str:
@@ -66,27 +67,37 @@ def uncertain_impact(
 
     Means weigh each sale by its chance, NULL without one. Events, told apart by
     ``event_columns``, keep a row each, those without sales too.
+
+    A chance depends on both spans of days alone. So sales are summed per area and span and
+    events are told apart by area and span before they meet: there are as many pairs as the
+    calendar has, however many sales and events share them.
     """
-    near = sales_with_chances(
-        sales.select("zip_code", "first_day", "last_day", "price"),
-        events.select("zip_code", "earliest", "latest", *event_columns).distinct(),
-        days,
-    ).where("price IS NOT NULL")
-    key = ["zip_code", "earliest", "latest", *event_columns]
+    spans = stage(
+        sales.where("price IS NOT NULL")
+        .groupBy("zip_code", "first_day", F.coalesce("last_day", "first_day").alias("last_day"))
+        .agg(F.count("*").alias("_n"), F.sum(F.col("price").cast("double")).alias("_price")),
+        "sale-spans",
+    )
+    key = ["zip_code", "earliest", "latest"]
+    told = events.select(*key, *event_columns).distinct()
+    told = stage(told.withColumn("latest", F.coalesce("latest", "earliest")), "events-told")
+    near = sales_with_chances(spans, told.select(*key).distinct(), days)
     sums = near.groupBy(*key).agg(
-        F.count("*").alias("n_possible"),
-        F.expr("count_if(chance_before = 1 OR chance_after = 1)").alias("n_certain"),
-        *[F.sum(f"chance_{w}").alias(f"expected_{w}") for w in ("before", "after")],
-        *[F.expr(f"sum(chance_{w} * price)").alias(f"_{w}") for w in ("before", "after")],
+        F.sum("_n").alias("n_possible"),
+        F.expr("sum(if(chance_before = 1 OR chance_after = 1, _n, 0L))").alias("n_certain"),
+        *[F.expr(f"sum(chance_{w} * _n)").alias(f"expected_{w}") for w in ("before", "after")],
+        *[F.expr(f"sum(chance_{w} * _price)").alias(f"_{w}") for w in ("before", "after")],
     )
-    told = events.select(*key).distinct().withColumn("latest", F.coalesce("latest", "earliest"))
+    # An event that is told with its latest day and without it counts its sales for both rows.
+    times = F.count("*").over(Window.partitionBy(*key, *event_columns))
+    told = told.withColumn("_times", times)
     same = F.lit(True)
     for name in key:
         same = same & told[name].eqNullSafe(sums[name])
     return told.join(sums, same, "left").select(
-        *[told[name] for name in key],
-        *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("n_possible", "n_certain")],
-        *[F.coalesce(n, F.lit(0.0)).alias(n) for n in ("expected_before", "expected_after")],
+        *[told[name] for name in [*key, *event_columns]],
+        *[(F.coalesce(n, F.lit(0)) * F.col("_times")).cast("long").alias(n) for n in ("n_possible", "n_certain")],
+        *[(F.coalesce(n, F.lit(0.0)) * F.col("_times")).alias(n) for n in ("expected_before", "expected_after")],
         F.try_divide("_before", "expected_before").alias("price_before"),
         F.try_divide("_after", "expected_after").alias("price_after"),
     )

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from pricelab.operators import uncertain_dates
 from pricelab.operators.controls import event_difference
 from pricelab.operators.overlaps import overlap_join
 from pricelab.operators.shapes import area_overlaps, nearest_perimeters
@@ -109,6 +110,35 @@ def test_uncertain_events_keep_a_row_each(spark):
     assert uncertain_impact(sales, events.limit(0), ["event"]).count() == 0
 
 
+def test_equal_spans_meet_once(spark, monkeypatch):
+    """Sales and events that share their spans of days are summed before they meet."""
+    met, chances = [], uncertain_dates.sales_with_chances
+
+    def counted(*args):
+        met.append(chances(*args))
+        return met[-1]
+
+    monkeypatch.setattr(uncertain_dates, "sales_with_chances", counted)
+    rng = random.Random(3)
+    sold = [("a", day(lo := rng.randint(0, 5)), None if lo % 2 else day(lo + 3), 10.0 * i) for i in range(300)]
+    told = [("a", day(4), day(6) if i % 2 else None, i) for i in range(40)] + [("a", day(4), day(4), 0)]
+    sales = spark.createDataFrame(sold, "zip_code string, first_day date, last_day date, price double")
+    events = spark.createDataFrame(told, "zip_code string, earliest date, latest date, event int")
+    got = [tuple(r)[3:] for r in uncertain_dates.uncertain_impact(sales, events, ["event"], 3).collect()]
+    assert met[0].count() <= 6 * 2
+    each = {i: [(r.price, r.chance_before, r.chance_after) for r in chances(sales, events.where(f"event = {i}"), 3)
+                .collect()] for i in (0, 1, 2)}
+    for event, n, certain, before, after, price_before, price_after in got:
+        if event not in each:
+            continue
+        rows = each[event]
+        assert (n, certain) == (len(rows), sum(1.0 in r[1:] for r in rows))
+        assert before == pytest.approx(sum(r[1] for r in rows)) and after == pytest.approx(sum(r[2] for r in rows))
+        assert price_before == pytest.approx(sum(r[0] * r[1] for r in rows) / before)
+        assert price_after == pytest.approx(sum(r[0] * r[2] for r in rows) / after)
+    assert sorted(r[0] for r in got) == sorted([*range(40), 0])  # told twice: a row and the sales each time
+
+
 def test_difference_takes_the_nearest_unaffected_area(spark):
     def around(area, before, after):
         return [(area, month(6), before), (area, month(7) + dt.timedelta(9), after)]
