@@ -33,9 +33,6 @@ from pricelab.plans.staging import stage
 MOST_FALSE = 0.05
 ERROR = 0.1
 
-#: Labelled rows that cutoffs are chosen and certified on, at most, about.
-FIT_ROWS = 200_000
-
 #: Shares of good texts beyond the cutoffs of each level, from safe to strict.
 TAILS = (0.0, 0.001, 0.002, 0.003, 0.005, 0.0075, 0.01, 0.015, 0.02, 0.03)
 
@@ -103,23 +100,52 @@ def binomial_tail(n: str, k: str, share: float) -> Column:
     )
 
 
-def labelled(rows: DataFrame, labels: DataFrame, id_column: str, label: str, most: int) -> DataFrame:
-    """Rows that pass the base rules and have a label: _stratum, _risks, _good, _choosing.
-
-    About ``most`` labelled ids, by a hash, or all if there are fewer.
-    """
+def labelled(rows: DataFrame, labels: DataFrame, id_column: str, label: str) -> DataFrame:
+    """All rows that pass the base rules and have a label: _stratum, _risks, _good, _choosing."""
     known = (
         labels.select(F.col(id_column).alias("_id"), (F.col(label) > 0).alias("_good"))
         .where("_id IS NOT NULL AND _good IS NOT NULL")
         .distinct()
     )
-    share = min(1.0, most / max(1, known.count()))
-    drawn = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    return rows.where("NOT base_failed").join(drawn, "_id").selectExpr(
+    return rows.where("NOT base_failed").join(known, "_id").selectExpr(
         "_stratum", "_risks", "_good", f"{CHOOSING} AS _choosing"
     )
 
 
+def cutoff_levels(by_rule: DataFrame) -> DataFrame:
+    """_stratum, _rule, _levels: the values of ``_risk`` that each share of ``TAILS`` exceeds.
+
+    Exact, however many rows a stratum has: equal values are counted, the values dealt to
+    ranges in their order, and of these only the ranges where a place falls are summed through.
+    """
+    keys = ["_stratum", "_rule"]
+    values = by_rule.groupBy(*keys, "_risk").agg(F.count("*").alias("_n"))
+    values = stage(
+        values.repartitionByRange(*keys, "_risk").withColumn("_part", F.spark_partition_id()), "rule-values"
+    )
+    places = ", ".join(f"greatest(ceil(_all * (1 - {tail}D)), 1L)" for tail in TAILS)
+    whole = Window.partitionBy(*keys)
+    so_far = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        values.groupBy(*keys, "_part")
+        .agg(F.sum("_n").alias("_in_part"))
+        .withColumn("_before", F.coalesce(F.sum("_in_part").over(so_far), F.lit(0)))
+        .withColumn("_all", F.sum("_in_part").over(whole))
+        .withColumn("_places", F.expr(f"array({places})"))
+        .where("exists(_places, p -> p > _before AND p <= _before + _in_part)")
+        .select(*keys, "_part", "_before", "_places")
+    )
+    inside = Window.partitionBy(*keys, "_part").orderBy("_risk").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        matched(values, stage(parts, "rule-parts"), [*keys, "_part"], "inner")
+        .withColumn("_through", F.col("_before") + F.sum("_n").over(inside))
+        .select(*keys, "_risk", "_n", "_through", F.posexplode("_places").alias("_level", "_place"))
+        .where("_place <= _through AND _place > _through - _n")
+        .groupBy(*keys)
+        .agg(F.expr("transform(sort_array(collect_list(struct(_level, _risk))), x -> x._risk)").alias("_levels"))
+    )
+
+
 def first_level(risk: str, cutoffs: str) -> str:
     """SQL: the first level at which a rule rejects; the number of levels if none."""
     return f"size(filter({cutoffs}, c -> {risk} <= c))"
@@ -132,22 +158,13 @@ def fit_cutoffs(
     label_column: str = "quality",
     most_false: float = MOST_FALSE,
     error: float = ERROR,
-    most_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """_stratum, _cutoffs (per rule; NULL: not used), for strata with a certified level."""
-    known = stage(labelled(rows, labels, id_column, label_column, most_rows), "rule-labels")
-    # Per stratum and rule the choosing fold's risks, a bounded list, in order.
+    known = stage(labelled(rows, labels, id_column, label_column), "rule-labels")
     by_rule = known.select(
         "_stratum", "_good", "_choosing", F.posexplode("_risks").alias("_rule", "_risk")
     )
-    places = ", ".join(f"cast(greatest(ceil(n * (1 - {tail}D)), 1) AS int)" for tail in TAILS)
-    levels = (
-        by_rule.where("_choosing AND _good")
-        .groupBy("_stratum", "_rule")
-        .agg(F.sort_array(F.collect_list("_risk")).alias("_sorted"), F.count("*").alias("n"))
-        .selectExpr("_stratum", "_rule", f"transform(array({places}), p -> _sorted[p - 1]) AS _levels")
-    )
-    levels = stage(levels, "rule-levels")
+    levels = stage(cutoff_levels(by_rule.where("_choosing AND _good")), "rule-levels")
     # Rules that tell bad from good at their strictest.
     strict = f"_risk > _levels[{len(TAILS) - 1}]"
     telling = (

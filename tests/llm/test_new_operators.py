@@ -313,6 +313,27 @@ def certified(rows, labels, most_false, error):
     return found
 
 
+def test_cutoffs_come_from_all_labels(spark):
+    n = 250_000
+    risks = ", ".join(f"pmod(xxhash64(id, {r}), {10 ** (r + 1)}) / 7D" for r in range(7))
+    rows = spark.range(n).selectExpr(
+        "id AS _id", "if(id % 50 = 1, NULL, 'a') AS _stratum", "false AS base_failed", f"array({risks}) AS _risks"
+    )
+    marks = spark.range(n).selectExpr("id AS doc_id", "cast(id % 5 > 0 AS int) AS quality")
+    known = quality_rules.labelled(rows, marks, "doc_id", "quality")
+    assert known.count() == n
+    good = known.where("_good AND _choosing")
+    by_rule = good.selectExpr("_stratum", "posexplode(_risks) AS (_rule, _risk)")
+    got = {(r["_stratum"], r["_rule"]): r["_levels"] for r in quality_rules.cutoff_levels(by_rule).collect()}
+    assert len(got) == 14
+    table = good.toPandas()
+    for stratum, own in table.groupby("_stratum", dropna=False):
+        values = np.sort(np.stack(own["_risks"]), axis=0)
+        at = [max(1, math.ceil(len(values) * (1 - tail))) - 1 for tail in quality_rules.TAILS]
+        for rule in range(7):
+            assert got[stratum if isinstance(stratum, str) else None, rule] == values[at, rule].tolist()
+
+
 def test_certified_cutoffs(spark):
     rows, labels = documents_with_labels(4000, np.random.default_rng(9))
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
