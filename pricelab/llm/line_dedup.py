@@ -43,6 +43,9 @@ BLANKS = "\t\x0b\f\r"
 
 LINE = ["_doc", "_hash", "_no"]
 
+#: Places of lines that a document's number stands for: 30 bits of hash, 31 of line number.
+IN_DOC = 1 << 61
+
 
 def without_unit(side: str) -> str:
     """SQL: a line without the unit at its place (from 1; 0: the whole line).
@@ -87,10 +90,18 @@ def line_rows(rows: DataFrame) -> DataFrame:
     ``_line`` has blanks for other white space; ``_n`` is its number of units, words if
     ``_by_words``, else characters.
     """
-    words = "char_length(_line) - char_length(replace(_line, ' ', '')) + 1"
+    other = F.expr(f"{plain('_text')} != _text")  # told once per text
+    split = F.posexplode(F.split("_text", "\n")).alias("_no", "_own")
+    return measured_lines(rows.select("_doc", "_hash", "_text", other.alias("_other")).select("*", split)).drop(
+        "_text", "_other"
+    )
+
+
+def measured_lines(lines: DataFrame) -> DataFrame:
+    """Of lines ``_own`` (``_other``: with white space besides blanks) those not blank, measured."""
+    words = "octet_length(_line) - octet_length(replace(_line, ' ', '')) + 1"
     return (
-        rows.select("_doc", "_hash", F.posexplode(F.split("_text", "\n")).alias("_no", "_own"))
-        .withColumn("_line", F.expr(plain("_own")))
+        lines.withColumn("_line", F.expr(f"if(_other, {plain('_own')}, _own)"))
         .where(not_blank("_line"))
         .selectExpr("*", f"{words} AS _words")
         .selectExpr("*", f"_words >= {MIN_NEAR_WORDS} AS _by_words")
@@ -102,10 +113,18 @@ def line_rows(rows: DataFrame) -> DataFrame:
 def order() -> Column:
     """Place of a line among all: by id (NULL last), text hash, line number."""
     doc = "coalesce(cast(_doc AS decimal(20)), 9223372036854775808BD)"
-    by_doc = f"cast({doc} * 1073741824BD AS decimal(30)) + _hash"
-    return F.expr(f"cast(cast({by_doc} AS decimal(30)) * 2147483648BD AS decimal(38)) + _no").cast(
-        "decimal(38)"
-    )
+    return F.expr(f"{doc} * {IN_DOC}BD + (shiftleft(cast(_hash AS bigint), 31) + _no)").cast("decimal(38)")
+
+
+def line_of(place: str) -> list[str]:
+    """SQL: _doc, _hash and _no of a line by its place, as from ``order``."""
+    rest = f"cast(pmod({place}, {IN_DOC}BD) AS bigint)"
+    doc = f"cast(({place} - pmod({place}, {IN_DOC}BD)) / {IN_DOC}BD AS decimal(20))"
+    return [
+        f"cast(nullif({doc}, 9223372036854775808BD) AS bigint) AS _doc",
+        f"cast(shiftright({rest}, 31) AS int) AS _hash",
+        f"cast({rest} & 2147483647 AS int) AS _no",
+    ]
 
 
 def half_hashes(length: str) -> list[str]:
@@ -121,7 +140,10 @@ def half_hashes(length: str) -> list[str]:
 
 
 def repeated_lines(rows: DataFrame) -> DataFrame:
-    """(_doc, _hash, _no) of the lines to drop; ``rows`` as from ``document_rows``."""
+    """(_doc, _hash, _no) of the lines to drop, of repeated rows more than once.
+
+    ``rows`` as from ``document_rows``.
+    """
     is_near = f"_by_words OR _n >= {MIN_NEAR_CHARS}"
     halves = half_hashes("_n") + half_hashes("_n + 1")
     lines = stage(
@@ -134,41 +156,52 @@ def repeated_lines(rows: DataFrame) -> DataFrame:
         ),
         "lines",
     )
-    groups = lines.groupBy("_h1", "_h2").agg(
-        F.min(order()).alias("_first"), F.count("*").alias("_times")
-    )
-    several = groups.where("_times > 1").drop("_times")
-    equal = (
-        lines.select(*LINE, "_h1", "_h2", order().alias("_order"))
-        .join(several, ["_h1", "_h2"])
-        .where("_order > _first")
-        .select(*LINE, "_h1", "_h2")
+    # One row per different line: copies are combined before the shuffle.
+    groups = stage(
+        lines.groupBy("_h1", "_h2").agg(
+            F.min(order()).alias("_first"),
+            F.count("*").alias("_times"),
+            *[F.min(f"_k{i}").alias(f"_k{i}") for i in range(4)],
+        ),
+        "line-groups",
     )
-    equal = stage(equal, "equal-lines")
-    near = near_lines(rows, lines.where("_k0 IS NOT NULL"))
-    return equal.select(*LINE).unionByName(near).distinct()
+    first = [part.replace(" AS _", " AS _first_") for part in line_of("_first")]
+    several = groups.where("_times > 1").selectExpr("_h1", "_h2", *first)
+    is_first = " AND ".join(f"{name} <=> _first{name}" for name in LINE)
+    equal = lines.select(*LINE, "_h1", "_h2").join(several, ["_h1", "_h2"]).where(f"NOT ({is_first})")
+    near = near_lines(rows, groups.where("_k0 IS NOT NULL"))
+    return equal.select(*LINE).unionByName(near)
 
 
-def near_lines(rows: DataFrame, lines: DataFrame) -> DataFrame:
+def near_lines(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Lines one unit from an earlier one; of equal lines only the earliest need be named."""
-    # One row per different line and half: copies are combined before the shuffle.
-    halves = (
-        lines.groupBy("_h1", "_h2")
-        .agg(F.min(order()).alias("_order"), *[F.min(f"_k{i}").alias(f"_k{i}") for i in range(4)])
-        .select("_order", F.posexplode(F.array("_k0", "_k1", "_k2", "_k3")).alias("_which", "_half"))
+    halves = groups.select(
+        F.col("_first").alias("_order"),
+        F.posexplode(F.array("_k0", "_k1", "_k2", "_k3")).alias("_which", "_half"),
     )
-    halves = stage(halves, "line-halves")
     shared = halves.groupBy("_half").agg(F.count("*").alias("_times")).where("_times > 1")
     sharing = (
-        halves.join(shared.select("_half"), "_half", "left_semi")
+        matched(halves, stage(shared.select("_half"), "shared-halves"), ["_half"], "inner")
         .groupBy("_order")
         .agg(F.bit_or(F.expr("shiftleft(1, _which)")).alias("_shares"))
     )
-    sharing = stage(sharing, "sharing-lines")
-    texts = stage(
-        matched(line_rows(rows).withColumn("_order", order()), sharing, ["_order"], "inner"),
-        "line-texts",
+    # Per document its lines that share a half, with how: only these are split off again.
+    wanted = (
+        sharing.selectExpr("_shares", *line_of("_order"))
+        .groupBy("_doc", "_hash")
+        .agg(F.collect_list(F.expr("cast(_no AS bigint) * 16 + _shares")).alias("_wanted"))
+    )
+    found = matched(rows, stage(wanted, "sharing-lines"), ["_doc", "_hash"], "inner")
+    found = found.select("_doc", "_hash", F.split("_text", "\n").alias("_lines"), "_wanted")
+    found = found.select("_doc", "_hash", "_lines", F.explode("_wanted").alias("_want")).selectExpr(
+        "_doc",
+        "_hash",
+        "cast(_want div 16 AS int) AS _no",
+        "cast(_want % 16 AS int) AS _shares",
+        "_lines[cast(_want div 16 AS int)] AS _own",
+        "true AS _other",
     )
+    texts = stage(measured_lines(found).drop("_other", "_own").withColumn("_order", order()), "line-texts")
 
     # Bits of _shares: front and back at its own length, front and back at one unit more.
     places = """
@@ -243,7 +276,7 @@ def deduplicated_lines(
     dropped = (
         repeated_lines(rows.select("_doc", "_hash", "_text"))
         .groupBy("_doc", "_hash")
-        .agg(F.array_agg("_no").alias("_dropped"))
+        .agg(F.collect_set("_no").alias("_dropped"))
     )
     # Split before the joins, so that texts are split once and not for every line.
     split = rows.withColumn("_lines", F.split("_text", "\n")).drop("_text")

@@ -4,7 +4,7 @@ import brute
 import numpy as np
 import pytest
 
-from pricelab.llm import packing, personal_data, quality, secret_crf, shingles, syncmers
+from pricelab.llm import line_dedup, packing, personal_data, quality, secret_crf, shingles, syncmers
 
 LETTERS = np.array(list("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"))
 
@@ -333,3 +333,12 @@ def test_shingles():
     owner, _, counts = shingles.shingle_sets(texts)
     for i, text in enumerate(texts):
         assert sorted(counts[owner == i].tolist()) == sorted(brute.shingles(text).values())
+
+
+def test_places_of_lines_lead_back(spark):
+    """Only the lines that share a half are split off again, found by their places."""
+    rows = [(i, h, n) for i in (None, -(2**63), -1, 0, 7, 2**63 - 1) for h in (0, 2**30 - 1) for n in (0, 2**31 - 1)]
+    lines = spark.createDataFrame(rows, "_doc long, _hash int, _no int")
+    placed = lines.withColumn("_order", line_dedup.order())
+    back = placed.orderBy("_order").selectExpr(*line_dedup.line_of("_order"))
+    assert [tuple(r) for r in back.collect()] == sorted(rows, key=lambda r: (r[0] is None, r))
