@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pricelab.llm import dart_minhash, line_dedup, mixing, packing, quality
 from pricelab.llm.inputs import read
-from pricelab.plans.staging import new_folder, stage, staging_scope
+from pricelab.plans.staging import new_folder, staging_scope
 
 #: The columns of documents, in order; ``OTHERS`` only pass through.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -39,9 +39,9 @@ def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def with_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with the learned quality score, written once, as its weights are read twice."""
+    """``docs`` with the learned quality score; scored in each pass, so that no text is written again."""
     model = quality.fit_on_labels(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    return stage(quality.quality_scores(docs, model, keep=OTHERS), "scored")
+    return quality.quality_scores(docs, model, keep=OTHERS)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

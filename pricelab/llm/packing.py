@@ -13,6 +13,9 @@ fills rose. An emptied sequence stays closed.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -35,22 +38,42 @@ def document_pieces(
     end_id: int = END_ID,
     path: str | None = None,
     keep: list[str] | tuple[str, ...] = (),
+    small: bool = False,
 ) -> DataFrame:
     """Per piece: doc_id, ``keep``, piece, start, length, ids (little-endian unsigned 32-bit).
 
+    ``small`` adds ids_crc32 and keeps the ids as ``small_ids`` has them.
+
     A document is the ids of its text (none where NULL or empty), then ``end_id``. Only
     longer ones are cut, every ``most`` ids. Rows with equal or NULL ids stay separate.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("doc_id"), *keep, whole_text(text_column).alias("text"))
     safe, path = for_pandas(rows), path or tokenizer_path()
-    pieces = safe.mapInPandas(
-        lambda it: piece_batches(it, path, most, end_id),
-        schema_of(safe, "piece int", "start long", "length long", "ids binary", without="text"),
-    )
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in piece_batches(batches, path, most, end_id):
+            if small:
+                batch = batch.assign(ids_crc32=batch["ids"].map(zlib.crc32), ids=batch["ids"].map(small_ids))
+            yield batch
+
+    columns = ["piece int", "start long", "length long", "ids binary", *(["ids_crc32 long"] if small else [])]
+    pieces = safe.mapInPandas(cut, schema_of(safe, *columns, without="text"))
     return restored(pieces, rows)
 
 
+def small_ids(ids: bytes) -> bytes:
+    """Ids in less room: of two bytes each where all are so small, deflated."""
+    values = np.frombuffer(ids, "<u4")
+    wide = bool(values.max(initial=0) >> 16)
+    return bytes([wide]) + zlib.compress(ids if wide else values.astype("<u2").tobytes(), 1)
+
+
+def whole_ids(small: bytes) -> bytes:
+    """What ``small_ids`` was given."""
+    ids = zlib.decompress(memoryview(small)[1:])
+    return ids if small[0] else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+
+
 def least_bins(lengths: list[int], most: int) -> int:
     """A proven lower bound on the number of sequences, by classes of fill.
 
@@ -304,12 +327,19 @@ def packed_documents(docs: DataFrame, **names: str) -> DataFrame:
     """Per piece: doc_id, copy, piece, start, length, ids_crc32, sequence_id, offset, ids.
 
     ``copy`` is a number that the pieces of one row of ``docs`` share with no other row: rows
-    that repeat stay apart. Only lengths are packed; the ids, written once, join them by piece.
+    that repeat stay apart. Only lengths are packed; the ids, written once and made
+    small for the disk, join them by piece.
     """
     numbered = docs.withColumn("copy", F.monotonically_increasing_id())
-    pieces = document_pieces(numbered, keep=["copy"], **names)
+    pieces = document_pieces(numbered, keep=["copy"], small=True, **names)
     pieces = stage(pieces.withColumn("_piece", F.monotonically_increasing_id()), "token-pieces")
-    narrow = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack_pieces(narrow).join(pieces.select("_piece", "ids"), "_piece").select(
+    packed = pack_pieces(pieces.drop("ids")).join(pieces.select("_piece", "ids"), "_piece").select(
         "doc_id", "copy", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"
     )
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(ids=batch["ids"].map(whole_ids))
+
+    safe = for_pandas(packed)
+    return restored(safe.mapInPandas(whole, schema_of(safe)), packed)

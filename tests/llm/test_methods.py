@@ -1,10 +1,13 @@
 """What the named methods add beyond the plain parts of their operators."""
 
+import zlib
+
 import brute
 import numpy as np
 import pytest
 
 from pricelab.llm import line_dedup, packing, personal_data, quality, secret_crf, shingles, syncmers
+from pricelab.plans.staging import stage
 
 LETTERS = np.array(list("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"))
 
@@ -335,6 +338,23 @@ def test_shingles():
         assert sorted(counts[owner == i].tolist()) == sorted(brute.shingles(text).values())
 
 
+def test_ids_take_less_room_on_the_way(spark, monkeypatch):
+    """Staged and shuffled ids are a third of four bytes each at most; what comes out is whole."""
+    staged = {}
+    monkeypatch.setattr(packing, "stage", lambda df, label: staged.setdefault(label, stage(df, label)))
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["house", "price", "fell", "again", "in", "May"], n)) for n in (3000, 9000, 0, 700)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = packing.packed_documents(docs).collect()
+    kept = {r["_piece"]: r.ids for r in staged["token-pieces"].collect()}
+    assert sum(map(len, kept.values())) < sum(len(r.ids) for r in found) / 3
+    want = {(r.doc_id, r.piece): bytes(r.ids) for r in packing.document_pieces(docs).collect()}
+    assert {(r.doc_id, r.piece): bytes(r.ids) for r in found} == want
+    assert all(r.ids_crc32 == zlib.crc32(r.ids) and len(r.ids) == 4 * r.length for r in found)
+    for ids in (b"", np.array([65536, 1], "<u4").tobytes(), np.array([65535, 0], "<u4").tobytes()):
+        assert packing.whole_ids(packing.small_ids(ids)) == ids
+
+
 def test_places_of_lines_lead_back(spark):
     """Only the lines that share a half are split off again, found by their places."""
     rows = [(i, h, n) for i in (None, -(2**63), -1, 0, 7, 2**63 - 1) for h in (0, 2**30 - 1) for n in (0, 2**31 - 1)]
