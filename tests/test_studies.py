@@ -192,6 +192,30 @@ def test_difference_equals_all_pairs(spark):
     assert len(got) == len(events)
 
 
+def test_difference_sorts_levels_and_looks_back_only(spark):
+    """Few levels, so that many areas share one; also zero and negative ones, and those without an after."""
+    rng = random.Random(5)
+    before = {f"z{i:03}": float(rng.choice([-20, 0, 10, 20, 30, 40])) for i in range(90)}
+    after = {z: float(rng.randint(1, 9)) for z in before if rng.random() < 0.8}
+    rows = [(z, month(6), p) for z, p in before.items()] + [(z, month(7), p) for z, p in after.items()]
+    told = {z for z in before if rng.random() < 0.4}
+    early = {z for z in before if rng.random() < 0.1}  # an event in the month before affects them too
+    found = event_difference(
+        spark.createDataFrame(rows, "zip_code string, date date, price double"),
+        spark.createDataFrame([(z, month(m)) for m, some in ((7, told), (6, early)) for z in some],
+                              "zip_code string, event_month date"), 1)
+    # Spark reads a frame that ends with the last row again for every row.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "unboundedfollowing" not in plan.lower() and "Cartesian" not in plan
+    got = {r.zip_code: r for r in found.collect() if r.event_month == month(7)}
+    free = [z for z, p in before.items() if p > 0 and z in after and z not in told | early]
+    assert set(got) == told and len(free) > 20
+    for z, r in got.items():
+        best = min(free, key=lambda c: (abs(before[c] - before[z]), before[c], c))
+        assert (r.level_before, r.level_after) == (before[z], after.get(z))
+        assert (r.control, r.control_before, r.control_after) == (best, before[best], after[best])
+
+
 def test_survival_by_hand(spark):
     # 6 watched: one recovers in month 1, one leaves in 2, two recover in 3, one leaves in 3, one recovers in 5.
     rows = [("a", 1, True), ("a", 2, False), ("a", 3, True), ("a", 3, True), ("a", 3, None), ("a", 5, True),
